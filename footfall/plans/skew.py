@@ -1,0 +1,86 @@
+"""Ordered computations over a key that stay spread out when one key holds much of the data.
+
+A window over a whole key puts all its rows into one task. Here a key is cut into time slices;
+rows are only ever ordered within (key, slice), and the slices of a key meet as one summary
+row each. A slice is a function of the row alone, so recomputed tasks agree on it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+TEN_MINUTES_MS = 10 * 60 * 1000
+
+
+def time_slice(ms: Column | str, slice_ms: int = TEN_MINUTES_MS) -> Column:
+    ms = F.col(ms) if isinstance(ms, str) else ms
+    return F.floor(ms / F.lit(slice_ms)).cast("long")
+
+
+def running_total(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: Column,
+    out: str,
+    ms: str,
+    slice_ms: int = TEN_MINUTES_MS,
+    total: str | None = None,
+) -> DataFrame:
+    """Add ``out``: sum of ``value`` over the rows of the key up to and including this row.
+
+    ``total`` names one more column to add: the sum over the whole key.
+
+    ``order`` must be a total order within a key that agrees with ``ms``. Per-slice sums are
+    combined map-side, so the second level sees one row per (key, slice).
+    """
+    marked = df.withColumn("_v", value.cast("long")).withColumn("_slice", time_slice(ms, slice_ms))
+    cells = [*keys, "_slice"]
+    by_key = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        marked.groupBy(*cells)
+        .agg(F.sum("_v").alias("_cell"))
+        .withColumns(
+            {
+                "_before": F.coalesce(F.sum("_cell").over(by_key), F.lit(0)),
+                "_total": F.sum("_cell").over(Window.partitionBy(*keys)),
+            }
+        )
+        .drop("_cell")
+    )
+    in_cell = Window.partitionBy(*cells).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = marked.withColumn("_local", F.sum("_v").over(in_cell))
+    for c in cells:
+        offsets = offsets.withColumnRenamed(c, f"_o_{c}")
+    same = [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in cells]
+    on = same[0]
+    for cond in same[1:]:
+        on = on & cond
+    joined = local.join(offsets, on, "left").withColumn(out, F.col("_local") + F.col("_before"))
+    if total:
+        joined = joined.withColumn(total, F.col("_total"))
+    return joined.drop("_v", "_slice", "_local", "_before", "_total", *[f"_o_{c}" for c in cells])
+
+
+def dense_rank_ids(distinct_keys: DataFrame, key: str, out: str, start: Column | None = None) -> DataFrame:
+    """Number distinct keys 1, 2, 3 ... in key order without a one-partition sort.
+
+    The keys are range-partitioned and checkpointed (a recompute could move the bounds), then
+    numbered within each partition; the offsets are one row per partition.
+    """
+    from footfall.session import cut_lineage
+
+    spark = distinct_keys.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut_lineage(
+        distinct_keys.select(key).repartitionByRange(parts, key).withColumn("_part", F.spark_partition_id())
+    )
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per shuffle partition, so the global window and the broadcast are both bounded.
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = placed.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(key)))
+    base = start if start is not None else F.lit(0)
+    return numbered.join(F.broadcast(offsets), "_part").select(
+        (F.col("_rn") + F.col("_before") + base).cast("long").alias(out), key
+    )
