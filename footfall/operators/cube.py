@@ -168,3 +168,8 @@ def share_base(events: DataFrame, product: DataFrame, page: DataFrame, ids: Data
 
 def share_cube(base: DataFrame, sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
     return overview_report(base, SHARE_DIMS, ["share"], sets)
+
+
+def set_base(df: DataFrame, id_col: str, keys: Sequence[str], out: str = "users_bitmap") -> DataFrame:
+    """The finest sets of a report on its own: one word per (keys, block)."""
+    return df.groupBy(*keys, id_block(id_col).alias(BLOCK)).agg(word_of(id_col).alias(out))

@@ -29,6 +29,11 @@ def nearest(
     centres = np.array([r["vec"] for r in picked], dtype="float64")
     need = k + 1 if skip_same_id else k
 
+    def pivot_distances(x, chosen):
+        import numpy as np
+
+        return np.sqrt(np.stack([((x - p) ** 2).sum(axis=1) for p in chosen], axis=1))
+
     def to_cells(batches):
         import numpy as np
         import pandas as pd
@@ -36,7 +41,7 @@ def nearest(
         for pdf in batches:
             if len(pdf):
                 x = np.stack(pdf["vec"].to_numpy()).astype("float64")
-                d = np.sqrt(((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
+                d = pivot_distances(x, centres)
                 cell = d.argmin(axis=1)
                 yield pd.DataFrame(
                     {"id": pdf["id"], "label": pdf["label"], "vec": pdf["vec"], "cell": cell.astype("int64"),
@@ -66,7 +71,7 @@ def nearest(
             if not len(pdf):
                 continue
             x = np.stack(pdf["vec"].to_numpy()).astype("float64")
-            d = np.sqrt(((x[:, None, :] - centres[None, cells, :]) ** 2).sum(axis=2))
+            d = pivot_distances(x, centres[cells])
             far = d + radius[None, :]
             order = far.argsort(axis=1)
             enough = sizes[order].cumsum(axis=1) >= need

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -53,10 +54,12 @@ def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges:
 
     def table(name: str, when: str, schema: str) -> DataFrame:
         """A day of a table, or no rows where the day was never written."""
-        path = f"{root}/{name}"
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={when}")
-        fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return scan_day(spark, path, when) if fs.exists(hadoop) else spark.createDataFrame([], schema)
+        try:
+            return scan_day(spark, f"{root}/{name}", when)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
 
     logs = scan_day(spark, f"{root}/ods_event_app_log", day)
     relation = identity.roll_scores(
