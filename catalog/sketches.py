@@ -16,8 +16,8 @@ def lines(spark, sf):
 
 @QUERIES.add(
     "bitmap_base",
-    """SELECT l_returnflag, l_linestatus, l_orderkey // 32768 + CAST(l_orderkey > 0 AND l_orderkey % 32768 > 0 AS BIGINT)
-         + CAST(l_orderkey = 0 AS BIGINT) * 0 AS bucket, count(DISTINCT l_orderkey) AS members
+    """SELECT l_returnflag, l_linestatus, CASE WHEN l_orderkey > 0 THEN 1 + (l_orderkey - 1) // 32768 ELSE 0 END AS bucket,
+         count(DISTINCT l_orderkey) AS members
        FROM lineitem GROUP BY ALL""",
 )
 def base(spark, sf):
@@ -171,9 +171,9 @@ RSDS = [0.005, 0.01, 0.02, 0.05, 0.1]
        (SELECT unnest([0.005e0, 0.01e0, 0.02e0, 0.05e0, 0.1e0]) AS rsd)""",
 )
 def sweep(spark, sf):
-    exact = lines(spark, sf).agg(F.countDistinct("l_partkey").alias("exact_cnt"))
-    got = sketch.approx_distinct(lines(spark, sf), "l_partkey", RSDS)
-    return got.join(F.broadcast(exact), F.lit(True)).select(
+    exact = lines(spark, sf).agg(F.countDistinct("l_partkey")).scalar()
+    got = sketch.approx_distinct(lines(spark, sf), "l_partkey", RSDS).withColumn("exact_cnt", exact)
+    return got.select(
         "rsd", "exact_cnt",
         (F.abs(F.col("estimate") - F.col("exact_cnt")) <= 3 * F.col("rsd") * F.col("exact_cnt")).alias("within_bound"),
     )

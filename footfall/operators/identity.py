@@ -123,10 +123,8 @@ def allocate_ids(guids: DataFrame, table: DataFrame | None = None) -> DataFrame:
     if table is None:
         return dense_rank_ids(new, "guid", "id")
     new = new.join(table.select("guid"), "guid", "left_anti")
-    top = table.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("_top"))
-    numbered = dense_rank_ids(new, "guid", "id")
-    # ``top`` is a single row by construction.
-    return numbered.join(F.broadcast(top), F.lit(True)).select((F.col("id") + F.col("_top")).alias("id"), "guid")
+    top = table.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar()
+    return dense_rank_ids(new, "guid", "id").withColumn("id", F.col("id") + top)
 
 
 def daily_active(events: DataFrame) -> DataFrame:

@@ -77,10 +77,10 @@ def hll_row_merge(a: Column | str, b: Column | str) -> Column:
 
 def overlap_estimate(a: DataFrame, b: DataFrame, col: str, lg_k: int = 14) -> DataFrame:
     """Estimated size of both sets, their union and their intersection, as one row."""
-    left = a.agg(F.theta_sketch_agg(col, lg_k).alias("_a"))
-    right = b.agg(F.theta_sketch_agg(col, lg_k).alias("_b"))
-    # Each side is a single sketch row.
-    return left.join(F.broadcast(right), F.lit(True)).select(
+    sketched = a.agg(F.theta_sketch_agg(col, lg_k).alias("_a")).withColumn(
+        "_b", b.agg(F.theta_sketch_agg(col, lg_k)).scalar()
+    )
+    return sketched.select(
         F.theta_sketch_estimate("_a").alias("size_a"),
         F.theta_sketch_estimate("_b").alias("size_b"),
         F.theta_sketch_estimate(F.theta_union("_a", "_b")).alias("size_union"),
@@ -108,11 +108,9 @@ def sketch_from_hex(df: DataFrame, col: str = "sketch") -> DataFrame:
 def compare_distinct(df: DataFrame, col: str, rsd: float = 0.05, lg_k: int = 12) -> DataFrame:
     """One row: exact count, bitmap count (``col`` holds whole numbers), and the two estimates."""
     per_bucket = df.groupBy(bitmap_bucket(col).alias(BUCKET)).agg(bitmap_of(col).alias("_b"))
-    by_bitmap = per_bucket.agg(F.sum(F.bitmap_count("_b")).cast("long").alias("bitmap_cnt"))
-    others = df.agg(
+    by_bitmap = per_bucket.agg(F.sum(F.bitmap_count("_b")).cast("long")).scalar()
+    return df.agg(
         F.countDistinct(col).alias("exact_cnt"),
         F.approx_count_distinct(col, rsd).alias("approx_cnt"),
         F.hll_sketch_estimate(F.hll_sketch_agg(col, lg_k)).alias("hll_cnt"),
-    )
-    # Both sides are single rows.
-    return others.join(F.broadcast(by_bitmap), F.lit(True)).select("exact_cnt", "bitmap_cnt", "approx_cnt", "hll_cnt")
+    ).select("exact_cnt", by_bitmap.alias("bitmap_cnt"), "approx_cnt", "hll_cnt")

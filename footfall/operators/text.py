@@ -55,12 +55,10 @@ def tfidf(df: DataFrame, id_col: str, col: str = "words") -> DataFrame:
     """
     tf = df.select(id_col, F.explode(col).alias("word")).groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("tf"))
     freq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))
-    total = df.agg(F.count(F.lit(1)).alias("_docs"))
-    # ``total`` is one row.
+    docs = df.agg(F.count(F.lit(1))).scalar()
     return (
         tf.join(freq, "word")
-        .join(F.broadcast(total), F.lit(True))
-        .withColumn("weight", F.col("tf") * F.log((F.col("_docs") + 1) / (F.col("_df") + 1)))
+        .withColumn("weight", F.col("tf") * F.log((docs + 1) / (F.col("_df") + 1)))
         .select(id_col, "word", "tf", "weight")
     )
 

@@ -62,7 +62,7 @@ def running_total(
     return joined.drop("_v", "_slice", "_local", "_before", "_total", *[f"_o_{c}" for c in cells])
 
 
-def dense_rank_ids(distinct_keys: DataFrame, key: str, out: str, start: Column | None = None) -> DataFrame:
+def dense_rank_ids(distinct_keys: DataFrame, key: str, out: str) -> DataFrame:
     """Number distinct keys 1, 2, 3 ... in key order without a one-partition sort.
 
     The keys are range-partitioned and checkpointed (a recompute could move the bounds), then
@@ -80,7 +80,6 @@ def dense_rank_ids(distinct_keys: DataFrame, key: str, out: str, start: Column |
     # One row per shuffle partition, so the global window and the broadcast are both bounded.
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     numbered = placed.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(key)))
-    base = start if start is not None else F.lit(0)
     return numbered.join(F.broadcast(offsets), "_part").select(
-        (F.col("_rn") + F.col("_before") + base).cast("long").alias(out), key
+        (F.col("_rn") + F.col("_before")).cast("long").alias(out), key
     )
