@@ -41,13 +41,14 @@ def text(col):
 
 def app_log(spark: SparkSession, sf: str) -> DataFrame:
     """``events`` in the shape of a raw app log."""
-    k = F.get_json_object("props", "$.k").cast("long")
+    k = F.col("k")
     user, kind = F.col("user_id"), F.col("event_type")
     ts = F.col("ts").cast("timestamp")
-    return table(spark, sf, "events").select(
+    events = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    return events.select(
         "event_id",
         "user_id",
-        k.alias("k"),
+        "k",
         F.when(kind == "view", F.lit(None).cast("string"))
         .when(kind == "error", F.lit("  "))
         .otherwise(F.concat(F.lit("u"), text("user_id")))

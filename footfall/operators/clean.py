@@ -6,12 +6,10 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.functions.columns import blank_to_null
-
 
 def _present(df: DataFrame, name: str) -> Column:
     if df.schema[name].dataType.typeName() == "string":
-        return blank_to_null(name).isNotNull()
+        return F.trim(F.col(name)) != ""
     return F.col(name).isNotNull()
 
 

@@ -18,6 +18,7 @@ from footfall.operators.history import enrich
 BLOCK = "block"
 
 TRAFFIC_SUMS = ["pv_cnt", "session_cnt", "time_long", "jumpout_cnt"]
+TRAFFIC_WIDE = ["hour_range", "start_page", "end_page"]
 TRAFFIC_SETS = {"uv_bitmap": "uv_cnt", "return_user_bitmap": "return_user_cnt", "jumpout_user_bitmap": "jumpout_user_cnt"}
 
 
@@ -40,30 +41,53 @@ def rollup_sets(dims: Sequence[str]) -> list[list[str]]:
     return [list(dims[:n]) for n in range(len(dims), -1, -1)]
 
 
+def _fold(df: DataFrame, fixed: list[str], dims: list[str], sets, sums: list[str], bitmaps, gid: str) -> DataFrame:
+    """Sums and merged words for every set of ``dims``, within each value of ``fixed``."""
+    return df.groupingSets([[*fixed, *s] for s in sets], *fixed, *dims).agg(
+        F.grouping_id().alias(gid),
+        *[F.sum(c).alias(c) for c in sums],
+        *[F.bit_or(b).alias(b) for b in bitmaps],
+    )
+
+
 def bitmap_cube(
     base: DataFrame,
     dims: Sequence[str],
     sums: Iterable[str],
     bitmaps: Mapping[str, str],
     sets: Sequence[Sequence[str]] | None = None,
+    wide: Sequence[str] = (),
 ) -> DataFrame:
     """Sums and exact distinct counts for every grouping set (all 2**n when ``sets`` is left out).
 
     ``base`` holds one row per (dims, block); ``bitmaps`` maps set column to count column.
     ``grouping_id`` tells a grouped-away dimension from one whose value is null: bit i from the
     right is 1 when the i-th last dimension is grouped away.
+
+    A full cube with ``wide`` dimensions (those with many values) folds over them first and over the
+    others second: the second step multiplies rows that are already merged, not those of the base.
     """
-    sums = list(sums)
-    chosen = [list(s) for s in (cube_sets(dims) if sets is None else sets)]
+    dims, sums = list(dims), list(sums)
     # The block is part of every set, so words only ever meet words of the same id range.
-    merged = base.groupingSets([[BLOCK, *s] for s in chosen], BLOCK, *dims).agg(
-        F.grouping_id().alias("_gid"),
-        *[F.sum(c).alias(c) for c in sums],
-        *[F.bit_count(F.bit_or(b)).alias(n) for b, n in bitmaps.items()],
+    if sets is None and wide and len(wide) < len(dims):
+        first = [d for d in dims if d in set(wide)]
+        rest = [d for d in dims if d not in set(wide)]
+        once = _fold(base, [BLOCK, *rest], first, cube_sets(first), sums, bitmaps, "_g1")
+        merged = _fold(once, [BLOCK, "_g1", *first], rest, cube_sets(rest), sums, bitmaps, "_g2")
+        gid = F.lit(0).cast("long")
+        for i, d in enumerate(dims):
+            part, own = (("_g1", first) if d in first else ("_g2", rest))
+            bit = F.shiftright(F.col(part), len(own) - 1 - own.index(d)).bitwiseAND(F.lit(1))
+            gid = gid + bit * (1 << (len(dims) - 1 - i))
+        merged = merged.withColumn("_gid", gid)
+    else:
+        merged = _fold(base, [BLOCK], dims, cube_sets(dims) if sets is None else sets, sums, bitmaps, "_gid")
+    counted = merged.select(
+        *dims, "_gid", *sums, *[F.bit_count(b).cast("long").alias(n) for b, n in bitmaps.items()]
     )
     return (
-        merged.groupBy(*dims, "_gid")
-        .agg(*[F.sum(c).alias(c) for c in sums], *[F.sum(n).cast("long").alias(n) for n in bitmaps.values()])
+        counted.groupBy(*dims, "_gid")
+        .agg(*[F.sum(c).alias(c) for c in sums], *[F.sum(n).alias(n) for n in bitmaps.values()])
         .withColumnRenamed("_gid", "grouping_id")
     )
 
@@ -104,7 +128,7 @@ def traffic_base(user: DataFrame, ids: DataFrame, dims: Sequence[str], per_user:
 
 
 def traffic_cube(base: DataFrame, dims: Sequence[str], sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
-    return bitmap_cube(base, dims, TRAFFIC_SUMS, TRAFFIC_SETS, sets)
+    return bitmap_cube(base, dims, TRAFFIC_SUMS, TRAFFIC_SETS, sets, [d for d in TRAFFIC_WIDE if d in dims])
 
 
 def traffic_report(user: DataFrame, ids: DataFrame, dims: Sequence[str], per_user: bool = False) -> DataFrame:
@@ -132,13 +156,15 @@ def event_overview(
 
 
 def overview_report(
-    base: DataFrame, dims: Sequence[str], metrics: Iterable[str], sets: Sequence[Sequence[str]] | None = None
+    base: DataFrame, dims: Sequence[str], metrics: Iterable[str], sets: Sequence[Sequence[str]] | None = None,
+    wide: Sequence[str] = (),
 ) -> DataFrame:
     """Counts and distinct users per metric (``m_cnt``, ``m_users``) from an ``event_overview`` base."""
     names = list(metrics)
-    return bitmap_cube(base, dims, [f"{m}_cnt" for m in names], {f"{m}_bitmap": f"{m}_users" for m in names}, sets)
+    return bitmap_cube(base, dims, [f"{m}_cnt" for m in names], {f"{m}_bitmap": f"{m}_users" for m in names}, sets, wide)
 
 
+SHARE_WIDE = ["brand_name", "page_id", "hour_range"]
 SHARE_DIMS = ["cat_name", "brand_name", "page_id", "lanmu_name", "share_method", "hour_range", "device_type"]
 
 
@@ -167,7 +193,7 @@ def share_base(events: DataFrame, product: DataFrame, page: DataFrame, ids: Data
 
 
 def share_cube(base: DataFrame, sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
-    return overview_report(base, SHARE_DIMS, ["share"], sets)
+    return overview_report(base, SHARE_DIMS, ["share"], sets, SHARE_WIDE)
 
 
 def set_base(df: DataFrame, id_col: str, keys: Sequence[str], out: str = "users_bitmap") -> DataFrame:

@@ -66,11 +66,17 @@ def roll_scores(prev: DataFrame, cur: DataFrame, now_ms: Column | int, decay: fl
     )
     known = rows.where(F.col("account").isNotNull())
     now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms)
+    contacts = prev.select("deviceid", "account").unionByName(cur.select("deviceid", "account"))
     anonymous = (
-        rows.where(F.col("account").isNull())
-        .join(known.select("deviceid").distinct(), "deviceid", "left_anti")
-        .withColumns(
-            {"score": F.lit(0.0), "first_time": now.cast("long"), "last_time": now.cast("long")}
+        contacts.groupBy("deviceid")
+        .agg(F.count(blank_to_null("account")).alias("_accounts"))
+        .where(F.col("_accounts") == 0)
+        .select(
+            "deviceid",
+            F.lit(None).cast("string").alias("account"),
+            F.lit(0.0).alias("score"),
+            now.cast("long").alias("first_time"),
+            now.cast("long").alias("last_time"),
         )
     )
     return known.unionByName(anonymous)

@@ -105,17 +105,23 @@ def nearest(
 
         out = []
         if len(left) and len(right):
+            # In id order a stable sort breaks ties by id.
+            left = left.sort_values("id")
             samples = np.stack(left["vec"].to_numpy())
             ids, labels = left["id"].to_numpy(), left["label"].to_numpy()
-            for qid, v in zip(right["id"].to_numpy(), right["vec"].to_numpy()):
-                dist = ((samples - v) ** 2).sum(axis=1)
-                keep = ids != qid if skip_same_id else np.ones(len(ids), dtype=bool)
-                got = np.lexsort((ids[keep], dist[keep]))[:k]
-                out.append(
-                    pd.DataFrame(
-                        {"test_id": qid, "train_id": ids[keep][got], "label": labels[keep][got], "dist": dist[keep][got]}
-                    )
+            asked_ids, points = right["id"].to_numpy(), np.stack(right["vec"].to_numpy())
+            step = max(1, 4_000_000 // samples.size)
+            for at in range(0, len(points), step):
+                chunk, chunk_ids = points[at : at + step], asked_ids[at : at + step]
+                dist = ((samples[None, :, :] - chunk[:, None, :]) ** 2).sum(axis=2)
+                if skip_same_id:
+                    dist[chunk_ids[:, None] == ids[None, :]] = np.inf
+                got = dist.argsort(axis=1, kind="stable")[:, :k]
+                part = pd.DataFrame(
+                    {"test_id": np.repeat(chunk_ids, got.shape[1]), "train_id": ids[got].ravel(),
+                     "label": labels[got].ravel(), "dist": np.take_along_axis(dist, got, axis=1).ravel()}
                 )
+                out.append(part[np.isfinite(part["dist"])])
         if not out:
             return pd.DataFrame({"test_id": [], "train_id": [], "label": [], "dist": []})
         return pd.concat(out, ignore_index=True)

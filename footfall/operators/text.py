@@ -18,7 +18,7 @@ SMOOTHING = 1.0
 def words_of(text: Column | str) -> Column:
     """Lower-case words of a text, in order."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(text), SEPARATORS), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), SEPARATORS), "")
 
 
 def tokenise(df: DataFrame, col: str, out: str = "words") -> DataFrame:
@@ -53,8 +53,11 @@ def tfidf(df: DataFrame, id_col: str, col: str = "words") -> DataFrame:
 
     Words fold to one row per document before they meet the document frequencies.
     """
-    tf = df.select(id_col, F.explode(col).alias("word")).groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("tf"))
-    freq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))
+    # The outer form keeps the optimizer from testing the word list in a filter of its own.
+    words = df.select(id_col, F.explode_outer(col).alias("word")).where(F.col("word").isNotNull())
+    tf = words.groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("tf"))
+    # Counting through ``tf`` lets both sides of the join read one shuffle.
+    freq = tf.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("_df"))
     docs = df.agg(F.count(F.lit(1))).scalar()
     return (
         tf.join(freq, "word")
