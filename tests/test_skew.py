@@ -1,0 +1,144 @@
+"""One key holds a third of all rows or more; results are compared with plain Python."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.operators import attribution, funnel, sessions
+from footfall.plans.skew import dense_rank_ids, running_total
+
+MINUTE = 60_000
+START = 1_704_067_200_000
+
+
+@pytest.fixture(scope="module")
+def events():
+    rnd = random.Random(7)
+    out = []
+    for i in range(3000):
+        user = "hot" if i % 3 == 0 else f"u{rnd.randrange(60)}"
+        step = rnd.choice([0, 1, 5, 29, 30, 31, 45, 300]) * MINUTE
+        out.append((i, user, START + rnd.randrange(400) * 10 * MINUTE + step, rnd.choice("abcde")))
+    # Equal times, times on slice borders, gaps of exactly the limit.
+    out += [(3000 + j, "hot", START + j // 3 * 30 * MINUTE, "abc"[j % 3]) for j in range(90)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def frame(spark, events):
+    return spark.createDataFrame(events, "event_id long, sessionid string, timestamp long, eventid string").repartition(7).cache()
+
+
+def by_user(events):
+    users = {}
+    for i, user, ms, kind in sorted(events, key=lambda e: (e[2], e[0])):
+        users.setdefault(user, []).append((ms, i, kind))
+    return users
+
+
+def split_ids(events, gap):
+    out = {}
+    for user, rows in by_user(events).items():
+        n, before = 0, None
+        for ms, i, _ in rows:
+            if before is not None and ms - before > gap:
+                n += 1
+            before = ms
+            out[i] = f"{user}_{n}"
+    return out
+
+
+@pytest.mark.parametrize("gap", [MINUTE, 30 * MINUTE, 7 * 30 * MINUTE + 1])
+def test_sessionize(frame, events, gap):
+    got = {r["event_id"]: r["newsessionid"] for r in sessions.sessionize(frame, gap_ms=gap).collect()}
+    assert got == split_ids(events, gap)
+
+
+def test_direct_sessions_equal_two_steps(frame, rows):
+    dressed = frame.withColumns(
+        {"guid": F.col("sessionid"), "newflag": F.col("event_id") % 2 == 0,
+         "page": F.when(F.col("eventid") != "a", F.col("eventid")), "location": F.col("eventid")}
+    )
+    one = sessions.session_agg(sessions.sessionize(dressed))
+    two = sessions.sessions_from_events(dressed)
+    assert rows(one) == rows(two)
+    assert one.agg(F.sum("pv_cnt")).head()[0] == dressed.where("page IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("slice_ms", [MINUTE, 10 * MINUTE, 10**10])
+def test_running_total(frame, events, slice_ms):
+    placed = running_total(
+        frame, ["sessionid"], ["timestamp", "event_id"], F.when(F.col("eventid") == "c", 1).otherwise(0), "n", "timestamp",
+        slice_ms, total="all",
+    )
+    expect = {}
+    for user, rows_ in by_user(events).items():
+        n = 0
+        whole = sum(kind == "c" for _, _, kind in rows_)
+        for _, i, kind in rows_:
+            n += kind == "c"
+            expect[i] = (n, whole)
+    assert {r["event_id"]: (r["n"], r["all"]) for r in placed.collect()} == expect
+
+
+def test_page_list_in_chunks(frame, events):
+    lists = sessions.session_pages(frame, session="sessionid", page="eventid", chunk=5).collect()
+    got = {}
+    for r in sorted(lists, key=lambda r: r["chunk"]):
+        assert len(r["page_list"]) <= 5
+        got.setdefault(r["session_id"], []).extend(r["page_list"])
+    assert got == {u: [kind for _, _, kind in rows_] for u, rows_ in by_user(events).items()}
+
+
+@pytest.mark.parametrize("steps", [["a"], ["a", "b"], ["a", "b", "c"], ["a", "a", "b", "a", "e", "d"]])
+@pytest.mark.parametrize("slice_ms", [MINUTE, 600 * MINUTE, 10**11])
+def test_furthest_step(frame, events, steps, slice_ms):
+    got = funnel.furthest_step(frame, steps, ["sessionid"], slice_ms=slice_ms)
+    expect = {}
+    for user, rows_ in by_user(events).items():
+        path = "".join(kind for _, _, kind in rows_ if kind in steps)
+        # The textual rule: the steps in order with anything between them.
+        expect[user] = max(n for n in range(len(steps) + 1) if re.search(".*".join(steps[:n]), path))
+    assert {r["sessionid"]: r["furthest"] for r in got.collect()} == expect
+
+
+def test_short_journeys(spark):
+    data = [(1, "x", 1, "b"), (2, "x", 2, "a"), (3, "y", 5, "a"), (4, "y", 5, "b"), (5, "z", 1, "b")]
+    frame = spark.createDataFrame(data, "event_id long, guid string, timestamp long, eventid string")
+    got = funnel.furthest_step(frame, ["a", "b"], ["guid"])
+    assert {r["guid"]: r["furthest"] for r in got.collect()} == {"x": 1, "y": 2, "z": 0}
+    steps = [tuple(r) for r in funnel.funnel(frame, ["a", "b"], ["guid"]).collect()]
+    assert steps == [(1, "a", 2), (2, "b", 1)]
+
+
+def test_segments(frame, events):
+    got = attribution.segments(
+        frame, "e", ["a", "b", "d"], guid="sessionid", ts="timestamp", event_id="event_id", slice_ms=20 * MINUTE
+    )
+    expect = {}
+    for user, rows_ in by_user(events).items():
+        seg, open_rows = 0, []
+        for ms, i, kind in rows_:
+            if kind == "e":
+                for ms2, i2, k2 in open_rows:
+                    cell = expect.setdefault((user, seg, k2), [(ms2, i2), (ms2, i2), 0])
+                    cell[0], cell[1], cell[2] = min(cell[0], (ms2, i2)), max(cell[1], (ms2, i2)), cell[2] + 1
+                seg, open_rows = seg + 1, []
+            elif kind in "abd":
+                open_rows.append((ms, i, kind))
+    found = {
+        (r["guid"], r["segment"], r["event"]): [tuple(r["first_at"]), tuple(r["last_at"]), r["touches"]] for r in got.collect()
+    }
+    assert found == expect
+    sums = (
+        attribution.attribution(got, "e", digits=9).groupBy("model", "guid", "segment").agg(F.sum("weight").alias("w")).collect()
+    )
+    assert sums and all(abs(r["w"] - 100) < 1e-6 for r in sums)
+
+
+def test_dense_ids(spark):
+    keys = [f"k{i * 7919 % 1000:04d}" for i in range(1000)]
+    got = dense_rank_ids(spark.createDataFrame([(k,) for k in keys], "guid string"), "guid", "id").collect()
+    assert {r["guid"]: r["id"] for r in got} == {k: i for i, k in enumerate(sorted(keys), 1)}
