@@ -175,7 +175,7 @@ def with_guid(spark: SparkSession, sf: str) -> DataFrame:
     events = cleaned(spark, sf)
     scores = identity.daily_scores(events).select("deviceid", "account", "score", F.col("min_time").alias("last_time"))
     best = identity.best_account(scores)
-    return identity.flag_new(identity.resolve_guid(events, best), known_users(spark, sf))
+    return identity.identify(events, best, known_users(spark, sf))
 
 
 def with_location(spark: SparkSession, sf: str, events: DataFrame) -> DataFrame:

@@ -81,11 +81,21 @@ def best(spark, sf):
 
 @QUERIES.add("guid_resolution", sql(TO_GUID, "SELECT event_id, guid FROM ev"))
 def guids(spark, sf):
-    return with_guid(spark, sf).select("event_id", "guid")
+    events = cleaned(spark, sf)
+    scores = identity.daily_scores(events).withColumnRenamed("min_time", "last_time")
+    return identity.resolve_guid(events, identity.best_account(scores)).select("event_id", "guid")
 
 
 @QUERIES.add("new_visitor_flag", sql(TO_GUID, "SELECT event_id, guid, newflag FROM ev"))
 def new_flag(spark, sf):
+    events = cleaned(spark, sf)
+    scores = identity.daily_scores(events).withColumnRenamed("min_time", "last_time")
+    resolved = identity.resolve_guid(events, identity.best_account(scores))
+    return identity.flag_new(resolved, known_users(spark, sf)).select("event_id", "guid", "newflag")
+
+
+@QUERIES.add("event_identity", sql(TO_GUID, "SELECT event_id, guid, newflag FROM ev"))
+def event_identity(spark, sf):
     return with_guid(spark, sf).select("event_id", "guid", "newflag")
 
 

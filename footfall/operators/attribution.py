@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from footfall.plans.skew import TEN_MINUTES_MS, running_total
+from footfall.plans.skew import CELL_ROWS, TEN_MINUTES_MS, running_total
 
 MODELS = ("first", "last", "linear", "position", "time")
 
@@ -21,6 +21,7 @@ def keep_journeys(events: DataFrame, cands: Sequence[str], target: str, guid: st
 def segments(
     events: DataFrame, target: str, cands: Sequence[str], guid: str = "guid", event: str = "eventid",
     ts: str = "ts", event_id: str | None = None, slice_ms: int = TEN_MINUTES_MS, ms: str | None = None,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Candidates per conversion: (guid, segment, event, first_at, last_at, touches).
 
@@ -33,7 +34,7 @@ def segments(
         F.col(ms or ts).cast("long").alias("_ms"),
     )
     is_target = F.when(F.col("event") == target, 1).otherwise(0)
-    placed = running_total(rows, ["guid"], ["at"], is_target, "segment", "_ms", slice_ms, total="_targets")
+    placed = running_total(rows, ["guid"], ["at"], is_target, "segment", "_ms", slice_ms, "_targets", cell_rows)
     return (
         placed.where((F.col("event") != target) & (F.col("segment") < F.col("_targets")))
         .groupBy("guid", "segment", "event")

@@ -147,12 +147,16 @@ def event_overview(
     any_metric = None
     for pred in metrics.values():
         any_metric = pred if any_metric is None else (any_metric | pred)
-    rows = events.where(any_metric).join(ids.select("guid", "id"), "guid", "inner" if inner else "left")
+    # A user's events fold to one row per dimension values before they are joined with the ids.
+    per_user = events.where(any_metric).groupBy("guid", *dims).agg(
+        *[F.count_if(pred).alias(f"{name}_cnt") for name, pred in metrics.items()]
+    )
     aggs = []
-    for name, pred in metrics.items():
-        aggs.append(F.count_if(pred).alias(f"{name}_cnt"))
-        aggs.append(word_of("id", pred).alias(f"{name}_bitmap"))
-    return rows.groupBy(*dims, id_block("id").alias(BLOCK)).agg(*aggs)
+    for name in metrics:
+        aggs.append(F.sum(f"{name}_cnt").alias(f"{name}_cnt"))
+        aggs.append(word_of("id", F.col(f"{name}_cnt") > 0).alias(f"{name}_bitmap"))
+    known = per_user.join(ids.select("guid", "id"), "guid", "inner" if inner else "left")
+    return known.groupBy(*dims, id_block("id").alias(BLOCK)).agg(*aggs)
 
 
 def overview_report(

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from footfall.plans.skew import TEN_MINUTES_MS, time_slice
+from footfall.plans.skew import CELL_ROWS, TEN_MINUTES_MS, with_slice
 
 
 def furthest_step(
     events: DataFrame, steps: Sequence[str], by: Sequence[str], event: str = "eventid", ts: str = "timestamp",
-    event_id: str = "event_id", slice_ms: int = TEN_MINUTES_MS,
+    event_id: str = "event_id", slice_ms: int = TEN_MINUTES_MS, cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(by..., furthest): how many of the steps each journey completes in order.
 
@@ -24,9 +24,10 @@ def furthest_step(
     path = events.where(F.col(event).isin(*set(steps))).select(
         *by,
         F.col(event).alias("_step"),
+        F.col(ts).alias("_ms"),
         F.struct(F.col(ts).alias("t"), F.col(event_id).alias("i")).alias("_at"),
-        time_slice(ts, slice_ms).alias("_slice"),
     )
+    path = with_slice(path, by, "_ms", slice_ms, cell_rows)
     in_cell = Window.partitionBy(*cell)
     # _m{s}_{j}: earliest time step j is done within the slice by a journey entering with s done.
     for j in range(1, k + 1):

@@ -109,6 +109,19 @@ def flag_new(events: DataFrame, known: DataFrame, key: str = "guid") -> DataFram
     return events.join(seen, key, "left").withColumn("newflag", F.col("_seen").isNull()).drop("_seen")
 
 
+def identify(events: DataFrame, best: DataFrame, known: DataFrame) -> DataFrame:
+    """Add ``guid`` and ``newflag``.
+
+    Both follow from (deviceid, account), so they are worked out once per distinct pair, and the
+    events are joined once with the result instead of once with every lookup table.
+    """
+    pairs = flag_new(resolve_guid(events.select("deviceid", "account").distinct(), best), known).select(
+        F.col("deviceid").alias("_d"), F.col("account").alias("_a"), "guid", "newflag"
+    )
+    same = F.col("deviceid").eqNullSafe(F.col("_d")) & F.col("account").eqNullSafe(F.col("_a"))
+    return events.join(pairs, same, "left").drop("_d", "_a")
+
+
 def flag_new_by_contact(events: DataFrame, relation: DataFrame) -> DataFrame:
     """Add ``newflag`` by the older rule: neither the account nor the device was known the day before."""
     devices = relation.select("deviceid").distinct().withColumn("_dev", F.lit(True))

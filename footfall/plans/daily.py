@@ -10,7 +10,6 @@ from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from footfall.functions.columns import millis_date
 from footfall.operators import activity, cube, geo, identity, sessions
@@ -22,33 +21,21 @@ ANY_OF = ["account", "deviceid"]
 
 
 def detail(
-    logs: DataFrame, relation: DataFrame, known: DataFrame, places: DataFrame | None = None,
-    ranges: DataFrame | None = None, precision: int = 6,
+    logs: DataFrame, relation: DataFrame, known: DataFrame, places: DataFrame, ranges: DataFrame, precision: int = 6
 ) -> DataFrame:
     """Cleaned events with session, place, user and new-visitor flag."""
     events = clean_events(logs, REQUIRED, ANY_OF)
     events = sessions.sessionize(events)
-    if places is not None and ranges is not None:
-        events = geo.locate(events, places, ranges, precision)
-        events = events.withColumn("location", F.concat_ws("|", "province", "city", "region"))
-    events = identity.resolve_guid(events, identity.best_account(relation))
-    events = identity.flag_new(events, known)
+    events = geo.locate(events, places, ranges, precision)
+    events = events.withColumn("location", F.concat_ws("|", "province", "city", "region"))
+    events = identity.identify(events, identity.best_account(relation), known)
     return events.withColumn("dt", millis_date("timestamp"))
 
 
-def traffic(detail_rows: DataFrame, ids: DataFrame, dims: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Session table, user table and cube base of a day of detail rows."""
-    paged = extract_props(detail_rows, {"pageId": "page"})
-    per_session = sessions.session_agg(paged)
-    chosen = [d for d in sessions.USER_DIMS if d in per_session.columns] if dims is None else dims
-    per_user = sessions.user_traffic(per_session, chosen)
-    return per_session, per_user, cube.traffic_base(per_user, ids, chosen)
-
-
 def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges: DataFrame, now_ms: int) -> None:
     """One day from raw logs to reports under ``root``; needs ``ods_event_app_log`` with that day.
 
-    The detail rows feed several tables, so they are kept until all are written.
+    Every step starts from tables already written, so nothing is computed twice or lost with an executor.
     """
     before = (date.fromisoformat(day) - timedelta(days=1)).isoformat()
 
@@ -71,22 +58,20 @@ def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges:
     relation = scan_day(spark, f"{root}/device_account_relation", day)
 
     known = table("user_guid_global", before, "id long, guid string").select("id", "guid")
-    rows = detail(logs, relation, known, places, ranges).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_day(rows, f"{root}/event_app_detail", day)
-        write_day(geo.unresolved_points(rows), f"{root}/unresolved_points", day)
-        new_ids = identity.allocate_ids(rows.where("newflag"), known)
-        write_day(known.unionByName(new_ids), f"{root}/user_guid_global", day)
-        write_day(identity.daily_active(rows), f"{root}/user_active_day", day)
-        ids = scan_day(spark, f"{root}/user_guid_global", day, ["id", "guid"])
-        per_session, per_user, base = traffic(rows, ids)
-        write_day(per_session, f"{root}/app_flow_agg_session", day)
-        write_day(per_user, f"{root}/app_flow_agg_user", day)
-        write_day(base, f"{root}/app_flow_overview_bitmap", day)
-    finally:
-        rows.unpersist()
-
-    dims = [c for c in sessions.USER_DIMS if c in base.columns]
+    write_day(detail(logs, relation, known, places, ranges), f"{root}/event_app_detail", day)
+    rows = scan_day(spark, f"{root}/event_app_detail", day)
+    write_day(geo.unresolved_points(rows), f"{root}/unresolved_points", day)
+    new_ids = identity.allocate_ids(rows.where("newflag"), known)
+    write_day(known.unionByName(new_ids), f"{root}/user_guid_global", day)
+    write_day(identity.daily_active(rows), f"{root}/user_active_day", day)
+
+    ids = scan_day(spark, f"{root}/user_guid_global", day, ["id", "guid"])
+    dims = sessions.USER_DIMS
+    write_day(sessions.session_agg(extract_props(rows, {"pageId": "page"})), f"{root}/app_flow_agg_session", day)
+    per_session = scan_day(spark, f"{root}/app_flow_agg_session", day)
+    write_day(sessions.user_traffic(per_session), f"{root}/app_flow_agg_user", day)
+    per_user = scan_day(spark, f"{root}/app_flow_agg_user", day)
+    write_day(cube.traffic_base(per_user, ids, dims), f"{root}/app_flow_overview_bitmap", day)
     stored = scan_day(spark, f"{root}/app_flow_overview_bitmap", day)
     write_day(cube.traffic_cube(stored, dims), f"{root}/app_flow_overview_cube", day)
 

@@ -2,7 +2,7 @@
 
 A window over a whole key puts all its rows into one task. Here a key is cut into time slices;
 rows are only ever ordered within (key, slice), and the slices of a key meet as one summary
-row each. A slice is a function of the row alone, so recomputed tasks agree on it.
+row each. A slice follows from the data alone, so recomputed tasks agree on it.
 """
 
 from __future__ import annotations
@@ -11,10 +11,44 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TEN_MINUTES_MS = 10 * 60 * 1000
 
+# A (key, slice) cell above this many rows is cut further, into at most FINE parts.
+CELL_ROWS = 2_000_000
+FINE = 1024
+# At most this many cells can be cut further, whatever the amount of data.
+MAX_HOT_CELLS = 100_000
 
-def time_slice(ms: Column | str, slice_ms: int = TEN_MINUTES_MS) -> Column:
-    ms = F.col(ms) if isinstance(ms, str) else ms
-    return F.floor(ms / F.lit(slice_ms)).cast("long")
+
+def with_slice(
+    df: DataFrame, keys: list[str], ms: str, slice_ms: int = TEN_MINUTES_MS, cell_rows: int = CELL_ROWS, out: str = "_slice"
+) -> DataFrame:
+    """Add ``out``: the time slice of a row, ascending with ``ms`` within a key.
+
+    Slices are ``slice_ms`` wide. A cell of more than ``cell_rows`` rows, or more than a 100,000th of
+    all rows if that is larger, is cut into narrower slices of the time it spans, in proportion. By
+    that rule fewer than 100,000 cells can qualify, so the list of them is broadcast.
+    """
+    coarse = F.floor(F.col(ms) / F.lit(slice_ms)).cast("long")
+    marked = df.withColumn("_coarse", coarse)
+    counts = marked.groupBy(*keys, "_coarse").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(ms).alias("_lo"), F.max(ms).alias("_hi")
+    )
+    limit = F.greatest(F.lit(cell_rows), counts.agg(F.floor(F.sum("_rows") / F.lit(MAX_HOT_CELLS))).scalar())
+    hot = counts.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit")).select(
+        *[F.col(k).alias(f"_h_{k}") for k in keys],
+        F.col("_coarse").alias("_h_coarse"),
+        F.least(F.ceil(F.col("_rows") / F.col("_limit")), F.lit(FINE)).cast("long").alias("_parts"),
+        "_lo",
+        "_hi",
+    )
+    on = F.col("_coarse") == F.col("_h_coarse")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+    part = F.floor((F.col(ms) - F.col("_lo")) * F.col("_parts") / (F.col("_hi") - F.col("_lo") + 1)).cast("long")
+    return (
+        marked.join(F.broadcast(hot), on, "left")
+        .withColumn(out, F.col("_coarse") * FINE + F.coalesce(part, F.lit(0)))
+        .drop("_coarse", "_h_coarse", "_parts", "_lo", "_hi", *[f"_h_{k}" for k in keys])
+    )
 
 
 def running_total(
@@ -26,15 +60,15 @@ def running_total(
     ms: str,
     slice_ms: int = TEN_MINUTES_MS,
     total: str | None = None,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Add ``out``: sum of ``value`` over the rows of the key up to and including this row.
 
-    ``total`` names one more column to add: the sum over the whole key.
-
-    ``order`` must be a total order within a key that agrees with ``ms``. Per-slice sums are
-    combined map-side, so the second level sees one row per (key, slice).
+    ``total`` names one more column to add: the sum over the whole key. ``order`` must be a total
+    order within a key that agrees with ``ms``. Per-slice sums are combined map-side, so the second
+    level sees one row per (key, slice).
     """
-    marked = df.withColumn("_v", value.cast("long")).withColumn("_slice", time_slice(ms, slice_ms))
+    marked = with_slice(df.withColumn("_v", value.cast("long")), keys, ms, slice_ms, cell_rows)
     cells = [*keys, "_slice"]
     by_key = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -46,16 +80,13 @@ def running_total(
                 "_total": F.sum("_cell").over(Window.partitionBy(*keys)),
             }
         )
-        .drop("_cell")
+        .select(*[F.col(c).alias(f"_o_{c}") for c in cells], "_before", "_total")
     )
     in_cell = Window.partitionBy(*cells).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = marked.withColumn("_local", F.sum("_v").over(in_cell))
-    for c in cells:
-        offsets = offsets.withColumnRenamed(c, f"_o_{c}")
-    same = [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in cells]
-    on = same[0]
-    for cond in same[1:]:
-        on = on & cond
+    on = F.col("_slice") == F.col("_o__slice")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
     joined = local.join(offsets, on, "left").withColumn(out, F.col("_local") + F.col("_before"))
     if total:
         joined = joined.withColumn(total, F.col("_total"))

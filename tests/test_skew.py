@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.operators import attribution, funnel, sessions
-from footfall.plans.skew import dense_rank_ids, running_total
+from footfall.plans.skew import dense_rank_ids, running_total, with_slice
 
 MINUTE = 60_000
 START = 1_704_067_200_000
@@ -67,11 +67,22 @@ def test_direct_sessions_equal_two_steps(frame, rows):
     assert one.agg(F.sum("pv_cnt")).head()[0] == dressed.where("page IS NOT NULL").count()
 
 
-@pytest.mark.parametrize("slice_ms", [MINUTE, 10 * MINUTE, 10**10])
-def test_running_total(frame, events, slice_ms):
+def test_crowded_cells_are_cut(frame):
+    wide = with_slice(frame, ["sessionid"], "timestamp", 10**10, cell_rows=100)
+    cells = wide.groupBy("sessionid").agg(F.countDistinct("_slice").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    assert all((r["n"] > 5) == (r["rows"] > 100) for r in cells)
+    assert max(r["rows"] for r in cells) > 1000
+    # Slices ascend with time.
+    order = wide.groupBy("sessionid", "_slice").agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+    clash = order.alias("a").join(order.alias("b"), "sessionid").where("a._slice < b._slice AND a.hi >= b.lo")
+    assert clash.count() == 0
+
+
+@pytest.mark.parametrize("slice_ms,cell_rows", [(MINUTE, 10**6), (10 * MINUTE, 10**6), (10**10, 10**6), (10**10, 50), (600 * MINUTE, 3)])
+def test_running_total(frame, events, slice_ms, cell_rows):
     placed = running_total(
         frame, ["sessionid"], ["timestamp", "event_id"], F.when(F.col("eventid") == "c", 1).otherwise(0), "n", "timestamp",
-        slice_ms, total="all",
+        slice_ms, total="all", cell_rows=cell_rows,
     )
     expect = {}
     for user, rows_ in by_user(events).items():
@@ -93,9 +104,9 @@ def test_page_list_in_chunks(frame, events):
 
 
 @pytest.mark.parametrize("steps", [["a"], ["a", "b"], ["a", "b", "c"], ["a", "a", "b", "a", "e", "d"]])
-@pytest.mark.parametrize("slice_ms", [MINUTE, 600 * MINUTE, 10**11])
-def test_furthest_step(frame, events, steps, slice_ms):
-    got = funnel.furthest_step(frame, steps, ["sessionid"], slice_ms=slice_ms)
+@pytest.mark.parametrize("slice_ms,cell_rows", [(MINUTE, 10**6), (600 * MINUTE, 10**6), (10**11, 40)])
+def test_furthest_step(frame, events, steps, slice_ms, cell_rows):
+    got = funnel.furthest_step(frame, steps, ["sessionid"], slice_ms=slice_ms, cell_rows=cell_rows)
     expect = {}
     for user, rows_ in by_user(events).items():
         path = "".join(kind for _, _, kind in rows_ if kind in steps)
@@ -115,7 +126,7 @@ def test_short_journeys(spark):
 
 def test_segments(frame, events):
     got = attribution.segments(
-        frame, "e", ["a", "b", "d"], guid="sessionid", ts="timestamp", event_id="event_id", slice_ms=20 * MINUTE
+        frame, "e", ["a", "b", "d"], guid="sessionid", ts="timestamp", event_id="event_id", slice_ms=600 * MINUTE, cell_rows=20
     )
     expect = {}
     for user, rows_ in by_user(events).items():
