@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from footfall.functions.columns import epoch_millis
 from footfall.operators import identity, sessions
 from footfall.operators.clean import clean_events, extract_props
-from footfall.session import apply_runtime_conf
+from footfall.session import apply_runtime_conf, cut_lineage
 
 LAST_DAY = "2024-01-30"
 MID_DAY = "2024-01-15"
@@ -195,6 +195,11 @@ def detail(spark: SparkSession, sf: str) -> DataFrame:
     return extract_props(with_location(spark, sf, with_guid(spark, sf)), {"pageId": "page", "productId": "product"})
 
 
+def stored_detail(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as a stored table, for reports that read it more than once."""
+    return cut_lineage(detail(spark, sf))
+
+
 def session_rows(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.sessions_from_events(detail(spark, sf))
 
@@ -203,6 +208,12 @@ def user_rows(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.user_traffic(session_rows(spark, sf))
 
 
+def users_and_ids(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """User traffic rows and the id table, both from one stored detail table."""
+    rows = stored_detail(spark, sf)
+    return sessions.user_traffic(sessions.sessions_from_events(rows)), identity.allocate_ids(rows.select("guid"))
+
+
 def guid_ids(spark: SparkSession, sf: str) -> DataFrame:
     return identity.allocate_ids(with_guid(spark, sf).select("guid"))
 

@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    IDS, LOG, PLACE, SPLIT, TO_GUID, TO_TRAFFIC, Registry, detail, guid_ids, known_users, sql, table, text, user_rows,
+    IDS, LOG, PLACE, SPLIT, TO_GUID, TO_TRAFFIC, Registry, detail, known_users, sql, stored_detail, table, text, users_and_ids,
 )
 from footfall.functions.columns import hour_of_day
-from footfall.operators import cube
+from footfall.operators import cube, identity
 from footfall.operators.history import enrich
 from footfall.operators.sessions import USER_DIMS
 
@@ -21,12 +21,12 @@ DIMS_SQL = ", ".join(USER_DIMS)
 
 
 def base(spark, sf, dims, per_user=False):
-    return cube.traffic_base(user_rows(spark, sf), guid_ids(spark, sf), dims, per_user)
+    return cube.traffic_base(*users_and_ids(spark, sf), dims, per_user)
 
 
 @QUERIES.add("traffic_base", sql(TO_TRAFFIC, f"SELECT {DIMS_SQL}, {MEASURES_SQL} {FROM_TRAFFIC} GROUP BY {DIMS_SQL}"))
 def traffic_base(spark, sf):
-    return cube.traffic_report(user_rows(spark, sf), guid_ids(spark, sf), USER_DIMS)
+    return cube.traffic_report(*users_and_ids(spark, sf), USER_DIMS)
 
 
 @QUERIES.add(
@@ -68,7 +68,7 @@ def cube_slice(spark, sf):
     sql(TO_TRAFFIC, f"SELECT location, os_name, {MEASURES_SQL} {FROM_TRAFFIC} GROUP BY location, os_name"),
 )
 def report(spark, sf):
-    return cube.traffic_report(user_rows(spark, sf), guid_ids(spark, sf), ["location", "os_name"])
+    return cube.traffic_report(*users_and_ids(spark, sf), ["location", "os_name"])
 
 
 @QUERIES.add(
@@ -78,7 +78,7 @@ def report(spark, sf):
         GROUP BY location, os_name"""),
 )
 def return_users(spark, sf):
-    return cube.traffic_report(user_rows(spark, sf), guid_ids(spark, sf), ["location", "os_name"], per_user=True)
+    return cube.traffic_report(*users_and_ids(spark, sf), ["location", "os_name"], per_user=True)
 
 
 @QUERIES.add(
@@ -161,10 +161,10 @@ def share_cube(spark, sf):
     )
 
 
-def star(spark, sf):
+def star(spark, sf, events):
     """Detail rows with product, page and report dimensions."""
     rows = enrich(
-        detail(spark, sf),
+        events,
         [
             (product_dim(spark, sf).withColumn("id", text("id")), "product", "id"),
             (page_dim(spark, sf).withColumn("id", text("id")), "page", "id"),
@@ -203,8 +203,10 @@ def overview_sql(dims, metrics):
 
 def overview(spark, sf, dims, metrics):
     preds = {m: F.col("eventid") == e for m, e in metrics.items()}
-    table_ = cube.event_overview(star(spark, sf), guid_ids(spark, sf), dims, preds)
-    return cube.overview_report(table_, dims, metrics, [dims]).drop("grouping_id")
+    rows = stored_detail(spark, sf)
+    ids = identity.allocate_ids(rows.select("guid"))
+    base_ = cube.event_overview(star(spark, sf, rows), ids, dims, preds)
+    return cube.overview_report(base_, dims, metrics, [dims]).drop("grouping_id")
 
 
 INTERACTION = ["channel", "cat_name", "brand_name", "page", "lanmu_name", "area", "nation_name", "hour_of_day", "devicetype"]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    IDS, PLACE, SESSIONS, SPLIT, TO_GUID, TO_TRAFFIC, TRAFFIC, Registry, detail, session_rows, sql, user_rows, with_guid,
+    IDS, PLACE, SESSIONS, SPLIT, TO_GUID, TO_TRAFFIC, TRAFFIC, Registry, detail, session_rows, sql, stored_detail, user_rows, with_guid,
 )
 from footfall.operators import sessions
 
@@ -33,7 +33,7 @@ def direct(spark, sf):
         FROM split WHERE page IS NOT NULL GROUP BY newsessionid"""),
 )
 def pages(spark, sf):
-    lists = sessions.session_pages(sessions.sessionize(detail(spark, sf)))
+    lists = sessions.session_pages(sessions.sessionize(stored_detail(spark, sf)))
     return lists.select("session_id", "chunk", F.array_join("page_list", ",").alias("pages"))
 
 
@@ -44,7 +44,7 @@ def pages(spark, sf):
         GROUP BY sessionid, chunk"""),
 )
 def daily_pages(spark, sf):
-    lists = sessions.session_pages(detail(spark, sf), session="sessionid", chunk=2)
+    lists = sessions.session_pages(stored_detail(spark, sf), session="sessionid", chunk=2)
     return lists.select("session_id", "chunk", F.array_join("page_list", ",").alias("pages"))
 
 

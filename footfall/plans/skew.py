@@ -32,7 +32,7 @@ def with_slice(
     counts = marked.groupBy(*keys, "_coarse").agg(
         F.count(F.lit(1)).alias("_rows"), F.min(ms).alias("_lo"), F.max(ms).alias("_hi")
     )
-    limit = F.greatest(F.lit(cell_rows), counts.agg(F.floor(F.sum("_rows") / F.lit(MAX_HOT_CELLS))).scalar())
+    limit = F.greatest(F.lit(cell_rows), marked.agg(F.floor(F.count(F.lit(1)) / F.lit(MAX_HOT_CELLS))).scalar())
     hot = counts.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit")).select(
         *[F.col(k).alias(f"_h_{k}") for k in keys],
         F.col("_coarse").alias("_h_coarse"),
@@ -71,26 +71,26 @@ def running_total(
     marked = with_slice(df.withColumn("_v", value.cast("long")), keys, ms, slice_ms, cell_rows)
     cells = [*keys, "_slice"]
     by_key = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    # What earlier slices add up to enters a cell as one row ahead of its events, so the events are
+    # shuffled once and never joined.
+    carried = (
         marked.groupBy(*cells)
         .agg(F.sum("_v").alias("_cell"))
-        .withColumns(
-            {
-                "_before": F.coalesce(F.sum("_cell").over(by_key), F.lit(0)),
-                "_total": F.sum("_cell").over(Window.partitionBy(*keys)),
-            }
+        .select(
+            *cells,
+            F.coalesce(F.sum("_cell").over(by_key), F.lit(0)).alias("_v"),
+            F.sum("_cell").over(Window.partitionBy(*keys)).alias("_total"),
+            F.lit(0).alias("_event"),
         )
-        .select(*[F.col(c).alias(f"_o_{c}") for c in cells], "_before", "_total")
     )
-    in_cell = Window.partitionBy(*cells).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = marked.withColumn("_local", F.sum("_v").over(in_cell))
-    on = F.col("_slice") == F.col("_o__slice")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    joined = local.join(offsets, on, "left").withColumn(out, F.col("_local") + F.col("_before"))
+    both = marked.withColumns({"_event": F.lit(1), "_total": F.lit(None).cast("long")}).unionByName(
+        carried, allowMissingColumns=True
+    )
+    in_cell = Window.partitionBy(*cells).orderBy("_event", *order).rowsBetween(Window.unboundedPreceding, 0)
+    added = {out: F.sum("_v").over(in_cell)}
     if total:
-        joined = joined.withColumn(total, F.col("_total"))
-    return joined.drop("_v", "_slice", "_local", "_before", "_total", *[f"_o_{c}" for c in cells])
+        added[total] = F.first("_total").over(in_cell)
+    return both.withColumns(added).where(F.col("_event") == 1).drop("_v", "_slice", "_event", "_total")
 
 
 def dense_rank_ids(distinct_keys: DataFrame, key: str, out: str) -> DataFrame:

@@ -94,6 +94,12 @@ def test_running_total(frame, events, slice_ms, cell_rows):
     assert {r["event_id"]: (r["n"], r["all"]) for r in placed.collect()} == expect
 
 
+def test_running_total_of_a_null_key(spark):
+    frame = spark.createDataFrame([(None, 1), (None, 10**9), ("a", 5)], "k string, ms long")
+    got = running_total(frame, ["k"], ["ms"], F.lit(1), "n", "ms", total="all")
+    assert sorted((r["k"] or "", r["ms"], r["n"], r["all"]) for r in got.collect()) == [("", 1, 1, 2), ("", 10**9, 2, 2), ("a", 5, 1, 1)]
+
+
 def test_page_list_in_chunks(frame, events):
     lists = sessions.session_pages(frame, session="sessionid", page="eventid", chunk=5).collect()
     got = {}
