@@ -66,12 +66,12 @@ def at_level(spark, sf):
 @QUERIES.add(
     "star_enrichment",
     """SELECT l_returnflag, p_type, coalesce(p_brand, '未知') AS p_brand, n_name AS supplier_nation, count(*) AS lines, round(sum(l_quantity), 2) AS quantity
-       FROM lineitem LEFT JOIN (SELECT p_partkey, p_brand, p_type FROM part WHERE p_size <= 40) ON p_partkey = l_partkey
+       FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
        LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation ON n_nationkey = s_nationkey
        GROUP BY ALL""".replace("p_type,", "coalesce(p_type, '未知') AS p_type,", 1),
 )
 def star(spark, sf):
-    part = table(spark, sf, "part").where("p_size <= 40").select("p_partkey", "p_brand", "p_type")
+    part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("supplier_nation"))
     rows = history.enrich(

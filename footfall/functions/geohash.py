@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
-# Fixed value: the geohash alphabet.
+# The geohash alphabet, and the digits Spark writes base 32 with.
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
+CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 
 def _cell_index(value: Column, low: float, span: float, bits: int) -> Column:
@@ -17,27 +16,26 @@ def _cell_index(value: Column, low: float, span: float, bits: int) -> Column:
     return F.greatest(F.lit(0), F.least(raw, F.lit(cells - 1))).cast("long")
 
 
+def _spread(cell: Column) -> Column:
+    """The bits of a number with a zero between each two: its binary digits read in base four."""
+    return F.conv(F.bin(cell), 4, 10).cast("long")
+
+
 def geohash(lat: Column | str, lon: Column | str, precision: int = 6) -> Column:
     """Base-32 cell of a point; null when a coordinate is null or out of range.
 
-    Bits alternate longitude, latitude from the top; five bits make a character.
+    Bits alternate longitude, latitude from the top; five bits make a character. ``conv`` writes the
+    number in base 32 with its own digits, which are then exchanged for those of the alphabet.
     """
     if not 1 <= precision <= 12:
         raise ValueError("precision must be between 1 and 12")
     lat = F.col(lat) if isinstance(lat, str) else lat
     lon = F.col(lon) if isinstance(lon, str) else lon
     total = 5 * precision
-    lon_bits, lat_bits = (total + 1) // 2, total // 2
-    x = _cell_index(lon, -180.0, 360.0, lon_bits)
-    y = _cell_index(lat, -90.0, 180.0, lat_bits)
-
-    def bit(position: int) -> Column:
-        axis, width = (x, lon_bits) if position % 2 == 0 else (y, lat_bits)
-        return F.shiftright(axis, width - 1 - position // 2).bitwiseAND(F.lit(1))
-
-    def char(j: int) -> Column:
-        digit = reduce(lambda acc, t: acc * 2 + bit(5 * j + t), range(1, 5), bit(5 * j))
-        return F.substring(F.lit(BASE32), (digit + 1).cast("int"), F.lit(1))
-
+    x = _spread(_cell_index(lon, -180.0, 360.0, (total + 1) // 2))
+    y = _spread(_cell_index(lat, -90.0, 180.0, total // 2))
+    # The lowest bit is a latitude bit when the number of bits is even.
+    mixed = x * 2 + y if total % 2 == 0 else x + y * 2
+    digits = F.lpad(F.conv(mixed.cast("string"), 10, 32), precision, "0")
     valid = lat.between(-90, 90) & lon.between(-180, 180)
-    return F.when(valid, F.concat(*[char(j) for j in range(precision)]))
+    return F.when(valid, F.translate(digits, CONV_DIGITS, BASE32))
