@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from footfall.functions.columns import millis_date
 from footfall.operators import activity, cube, geo, identity, sessions
 from footfall.operators.clean import clean_events, extract_props
-from footfall.sources.tables import scan_day, write_day
+from footfall.sources.tables import scan_day, scan_through, write_day
 
 REQUIRED = ["properties", "eventid", "sessionid"]
 ANY_OF = ["account", "deviceid"]
@@ -39,10 +39,10 @@ def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges:
     """
     before = (date.fromisoformat(day) - timedelta(days=1)).isoformat()
 
-    def table(name: str, when: str, schema: str) -> DataFrame:
-        """A day of a table, or no rows where the day was never written."""
+    def table(name: str, when: str, schema: str, scan=scan_day) -> DataFrame:
+        """A day of a table, or no rows where nothing was ever written."""
         try:
-            return scan_day(spark, f"{root}/{name}", when)
+            return scan(spark, f"{root}/{name}", when)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -57,15 +57,14 @@ def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges:
     write_day(relation, f"{root}/device_account_relation", day)
     relation = scan_day(spark, f"{root}/device_account_relation", day)
 
-    known = table("user_guid_global", before, "id long, guid string").select("id", "guid")
+    known = table("user_guid_global", before, "id long, guid string", scan_through).select("id", "guid")
     write_day(detail(logs, relation, known, places, ranges), f"{root}/event_app_detail", day)
     rows = scan_day(spark, f"{root}/event_app_detail", day)
     write_day(geo.unresolved_points(rows), f"{root}/unresolved_points", day)
-    new_ids = identity.allocate_ids(rows.where("newflag"), known)
-    write_day(known.unionByName(new_ids), f"{root}/user_guid_global", day)
+    write_day(identity.allocate_ids(rows.where("newflag"), known), f"{root}/user_guid_global", day)
     write_day(identity.daily_active(rows), f"{root}/user_active_day", day)
 
-    ids = scan_day(spark, f"{root}/user_guid_global", day, ["id", "guid"])
+    ids = scan_through(spark, f"{root}/user_guid_global", day, ["id", "guid"])
     dims = sessions.USER_DIMS
     write_day(sessions.session_agg(extract_props(rows, {"pageId": "page"})), f"{root}/app_flow_agg_session", day)
     per_session = scan_day(spark, f"{root}/app_flow_agg_session", day)

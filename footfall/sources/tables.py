@@ -17,6 +17,12 @@ def scan_day(spark: SparkSession, path: str, day: str, columns: Sequence[str] |
     return df.select(*columns) if columns else df
 
 
+def scan_through(spark: SparkSession, path: str, day: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """All days of a table up to and including ``day``: for tables that only grow, such as the id table."""
+    df = spark.read.parquet(path).where(F.col("dt") <= F.lit(day).cast("date"))
+    return df.select(*columns) if columns else df
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

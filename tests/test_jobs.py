@@ -57,11 +57,12 @@ def snapshot(spark, root, names):
 
 def test_days_build_on_each_other(spark, warehouse):
     root, days, *_ = warehouse
-    ids = tables.scan_day(spark, f"{root}/user_guid_global", days[-1])
+    ids = tables.scan_through(spark, f"{root}/user_guid_global", days[-1])
     assert len(set(quality.check_dense(ids).head())) == 1
-    first = {r["guid"]: r["id"] for r in tables.scan_day(spark, f"{root}/user_guid_global", days[0]).collect()}
-    last = {r["guid"]: r["id"] for r in ids.collect()}
-    assert all(last[g] == i for g, i in first.items())
+    first, last = (tables.scan_day(spark, f"{root}/user_guid_global", d) for d in (days[0], days[1]))
+    assert last.count() > 0 and last.agg(F.min("id")).head()[0] == first.agg(F.max("id")).head()[0] + 1
+    met = spark.read.parquet(f"{root}/event_app_detail").groupBy("guid").agg(F.min("dt").alias("dt"), F.min_by("newflag", "dt").alias("new"))
+    assert met.where("new").join(ids.select("guid", F.col("dt").alias("since")), "guid").where("dt <> since").count() == 0
     relation = tables.scan_day(spark, f"{root}/device_account_relation", days[-1])
     assert quality.check_mixed(relation).count() == 0
     detail = spark.read.parquet(f"{root}/event_app_detail")
