@@ -137,7 +137,7 @@ def traffic_report(user: DataFrame, ids: DataFrame, dims: Sequence[str], per_use
 
 
 def event_overview(
-    events: DataFrame, ids: DataFrame, dims: Sequence[str], metrics: Mapping[str, Column], inner: bool = False
+    events: DataFrame, ids: DataFrame, dims: Sequence[str], metrics: Mapping[str, Column], inner: bool = False,
 ) -> DataFrame:
     """Base table of an event report: per (dims, block) and metric the number of events and the user set.
 
@@ -173,18 +173,22 @@ SHARE_DIMS = ["cat_name", "brand_name", "page_id", "lanmu_name", "share_method",
 
 
 def share_base(events: DataFrame, product: DataFrame, page: DataFrame, ids: DataFrame, event: str = "share") -> DataFrame:
-    """Star join of the share events with product and page, then user sets and counts by seven dimensions.
+    """Share events with product and page names: user sets and counts by seven dimensions.
 
-    Users without an id are left out; an unknown product or page gets the default label.
+    Events fold to one row per user and raw dimension values before they meet any other table. Users
+    without an id are left out; an unknown product or page gets the default label.
     """
-    shares = events.where(F.col("eventid") == event).select(
-        "guid",
-        "eventid",
-        F.col("devicetype").alias("device_type"),
-        hour_of_day("timestamp").alias("hour_range"),
-        F.col("properties")["productId"].alias("_product"),
-        F.col("properties")["pageId"].alias("page_id"),
-        F.col("properties")["shareMethod"].alias("share_method"),
+    shares = (
+        events.where(F.col("eventid") == event)
+        .groupBy(
+            "guid",
+            F.col("devicetype").alias("device_type"),
+            hour_of_day("timestamp").alias("hour_range"),
+            F.col("properties")["productId"].alias("_product"),
+            F.col("properties")["pageId"].alias("page_id"),
+            F.col("properties")["shareMethod"].alias("share_method"),
+        )
+        .agg(F.count(F.lit(1)).alias("_shares"))
     )
     named = enrich(
         shares,
@@ -193,7 +197,11 @@ def share_base(events: DataFrame, product: DataFrame, page: DataFrame, ids: Data
             (page.select(F.col("id").cast("string").alias("id"), "lanmu_name"), "page_id", "id"),
         ],
     )
-    return event_overview(named, ids, SHARE_DIMS, {"share": F.col("eventid") == event}, inner=True)
+    return (
+        named.join(ids.select("guid", "id"), "guid")
+        .groupBy(*SHARE_DIMS, id_block("id").alias(BLOCK))
+        .agg(F.sum("_shares").alias("share_cnt"), word_of("id").alias("share_bitmap"))
+    )
 
 
 def share_cube(base: DataFrame, sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
