@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,14 +37,25 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_root: dict[str, str] = {}
+
+
 def _shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """The folder named by ``spark.checkpoint.dir``; on a local master without it one temporary folder per session.
+
+    The temporary folder goes when the process ends.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="footfall-")
+    app = spark.sparkContext.applicationId
+    if app not in _own_root:
+        _own_root[app] = tempfile.mkdtemp(prefix="footfall-")
+        atexit.register(shutil.rmtree, _own_root[app], ignore_errors=True)
+    return _own_root[app]
 
 
 def cut_lineage(df):
