@@ -20,6 +20,8 @@ EDGE = b".,;:!?\"'()[]{}|*&%$#@-_/\\"
 #: Bounds of the training sample (documented parameters) and of the features a model uses.
 POSITIVE, UNLABELLED = 2000, 6000
 FEATURES = 2048
+#: A feature needs this share of the positives and this standard score.
+LEAST_SHARE, GAP = 0.015, 5.0
 EPOCHS, RATE, RIDGE = 400, 0.05, 1e-4
 #: Words a worker remembers the weight of.
 KNOWN = 300_000
@@ -40,7 +42,10 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _collect(rows: DataFrame) -> list[np.ndarray]:
-    return [np.unique(np.array(r["f"], np.int64)) for r in rows.mapInArrow(_vectors, "f array<int>").toLocalIterator()]
+    """Features of the sampled texts; copies count once, or their words would look like marks of toxicity."""
+    once = rows.select("_text").distinct()
+    found = [np.unique(np.array(r["f"], np.int64)) for r in once.mapInArrow(_vectors, "f array<int>").toLocalIterator()]
+    return sorted(found, key=lambda f: (len(f), f.tolist()))
 
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> tuple[np.ndarray, np.ndarray, float]:
@@ -53,10 +58,11 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
     df_p = np.bincount(np.concatenate([*positive, np.zeros(0, np.int64)]), minlength=SPACE)
     df_u = np.bincount(np.concatenate([*unlabelled, np.zeros(0, np.int64)]), minlength=SPACE)
+    least = max(3, LEAST_SHARE * n_p)
     both = (df_p + df_u) / (n_p + n_u)
     gap = (df_p / n_p - df_u / n_u) / np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
-    chosen = np.argsort(-np.where((df_p >= 3) & (gap > 4), gap, 0), kind="stable")[:FEATURES]
-    chosen = np.sort(chosen[(df_p[chosen] >= 3) & (gap[chosen] > 4)])
+    chosen = np.argsort(-np.where((df_p >= least) & (gap > GAP), gap, 0), kind="stable")[:FEATURES]
+    chosen = np.sort(chosen[(df_p[chosen] >= least) & (gap[chosen] > GAP)])
 
     def matrix(rows):
         at = [np.searchsorted(chosen, r[np.isin(r, chosen, assume_unique=True)]) for r in rows]
@@ -66,18 +72,16 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     w, b = np.zeros(len(chosen)), np.array([np.log(prior / (1 - prior))])
     optimiser = Adam([w, b], RATE)
     for _ in range(EPOCHS):
-        zp = np.bincount(rp, w[cp], len(positive)) + b if len(positive) else np.zeros(0)
-        zu = np.bincount(ru, w[cu], len(unlabelled)) + b if len(unlabelled) else np.zeros(0)
-        sp, su = sigmoid(zp), sigmoid(zu)
-        # Logistic losses: as positive log(1 + e^-z), as negative log(1 + e^z).
-        rest = np.logaddexp(0, zu).sum() / n_u - prior * np.logaddexp(0, zp).sum() / n_p
-        gp_pos, gp_neg, gu = -prior * (1 - sp) / n_p, -prior * sp / n_p, su / n_u
+        sp, su = (sigmoid(np.bincount(r, w[c], n) + b[0]) for r, c, n in ((rp, cp, len(positive)), (ru, cu, len(unlabelled))))
+        # Sigmoid losses, as positive 1 - s and as negative s: bounded, so the bracket estimates a true risk.
+        rest = su.sum() / n_u - prior * sp.sum() / n_p
+        slope_p, slope_u = sp * (1 - sp) / n_p, su * (1 - su) / n_u
         if rest >= 0:
-            gp, sign = gp_pos + gp_neg, 1.0
+            gp, gu = -2 * prior * slope_p, slope_u
         else:
-            gp, sign = -gp_neg, -1.0
-        g = np.bincount(cp, gp[rp], len(w)) + sign * np.bincount(cu, gu[ru], len(w))
-        optimiser.step([g + RIDGE * w, np.array([gp.sum() + sign * gu.sum()])])
+            gp, gu = prior * slope_p, -slope_u
+        g = np.bincount(cp, gp[rp], len(w)) + np.bincount(cu, gu[ru], len(w))
+        optimiser.step([g + RIDGE * w, np.array([gp.sum() + gu.sum()])])
     return chosen, w, float(b[0])
 
 
