@@ -10,36 +10,36 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.llm.common import held_out, stored, total_bytes, words
 
-#: Bytes of context; context and byte fit into one 64-bit number up to 7.
+#: Bytes of context; context and byte fit into a positive 64-bit number up to 6.
 DEPTH = 5
-#: Bytes of text that are scored together, and positions looked up at once.
-CHUNK_BYTES = 12 << 20
+#: Bytes of text that are scored together, and positions worked on at once.
+CHUNK_BYTES = 24 << 20
 BLOCK = 1 << 20
-#: Distinct grams, and words, a counting task keeps before it hands them on.
-HELD = 1 << 21
-GRAM, WORD = 0, 1
+#: Distinct keys a counting task keeps before it hands them on.
+HELD = 1 << 22
 LN2 = math.log(2.0)
 
 
+#: The end of a text, as a token.
+END = b"\n"
+
+
 def stream(tokens: list[bytes], depth: int) -> bytes:
     """The bytes of a text after ``depth`` line feeds."""
     return b"\n" * depth + (b" ".join(tokens) + b" \n" if tokens else b"\n")
 
 
 def grams(joined: bytes, depth: int) -> np.ndarray:
-    """Context and byte of every position: the latest byte of the context is its lowest.
-
-    Positions of the leading line feeds of a stream are left out by the caller's cut.
-    """
+    """Context and byte of every position but the first ``depth``: the latest byte of the context is its lowest."""
     a = np.frombuffer(joined, np.uint8).astype(np.int64)
     out = a[depth:].copy()
     for back in range(1, depth + 1):
@@ -47,9 +47,55 @@ def grams(joined: bytes, depth: int) -> np.ndarray:
     return out
 
 
-def _words_key(token: bytes) -> int:
-    """Words are known by 64 bits of hash: among ten billion words, about three pairs share one."""
-    return xxhash.xxh64_intdigest(token, 7) - (1 << 63)
+def word_keys(tokens: list[bytes]) -> np.ndarray:
+    """Negative numbers that stand for words, by 63 bits of hash: of ten billion words, some five pairs share one.
+
+    Grams are positive numbers, so both fit into one column.
+    """
+    h = np.fromiter(map(xxhash.xxh64_intdigest, tokens, repeat(7)), np.uint64, len(tokens))
+    return (h | np.uint64(1 << 63)).view(np.int64)
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each occurs, or the sum of its counts."""
+    key = np.concatenate([*keys, np.zeros(0, np.int64)])
+    if counts is None:
+        key.sort()
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        return key[first], np.diff(np.append(first, len(key)))
+    order = np.argsort(key)
+    key, n = key[order], np.concatenate([*counts, np.zeros(0, np.int64)])[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(key) else n
+
+
+class Lookup:
+    """Values by key for keys that are all there: open addressing, in numpy."""
+
+    def __init__(self, key: np.ndarray, value: np.ndarray) -> None:
+        bits = max(4, (4 * len(key)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.key, self.value = np.zeros(1 << bits, np.int64), np.zeros(1 << bits)
+        taken = np.zeros(1 << bits, bool)
+        todo, at = np.arange(len(key)), self._slot(key)
+        while len(todo):
+            # The last of those that want a free slot gets it; the others go one on.
+            free = ~taken[at]
+            self.key[at[free]], self.value[at[free]] = key[todo[free]], value[todo[free]]
+            taken[at] = True
+            left = self.key[at] != key[todo]
+            todo, at = todo[left], (at[left] + 1) & self.mask
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, key: np.ndarray) -> np.ndarray:
+        at = self._slot(key)
+        far = np.flatnonzero(self.key[at] != key)
+        while len(far):
+            at[far] = (at[far] + 1) & self.mask
+            far = far[self.key[at[far]] != key[far]]
+        return self.value[at]
 
 
 def _log_gamma(x: Column) -> Column:
@@ -71,79 +117,48 @@ def _kt(zeros: Column, ones: Column) -> Column:
 
 
 def counts(docs: DataFrame, depth: int) -> DataFrame:
-    """(kind, key, n): how often each gram and word occurs in training rows; 0 for those of other rows only.
+    """(key, n): how often each gram and word occurs in training rows; 0 for those of other rows only.
 
-    ``docs`` has text and held. Every gram of every text is there, so scoring finds all it asks for.
+    ``docs`` has text and held. Every gram and word of every text is there, so scoring finds all it asks for.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        held_words: set[bytes] = set()
-        parts: dict[bool, list] = {False: [], True: []}
-        texts: dict[bool, list] = {False: [], True: []}
-        size = 0
-
-        def cut(held: bool) -> None:
-            if not texts[held]:
-                return
-            joined = b"".join(texts[held])
-            found, at = [], 0
-            keys = grams(joined, depth)
-            real = np.ones(len(keys), bool)
-            for s in texts[held][:-1]:
-                at += len(s)
-                real[at - depth : at] = False
-            found, n = np.unique(keys[real], return_counts=True)
-            parts[held].append((found, n if not held else np.zeros(len(found), np.int64)))
-            texts[held].clear()
-
-        def flush() -> Iterator[pa.RecordBatch]:
+        keys, sums, size = [], [], 0
+        open_: dict[bool, list] = {False: [], True: []}
+        pending = {False: 0, True: 0}
+
+        def fold(held: bool) -> None:
+            key, n = _summed(open_[held])
+            keys.append(key)
+            sums.append(n * 0 if held else n)
+            open_[held], pending[held] = [], 0
+
+        def flush() -> pa.RecordBatch:
             for held in (False, True):
-                cut(held)
-            both = [*parts[False], *parts[True]]
-            if both:
-                key, at = np.unique(np.concatenate([k for k, _ in both]), return_inverse=True)
-                n = np.bincount(at, np.concatenate([n for _, n in both]), len(key)).astype(np.int64)
-                yield _rows(GRAM, key, n)
-            held_words.difference_update(seen)
-            tokens = [*seen, *held_words]
-            key = np.fromiter(map(_words_key, tokens), np.int64, len(tokens))
-            n = np.concatenate([np.fromiter(seen.values(), np.int64, len(seen)), np.zeros(len(held_words), np.int64)])
-            order = np.argsort(key)
-            yield _rows(WORD, key[order], n[order])
-            parts[False], parts[True] = [], []
-            seen.clear()
-            held_words.clear()
+                fold(held)
+            key, n = _summed(keys, sums)
+            keys.clear()
+            sums.clear()
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
 
-        pending = {False: 0, True: 0}
         for batch in batches:
             for text, held in zip(batch.column(0), batch.column(1)):
                 held = held.as_py()
                 tokens = words(text.as_py())
-                body = stream(tokens, depth)
-                tokens.append(b"\n")
-                if held:
-                    held_words.update(tokens)
-                else:
-                    for w in tokens:
-                        seen[w] = seen.get(w, 0) + 1
-                texts[held].append(body)
+                body = grams(stream(tokens, depth), depth)
+                tokens.append(END)
+                open_[held] += [body, word_keys(tokens)]
                 pending[held] += len(body)
-                if pending[held] >= 4 * BLOCK:
-                    cut(held)
-                    pending[held] = 0
-                    size = sum(len(k) for x in parts.values() for k, _ in x) + len(seen) + len(held_words)
-                if size >= 2 * HELD:
-                    yield from flush()
-                    size, pending = 0, {False: 0, True: 0}
-        yield from flush()
+                if pending[held] >= 2 * BLOCK:
+                    fold(held)
+                    size += len(keys[-1])
+                if size >= HELD:
+                    yield flush()
+                    size = 0
+        yield flush()
 
-    rows = docs.select("text", "held").mapInArrow(run, "kind int, key long, n long")
-    return rows.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-
-
-def _rows(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(n)], ["kind", "key", "n"])
+    rows = docs.select("text", "held").mapInArrow(run, "key long, n long")
+    return rows.groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def train(gram_counts: DataFrame, depth: int) -> DataFrame:
@@ -204,73 +219,52 @@ def score(docs: DataFrame, depth: int = DEPTH, doc_id: str = "doc_id", text: str
     a null id trains; repeated rows give repeated rows; an empty table gives none; other columns are not carried.
 
     Counts are summed over all texts. Scoring never sends the model whole anywhere: texts are dealt into
-    chunks of some 12 MB, each asks once for each distinct gram and word it holds, and the answers return
-    to it by their place in the sorted list of what it asked for.
+    chunks of some 24 MB, each asks once for each distinct gram and word it holds, and the answers return
+    to it.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(F.col(doc_id), folds, fold).alias("held"))
-    found = stored(counts(rows, depth), "counts")
-    n, v = found.where((F.col("kind") == WORD) & (F.col("n") > 0)).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    lps = train(found.where(F.col("kind") == GRAM).select("key", "n"), depth)
-    of_word = F.log10((F.col("n") + 0.1) / F.lit(n + 0.1 * (v + 1)))
+    chunks = max(1, -(-total_bytes(rows) // CHUNK_BYTES))
+    # Small input files are read together: a task then says each key once for more text.
+    found = stored(counts(rows.coalesce(2 * chunks), depth), "counts")
+    is_word = F.col("key") < 0
+    n, v = found.where(is_word & (F.col("n") > 0)).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    lps = train(found.where(~is_word), depth)
+    # A gram is told its logarithm, a word its count.
     answers = stored(
-        lps.select(F.lit(GRAM).alias("kind"), "key", F.col("lp").alias("value"), F.lit(0).alias("known")).unionByName(
-            found.where(F.col("kind") == WORD).select("kind", "key", of_word.alias("value"), (F.col("n") > 0).cast("int").alias("known"))
-        ),
-        "model",
+        lps.select("key", F.col("lp").alias("value")).unionByName(found.where(is_word).select("key", F.col("n").cast("double").alias("value"))), "model"
     )
-    chunks = max(1, -(-total_bytes(rows) // CHUNK_BYTES))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(max(chunks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "chunk")
-
-    def asked(table: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:
-        """Words of each text, distinct grams sorted, distinct words' keys sorted."""
-        tokens = [[*words(t.as_py()), b"\n"] for t in table.column("text")]
-        some, size, parts = [], 0, []
-        for one in tokens:
-            some.append(grams(stream(one[:-1], depth), depth))
-            size += len(some[-1])
-            if size >= BLOCK:
-                parts.append(np.unique(np.concatenate(some)))
-                some, size = [], 0
-        parts += [np.unique(np.concatenate(some))] if some else []
-        return tokens, np.unique(np.concatenate(parts))
+    parts = max(chunks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(parts, "chunk")
 
     def ask(table: pa.Table) -> pa.Table:
-        tokens, key = asked(table)
+        parts, some, size = [], [], 0
+        for t in table.column("text"):
+            tokens = words(t.as_py())
+            some.append(grams(stream(tokens, depth), depth))
+            tokens.append(END)
+            some.append(word_keys(tokens))
+            size += len(some[-2])
+            if size >= BLOCK:
+                parts.append(_summed(some)[0])
+                some, size = [], 0
+        key = _summed([*parts, *some])[0]
         chunk = table.column("chunk")[0].as_py()
-        own = np.sort(np.fromiter(map(_words_key, set().union(*tokens)), np.int64))
-        both = np.concatenate([key, own])
-        return pa.table({
-            "chunk": pa.array(np.full(len(both), chunk, np.int32)),
-            "kind": pa.array(np.repeat(np.array([GRAM, WORD], np.int32), [len(key), len(own)])),
-            "key": pa.array(both),
-        })
+        return pa.table({"chunk": pa.array(np.full(len(key), chunk, np.int32)), "key": pa.array(key)})
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return out_schema.empty_table()
-        kind, key = right.column("kind").to_numpy(), right.column("key").to_numpy()
-        value, known = right.column("value").to_numpy(), right.column("known").to_numpy()
-        g = np.flatnonzero(kind == GRAM)
-        g = g[np.argsort(key[g])]
-        keys, lp = key[g], value[g]
-        of = {k: (x, y) for k, x, y in zip(key[kind == WORD].tolist(), value[kind == WORD].tolist(), known[kind == WORD].tolist())}
-        memo: dict[bytes, tuple[float, int]] = {}
+        told = Lookup(right.column("key").to_numpy(), right.column("value").to_numpy())
+        whole = n + 0.1 * (v + 1)
         found = []
         for doc, held, t in zip(left.column("doc_id"), left.column("held"), left.column("text")):
             tokens = words(t.as_py())
             body = grams(stream(tokens, depth), depth)
-            total = 0.0
-            for lo in range(0, len(body), BLOCK):
-                total += float(lp[np.searchsorted(keys, body[lo : lo + BLOCK])].sum())
-            tokens.append(b"\n")
-            base, hits = 0.0, 0
-            for w in tokens:
-                x = memo.get(w)
-                if x is None:
-                    x = memo[w] = of[_words_key(w)]
-                base += x[0]
-                hits += x[1]
-            found.append((doc.as_py(), held.as_py(), len(tokens), hits, base, total, len(body)))
+            total = math.fsum(float(told(body[lo : lo + BLOCK]).sum()) for lo in range(0, len(body), BLOCK))
+            tokens.append(END)
+            c = told(word_keys(tokens))
+            base = float(np.log10((c + 0.1) / whole).sum())
+            found.append((doc.as_py(), held.as_py(), len(tokens), int(np.count_nonzero(c)), base, total, len(body)))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), out_schema)], schema=out_schema)
 
     kind_of_id = pa.int64() if dict(rows.dtypes)["doc_id"] == "bigint" else pa.int32() if dict(rows.dtypes)["doc_id"] == "int" else pa.string()
@@ -278,9 +272,9 @@ def score(docs: DataFrame, depth: int = DEPTH, doc_id: str = "doc_id", text: str
         ("doc_id", kind_of_id), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()),
     ])
-    wanted = dealt.groupBy("chunk").applyInArrow(ask, "chunk int, kind int, key long")
-    told = wanted.join(answers, ["kind", "key"]).select("chunk", "kind", "key", "value", "known")
-    scored = dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
+    wanted = dealt.groupBy("chunk").applyInArrow(ask, "chunk int, key long")
+    told_all = wanted.join(answers, "key").select("chunk", "key", "value")
+    scored = dealt.groupBy("chunk").cogroup(told_all.groupBy("chunk")).applyInArrow(
         answer, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
     )
     return scored.select(
