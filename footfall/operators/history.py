@@ -13,10 +13,12 @@ def scd2_roll(prev: DataFrame, delta: DataFrame, day: str, key: str = "oid") ->
     """Version table of ``day``: an open row with a new version ends the day before, the new version opens.
 
     ``prev`` and ``delta`` share their value columns; ``prev`` adds start_dt and end_dt. Closed rows
-    pass through without a join.
+    pass through without a join. Of several versions of a key in ``delta`` the largest by its values counts, and
+    an open row that starts on ``day`` is replaced, so a repeated roll changes nothing.
     """
     values = [c for c in prev.columns if c not in ("start_dt", "end_dt")]
-    opened = delta.select(*values).distinct().withColumns(
+    versions = delta.groupBy(key).agg(F.max(F.struct(*values)).alias("_v")).select("_v.*")
+    opened = versions.withColumns(
         {"start_dt": F.lit(day).cast("date"), "end_dt": F.lit(OPEN_END).cast("date")}
     )
     is_open = F.col("end_dt") == F.lit(OPEN_END).cast("date")
@@ -24,6 +26,7 @@ def scd2_roll(prev: DataFrame, delta: DataFrame, day: str, key: str = "oid") ->
     still = (
         prev.where(is_open)
         .join(changed, key, "left")
+        .where(F.col("_changed").isNull() | (F.col("start_dt") < F.lit(day).cast("date")))
         .withColumn("end_dt", F.when(F.col("_changed"), F.date_sub(F.lit(day).cast("date"), 1)).otherwise(F.col("end_dt")))
         .select(*prev.columns)
     )

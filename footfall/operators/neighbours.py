@@ -26,6 +26,12 @@ def nearest(
     test = test.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     # ``pivots`` rows at most reach the driver.
     picked = train.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vec").collect()
+    kinds = {f.name: f.dataType.simpleString() for f in train.schema.fields}
+    if not picked:
+        kind_of_test = test.schema["id"].dataType.simpleString()
+        return test.sparkSession.createDataFrame(
+            [], f"test_id {kind_of_test}, train_id {kinds['id']}, label {kinds['label']}, rank long, dist double"
+        )
     centres = np.array([r["vec"] for r in picked], dtype="float64")
     need = k + 1 if skip_same_id else k
 
@@ -48,9 +54,8 @@ def nearest(
                      "off": d[np.arange(len(d)), cell]}
                 )
 
-    fields = {f.name: f.dataType.simpleString() for f in train.schema.fields}
     celled = train.mapInPandas(
-        to_cells, f"id {fields['id']}, label {fields['label']}, vec array<double>, cell long, off double"
+        to_cells, f"id {kinds['id']}, label {kinds['label']}, vec array<double>, cell long, off double"
     )
     # One row per pivot.
     stats = celled.groupBy("cell").agg(
@@ -88,7 +93,7 @@ def nearest(
                  "block": np.arange(len(q)) - starts}
             )
 
-    asked = test.mapInPandas(to_candidates, f"id {fields['id']}, vec array<double>, cell long, block long").withColumn(
+    asked = test.mapInPandas(to_candidates, f"id {kinds['id']}, vec array<double>, cell long, block long").withColumn(
         "part", F.pmod(F.xxhash64("id"), F.lit(test_blocks))
     )
     block_of = F.element_at(
@@ -128,7 +133,7 @@ def nearest(
 
     spot = ["cell", "block", "part"]
     partial = held.groupBy(*spot).cogroup(asked.groupBy(*spot)).applyInPandas(
-        best, f"test_id {fields['id']}, train_id {fields['id']}, label {fields['label']}, dist double"
+        best, f"test_id {kinds['id']}, train_id {kinds['id']}, label {kinds['label']}, dist double"
     )
     rank = Window.partitionBy("test_id").orderBy("dist", "train_id")
     return partial.withColumn("rank", F.row_number().over(rank).cast("long")).where(F.col("rank") <= k)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel
@@ -11,7 +12,7 @@ from pyspark.ml.feature import MinMaxScaler, MinMaxScalerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The settings of the models.
 RIDGE = 0.1
@@ -20,27 +21,44 @@ SMOOTHING = 1.0
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
+    """Every row with its feature vector; a missing feature is NaN there."""
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _for_fit(df: DataFrame, cols: Sequence[str], out: str, fill: float | None) -> DataFrame:
+    """Vectors to fit on: a missing feature counts as ``fill``, or fails the job where none is given."""
+    whole = df if fill is None else df.na.fill(fill, list(cols))
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(whole)
+
+
+def _present(col: str) -> Column:
+    return F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))
+
+
+def correlation(df: DataFrame, cols: Sequence[str], fill: float | None = None) -> DataFrame:
     """(a, b, corr): the Pearson matrix, one row per cell."""
     cols = list(cols)
-    matrix = Correlation.corr(assemble(df.select(*cols), cols, "_v"), "_v").head()[0].toArray()
+    matrix = Correlation.corr(_for_fit(df.select(*cols), cols, "_v", fill), "_v").head()[0].toArray()
     spark = df.sparkSession
     # As many rows as the feature list squared.
     cells = [(a, b, float(matrix[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return spark.createDataFrame(cells, "a string, b string, corr double")
 
 
-def fit_linear(df: DataFrame, cols: Sequence[str], label: str) -> LinearRegressionModel:
+def fit_linear(df: DataFrame, cols: Sequence[str], label: str, fill: float | None = None) -> LinearRegressionModel:
     return LinearRegression(featuresCol="_v", labelCol=label, maxIter=ITERATIONS, regParam=RIDGE).fit(
-        assemble(df, cols, "_v")
+        _for_fit(df, cols, "_v", fill)
     )
 
 
 def predict(model, df: DataFrame, cols: Sequence[str], features: str = "_v") -> DataFrame:
-    return model.transform(assemble(df, cols, features)).drop(features)
+    """Every row of ``df`` with the model's columns, which are null where a feature is missing."""
+    # Models may refuse NaN, so a missing feature goes in as 0 and what comes out of it is set aside.
+    ready = {f"_in_{c}": F.when(_present(c), F.col(c)).otherwise(F.lit(0.0)) for c in cols}
+    out = model.transform(assemble(df.withColumns(ready), list(ready), features)).drop(*ready)
+    whole = reduce(lambda a, b: a & b, (_present(c) for c in cols))
+    added = [c for c in out.columns if c not in df.columns and c != features]
+    return out.withColumns({c: F.when(whole, F.col(c)) for c in added}).drop(features)
 
 
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -52,14 +70,14 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
     return sums.select("mse", F.sqrt("mse").alias("rmse"), (1 - F.col("mse") / F.col("_var")).alias("r2"), "mae")
 
 
-def fit_churn(df: DataFrame, cols: Sequence[str], label: str = "label") -> LogisticRegressionModel:
+def fit_churn(df: DataFrame, cols: Sequence[str], label: str = "label", fill: float | None = None) -> LogisticRegressionModel:
     return LogisticRegression(featuresCol="_v", labelCol=label, regParam=RIDGE, maxIter=ITERATIONS).fit(
-        assemble(df, cols, "_v")
+        _for_fit(df, cols, "_v", fill)
     )
 
 
-def fit_traits(df: DataFrame, cols: Sequence[str], label: str = "label") -> NaiveBayesModel:
-    return NaiveBayes(featuresCol="_v", labelCol=label, smoothing=SMOOTHING).fit(assemble(df, cols, "_v"))
+def fit_traits(df: DataFrame, cols: Sequence[str], label: str = "label", fill: float | None = None) -> NaiveBayesModel:
+    return NaiveBayes(featuresCol="_v", labelCol=label, smoothing=SMOOTHING).fit(_for_fit(df, cols, "_v", fill))
 
 
 def trait_counts(df: DataFrame, cols: Sequence[str], label: str = "label") -> DataFrame:
@@ -73,14 +91,14 @@ def trait_counts(df: DataFrame, cols: Sequence[str], label: str = "label") -> Da
 
 
 def fit_scaler(train: DataFrame, cols: Sequence[str]) -> MinMaxScalerModel:
-    return MinMaxScaler(inputCol="_raw", outputCol="_scaled").fit(assemble(train, cols, "_raw"))
+    return MinMaxScaler(inputCol="_raw", outputCol="_scaled").fit(_for_fit(train, cols, "_raw", None))
 
 
 def minmax(train: DataFrame, test: DataFrame, cols: Sequence[str], suffix: str = "_norm") -> DataFrame:
-    """``test`` with every column scaled by the range seen in ``train``."""
+    """``test`` with every column scaled by the range seen in ``train``; a missing value stays missing."""
     scaled = fit_scaler(train, cols).transform(assemble(test, cols, "_raw"))
     items = vector_to_array("_scaled")
-    return scaled.withColumns({c + suffix: items[i] for i, c in enumerate(cols)}).drop("_raw", "_scaled")
+    return scaled.withColumns({c + suffix: F.when(_present(c), items[i]) for i, c in enumerate(cols)}).drop("_raw", "_scaled")
 
 
 def fit_gender(
@@ -108,7 +126,7 @@ def fit_gender(
 
 def fit_binary(df: DataFrame, vec: str, label: str) -> LogisticRegressionModel:
     """Logistic model on an array column, for a 0/1 label."""
-    return LogisticRegression(featuresCol="_v", labelCol=label, maxIter=ITERATIONS).fit(
+    return LogisticRegression(featuresCol="_v", labelCol=label, regParam=RIDGE, maxIter=ITERATIONS).fit(
         df.withColumn("_v", array_to_vector(F.col(vec).cast("array<double>")))
     )
 
@@ -129,4 +147,5 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
 
 
 def area_under_roc(pred: DataFrame, label: str = "label", score: str = "rawPrediction") -> float:
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score).evaluate(pred)
+    """Exact: one point of the curve per distinct score."""
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=0).evaluate(pred)

@@ -31,6 +31,8 @@ def sessionize(
 ) -> DataFrame:
     """Split sessions at pauses longer than ``gap_ms``; the new id is ``key_n`` with n from 0.
 
+    An event without a key or a time belongs to no session and has no id.
+
     Events collapse to one row per (key, slice) before any ordering, so a key with a huge number
     of events costs one window row per half hour; the events themselves are joined back by slice.
     """
@@ -39,7 +41,7 @@ def sessionize(
     numbers = _numbered_slices(slices, key, gap_ms).select(key, "_slice", "_n")
     return (
         marked.join(numbers, [key, "_slice"], "left")
-        .withColumn(out, F.concat_ws("_", F.col(key), F.col("_n").cast("string")))
+        .withColumn(out, F.concat(F.col(key).cast("string"), F.lit("_"), F.col("_n").cast("string")))
         .drop("_slice", "_n")
     )
 
@@ -116,7 +118,7 @@ def sessions_from_events(
             F.min("hour_range").alias("hour_range"),
             F.max("_last").alias("_last"),
         )
-        .withColumn("newsessionid", F.concat_ws("_", F.col(key), F.col("_n").cast("string")))
+        .withColumn("newsessionid", F.concat(F.col(key).cast("string"), F.lit("_"), F.col("_n").cast("string")))
     )
     return _session_row(grouped, "newsessionid", dims, page, isnew)
 

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from footfall.functions.columns import millis_date
 from footfall.operators import activity, cube, geo, identity, sessions
 from footfall.operators.clean import clean_events, extract_props
-from footfall.sources.tables import scan_day, scan_through, write_day
+from footfall.session import cut_lineage
+from footfall.sources.tables import scan_day, write_day
 
 REQUIRED = ["properties", "eventid", "sessionid"]
 ANY_OF = ["account", "deviceid"]
@@ -35,36 +36,52 @@ def detail(
 def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges: DataFrame, now_ms: int) -> None:
     """One day from raw logs to reports under ``root``; needs ``ods_event_app_log`` with that day.
 
-    Every step starts from tables already written, so nothing is computed twice or lost with an executor.
+    Every step starts from tables already written, so nothing is computed twice or lost with an executor. A
+    repeated run replaces the day; ids once given stay, those of later days included. A day whose eve is
+    missing raises: ``run_days`` rolls over the gap.
     """
     before = (date.fromisoformat(day) - timedelta(days=1)).isoformat()
 
-    def table(name: str, when: str, schema: str, scan=scan_day) -> DataFrame:
-        """A day of a table, or no rows where nothing was ever written."""
+    def table(name: str, schema: str) -> DataFrame:
+        """All days of a table, or no rows where nothing was ever written."""
         try:
-            return scan(spark, f"{root}/{name}", when)
+            return spark.read.parquet(f"{root}/{name}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], schema)
+            return spark.createDataFrame([], f"{schema}, dt date")
+
+    def state(name: str, schema: str) -> DataFrame:
+        """Yesterday's rows of a table that rolls on from day to day."""
+        rows = table(name, schema)
+        found = rows.where(F.col("dt") == F.lit(before).cast("date"))
+        if found.isEmpty():
+            last = rows.where(F.col("dt") < F.lit(before).cast("date")).agg(F.max("dt")).first()[0]
+            if last is not None:
+                raise ValueError(f"{name} ends on {last}: run the days up to {before} first")
+        return found
 
     logs = scan_day(spark, f"{root}/ods_event_app_log", day)
     relation = identity.roll_scores(
-        table("device_account_relation", before, "deviceid string, account string, score double, first_time long, last_time long"),
+        state("device_account_relation", "deviceid string, account string, score double, first_time long, last_time long"),
         identity.daily_scores(clean_events(logs, REQUIRED, ANY_OF)),
         now_ms,
     )
     write_day(relation, f"{root}/device_account_relation", day)
     relation = scan_day(spark, f"{root}/device_account_relation", day)
 
-    known = table("user_guid_global", before, "id long, guid string", scan_through).select("id", "guid")
+    every = table("user_guid_global", "id long, guid string")
+    known = every.where(F.col("dt") < F.lit(day).cast("date")).select("id", "guid")
     write_day(detail(logs, relation, known, places, ranges), f"{root}/event_app_detail", day)
     rows = scan_day(spark, f"{root}/event_app_detail", day)
     write_day(geo.unresolved_points(rows), f"{root}/unresolved_points", day)
-    write_day(identity.allocate_ids(rows.where("newflag"), known), f"{root}/user_guid_global", day)
+    # Ids of all days are taken, also those after this one; the checkpoint is read before the day is replaced.
+    given = every.where(F.col("dt") == F.lit(day).cast("date")).select("id", "guid")
+    fresh = identity.allocate_ids(rows.where("newflag"), every.select("id", "guid"))
+    write_day(cut_lineage(given.unionByName(fresh)), f"{root}/user_guid_global", day)
     write_day(identity.daily_active(rows), f"{root}/user_active_day", day)
 
-    ids = scan_through(spark, f"{root}/user_guid_global", day, ["id", "guid"])
+    ids = spark.read.parquet(f"{root}/user_guid_global").select("id", "guid")
     dims = sessions.USER_DIMS
     write_day(sessions.session_agg(extract_props(rows, {"pageId": "page"})), f"{root}/app_flow_agg_session", day)
     per_session = scan_day(spark, f"{root}/app_flow_agg_session", day)
@@ -75,9 +92,17 @@ def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges:
     write_day(cube.traffic_cube(stored, dims), f"{root}/app_flow_overview_cube", day)
 
     active = scan_day(spark, f"{root}/user_active_day", day)
-    ranges_before = table("user_active_time_range", before, "first_dt date, guid string, range_start date, range_end date")
+    ranges_before = state("user_active_time_range", "first_dt date, guid string, range_start date, range_end date")
     write_day(activity.roll_ranges(ranges_before, active, day), f"{root}/user_active_time_range", day)
-    status_before = table("user_active_status_bitmap", before, "guid string, first_dt date, active_status long")
+    status_before = state("user_active_status_bitmap", "guid string, first_dt date, active_status long")
     write_day(activity.roll_status(status_before, active, day), f"{root}/user_active_status_bitmap", day)
     kept = scan_day(spark, f"{root}/user_active_time_range", day)
     write_day(activity.retention(kept, day), f"{root}/user_retention", day)
+
+
+def run_days(spark: SparkSession, root: str, first: str, last: str, places: DataFrame, ranges: DataFrame, now_ms: int) -> None:
+    """``run_day`` for each day from ``first`` to ``last``; a day without logs rolls on with nobody active."""
+    day, end = date.fromisoformat(first), date.fromisoformat(last)
+    while day <= end:
+        run_day(spark, root, day.isoformat(), places, ranges, now_ms)
+        day += timedelta(days=1)

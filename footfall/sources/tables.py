@@ -82,9 +82,8 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_day(df: DataFrame, path: str, day: str, mode: str = "overwrite") -> None:
-    """Write one day of a table. The default replaces that day only, so a re-run changes nothing."""
-    out = df.drop("dt").withColumn("dt", F.lit(day).cast("date"))
-    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+    """Write one day of a table. The default replaces that day only, also by no rows at all."""
+    df.drop("dt").write.mode(mode).parquet(f"{path}/dt={day}")
 
 
 def key_values(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from footfall.operators import quality
+from footfall.operators import history, neighbours, quality, sessions
 from footfall.plans import daily
 from footfall.session import scratch_path
 from footfall.sources import jdbc, tables
@@ -151,3 +151,65 @@ def test_late_log_lines_reach_their_day(spark, tmp_path):
 
 def test_scratch_paths_are_fresh(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_empty_result_replaces_a_day(spark, tmp_path):
+    path, row = str(tmp_path / "t"), spark.createDataFrame([(1, "a")], "n long, name string")
+    tables.write_day(row.limit(0), path, "2024-01-01")
+    assert tables.scan_day(spark, path, "2024-01-01").count() == 0
+    tables.write_day(row, path, "2024-01-02")
+    tables.write_day(row, path, "2024-01-01")
+    tables.write_day(row.limit(0), path, "2024-01-01")
+    assert [str(r["dt"]) for r in spark.read.parquet(path).collect()] == ["2024-01-02"]
+
+
+def _event(user, day, n):
+    return (user, f"x{user}", "phone", "view", "1.2.3.4", 50.0, 50.0, "ios", "web", {"pageId": "1"}, f"s{user}{day}", START + day * DAY + n, day * 1000 + n)
+
+
+def test_late_user_and_missing_day(spark, tmp_path):
+    root, places = str(tmp_path), spark.createDataFrame([], "geohash string, province string, city string, region string")
+    ranges = spark.createDataFrame([(16909056, 16909311, "C", "P", "T")], "lo long, hi long, country string, province string, city string")
+    days = [f"2024-01-0{d}" for d in (1, 2, 3, 4)]
+
+    def run(day, users):
+        at = days.index(day)
+        tables.write_day(spark.createDataFrame([_event(u, at, n) for n, u in enumerate(users)], LOG), f"{root}/ods_event_app_log", day)
+        daily.run_day(spark, root, day, places, ranges, START)
+
+    def ids():
+        return {r["guid"]: r["id"] for r in spark.read.parquet(f"{root}/user_guid_global").collect()}
+
+    run(days[0], ["a", "b"])
+    run(days[1], ["a", "c"])
+    before = ids()
+    run(days[0], ["a", "b", "late"])
+    after = ids()
+    assert len(after) == 4 and sorted(after.values()) == [1, 2, 3, 4] and before.items() <= after.items()
+    with pytest.raises(ValueError, match="2024-01-02"):
+        run(days[3], ["a"])
+    daily.run_days(spark, root, days[2], days[3], places, ranges, START)
+    ranges_now = tables.scan_day(spark, f"{root}/user_active_time_range", days[3])
+    assert {str(r["first_dt"]) for r in ranges_now.where(F.col("guid") == next(iter(before))).collect()} <= {days[0], days[1]}
+    assert ranges_now.select("guid").distinct().count() == 3
+
+
+def test_version_roll_can_be_repeated(spark):
+    prev = spark.createDataFrame([(1, "x", "2024-01-01", "9999-12-31"), (2, "y", "2024-01-01", "9999-12-31")], "oid long, status string, start_dt string, end_dt string")
+    prev = prev.withColumns({c: F.col(c).cast("date") for c in ("start_dt", "end_dt")})
+    delta = spark.createDataFrame([(1, "p"), (1, "q"), (3, "n")], "oid long, status string")
+    once = history.scd2_roll(prev, delta, "2024-01-05")
+    assert sorted((r["oid"], r["status"], str(r["end_dt"])) for r in once.collect()) == [
+        (1, "q", "9999-12-31"), (1, "x", "2024-01-04"), (2, "y", "9999-12-31"), (3, "n", "9999-12-31")
+    ]
+    assert sorted(map(repr, history.scd2_roll(once, delta, "2024-01-05").collect())) == sorted(map(repr, once.collect()))
+
+
+def test_no_session_without_key_or_time(spark):
+    rows = spark.createDataFrame([(None, 5), ("s", None), ("s", 5)], "sessionid string, timestamp long")
+    assert sorted((str(r["newsessionid"]) for r in sessions.sessionize(rows).collect())) == ["None", "None", "s_0"]
+
+
+def test_no_neighbours_without_samples(spark):
+    rows = spark.createDataFrame([(1, 2, [0.0, 1.0])], "id long, label int, vec array<double>")
+    assert neighbours.nearest(rows.limit(0), rows, 3).count() == 0 and neighbours.nearest(rows, rows.limit(0), 3).count() == 0

@@ -63,17 +63,22 @@ def test_trait_coding_and_saved_model(spark, tmp_path):
     coded = encode(people, {"job": {"teacher": 1, "coder": 2, "clerk": 3}}, {"income": [(0, 10000), (10001, 20000), (20001, 30000), (30001, 40000)]})
     assert [(r["job_code"], r["income_code"]) for r in coded.collect()] == [(1, 3), (1, 2), (2, 5), (3, 1), (3, 2), (None, 5)]
     cols = ["job_code", "income_code"]
-    model = profile.fit_traits(coded, cols)
+    with pytest.raises(Exception):
+        profile.fit_traits(coded, cols)
+    model = profile.fit_traits(coded, cols, fill=0.0)
     models.save_model(model, str(tmp_path / "m"))
     again = models.load_model(NaiveBayesModel, str(tmp_path / "m"))
     one = [r["prediction"] for r in profile.predict(model, coded, cols).collect()]
     assert one == [r["prediction"] for r in profile.predict(again, coded, cols).collect()]
+    assert [p is None for p in one] == [False] * 5 + [True]
 
 
 def test_scaling_uses_the_training_range(spark):
     train = spark.createDataFrame([(0.0, 5.0), (10.0, 15.0)], "a double, b double")
     test = spark.createDataFrame([(5.0, 25.0)], "a double, b double")
     assert tuple(profile.minmax(train, test, ["a", "b"]).select("a_norm", "b_norm").head()) == (0.5, 2.0)
+    gaps = spark.createDataFrame([(None, 25.0)], "a double, b double")
+    assert tuple(profile.minmax(train, gaps, ["a", "b"]).select("a_norm", "b_norm").head()) == (None, 2.0)
 
 
 def test_gender_models(spark):
