@@ -71,7 +71,15 @@ def mix(
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
     aims = stored(targets(placed, weight, budget, cap), "targets")
     same = F.col("source").eqNullSafe(F.col("_s"))
-    joined = rows.join(aims.select(F.col("source").alias("_s"), "source_size", "target"), same).drop("_s")
+    salts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def per_source(left: DataFrame, facts: DataFrame) -> DataFrame:
+        """Join a row of facts per source; the facts are repeated per salt, so no source's rows meet in one task."""
+        spread = facts.withColumn("_z", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return left.join(spread, same & (F.col("_salt") == F.col("_z"))).drop("_s", "_z")
+
+    rows = rows.withColumn("_salt", F.pmod("_hash", F.lit(salts)).cast("int"))
+    joined = per_source(rows, aims.select(F.col("source").alias("_s"), "source_size", "target"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     copies = F.least(F.lit(float(cap)), ratio * F.col("_tilt"))
     # Uniform in (0, 1): the middle of one of 2^53 steps.
@@ -101,7 +109,7 @@ def mix(
         F.coalesce("_full", F.when(F.col("_missing") > 0, F.lit(BUCKETS)).otherwise(F.lit(-1))).alias("_full"),
         F.coalesce("_left", F.lit(0.0)).alias("_left"),
     )
-    known = ranked.join(edge, same).drop("_s")
+    known = per_source(ranked, edge)
     inside = known.where(F.col("_bin") == F.col("_full"))
     running = Window.partitionBy("source").orderBy("_rank", "doc_id", "_hash", "size").rowsBetween(Window.unboundedPreceding, -1)
     # Taking a document as long as its middle lies before the end leaves half a document at most.
