@@ -7,7 +7,6 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -15,11 +14,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.llm.common import text_rows
 
-#: Bounds of what a worker remembers; beyond them it starts anew, which changes speed only.
-STATES = 200_000
+#: Bounds of what a worker remembers; beyond them it forgets what is old, which changes speed only.
+STATES = 400_000
 PAIRS = 1_000_000
-CHUNKS = 300_000
+CHUNKS = 400_000
 LONGEST_CHUNK = 64
+#: Bytes of one match after which tokens that are settled are emitted.
+LOOKAHEAD = 256
 #: Ids that go through the decoder at once.
 STEP = 1 << 14
 
@@ -29,18 +30,22 @@ class Transducer:
 
     A sequence of tokens is the encoding of its bytes exactly if each neighbouring pair is the encoding of
     its own bytes. So the set of encodings is read by an automaton whose states are (last token, place in
-    the trie of all tokens). Determinised, a state is the set of readings that are still open, each with
-    the tokens not yet emitted; what all of them share is emitted. Every prefix has one encoding, so there is
-    one reading per place at which an open token may begin, no more than the longest token has bytes.
-    States and their steps are made when a text first needs them.
+    the trie of all tokens). Determinised, a state is the set of readings that are still open. Every prefix
+    has one encoding, so there is one reading per place at which an open token may begin, no more than the
+    longest token has bytes; and each step puts out one token, the last of the encoding of what was read.
+    Going back over these gives the encoding. Tokens that all open readings share are settled; they are emitted
+    after at most ``LOOKAHEAD`` bytes and what an open token may reach back over. States and their steps
+    are made when a text first needs them.
     """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
+        self.size = {i: len(t) for t, i in ranks.items()}
         self.next_node: dict[int, int] = {}
         self.token_at = [-1]
         self.leaf = [True]
+        self.depth = [0]
         for token, rank in ranks.items():
             node = 0
             for byte in token:
@@ -49,6 +54,7 @@ class Transducer:
                     self.next_node[at] = len(self.token_at)
                     self.token_at.append(-1)
                     self.leaf.append(True)
+                    self.depth.append(self.depth[node] + 1)
                     self.leaf[node] = False
                 node = self.next_node[at]
             self.token_at[node] = rank
@@ -56,12 +62,13 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        self.ids: dict[tuple, int] = {}
-        self.states: list[tuple] = []
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.start = self._state((((-1,), 0),))
+        self.ids: dict[tuple[int, ...], int] = {}
+        self.states: list[tuple[int, ...]] = []
+        self.steps: dict[int, tuple[int, int]] = {}
+        self.start = self._state((0,))
 
-    def _state(self, readings: tuple) -> int:
+    def _state(self, readings: tuple[int, ...]) -> int:
+        """Number of a state; a reading is (last token + 1) << 32 | place in the trie."""
         at = self.ids.get(readings)
         if at is None:
             at = self.ids[readings] = len(self.states)
@@ -90,30 +97,46 @@ class Transducer:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             tokens = [self.bytes_of[right]] if left < 0 else [self.bytes_of[left], self.bytes_of[right]]
-            known = self.pairs[key] = self.merged(b"".join(tokens)) == tokens
+            joined = b"".join(tokens)
+            # Two tokens that make up a third do not stay apart.
+            known = self.pairs[key] = (left < 0 or joined not in self.ranks) and self.merged(joined) == tokens
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        readings, done = [], None
-        for path, node in self.states[state]:
+    def _step(self, state: int, byte: int) -> tuple[int, int]:
+        readings, done = [], -1
+        for reading in self.states[state]:
+            node = reading & 0xFFFFFFFF
             child = self.next_node.get(node << 8 | byte)
             if child is None:
                 continue
             token = self.token_at[child]
-            if token >= 0 and done is None and self.may_follow(path[-1], token):
-                done = path + (token,)
+            if token >= 0 and done < 0 and self.may_follow((reading >> 32) - 1, token):
+                done = token
             if not self.leaf[child]:
-                readings.append((path, child))
-        if done is not None:
-            readings.append((done, 0))
-        if not readings:
+                readings.append(reading - node + child)
+        if done < 0:
             raise ValueError("the vocabulary lacks a single byte")
-        paths = [p for p, _ in readings]
-        shared = 1
-        while len(paths[0]) > shared and all(len(p) > shared and p[shared] == paths[0][shared] for p in paths):
-            shared += 1
-        out = paths[0][1:shared]
-        return self._state(tuple((p[shared - 1 :], n) for p, n in readings)), out
+        readings.append(done + 1 << 32)
+        return self._state(tuple(readings)), done
+
+    def _path(self, lasts: list[int], end: int) -> list[int]:
+        """Encoding of the first ``end`` bytes, from the last token of each prefix."""
+        size, out = self.size, []
+        while end > 0:
+            token = lasts[end - 1]
+            out.append(token)
+            end -= size[token]
+        out.reverse()
+        return out
+
+    def _settled(self, state: int, lasts: list[int]) -> int:
+        """The place up to which all open readings share their tokens."""
+        places = {len(lasts) - self.depth[r & 0xFFFFFFFF] for r in self.states[state]}
+        while len(places) > 1:
+            far = max(places)
+            places.remove(far)
+            places.add(far - self.size[lasts[far - 1]])
+        return places.pop()
 
     def encode(self, data: bytes) -> list[int]:
         """Ids of one match of the pattern; a match that is a token as it stands is that token."""
@@ -122,20 +145,20 @@ class Transducer:
             return [whole]
         if len(self.states) > STATES:
             self._forget()
-        state, out, steps = self.start, [], self.steps
-        for byte in data:
-            key = state << 8 | byte
-            step = steps.get(key)
-            if step is None:
-                step = steps[key] = self._step(state, byte)
-            state, emitted = step
-            if emitted:
-                out.extend(emitted)
-        for path, node in self.states[state]:
-            if node == 0:
-                out.extend(path[1:])
-                return out
-        raise ValueError("the vocabulary lacks a single byte")
+        state, out, lasts, steps = self.start, [], [], self.steps
+        for lo in range(0, len(data), LOOKAHEAD):
+            if lo:
+                cut = self._settled(state, lasts)
+                out += self._path(lasts, cut)
+                del lasts[:cut]
+            for byte in data[lo : lo + LOOKAHEAD]:
+                key = state << 8 | byte
+                step = steps.get(key)
+                if step is None:
+                    step = steps[key] = self._step(state, byte)
+                state, last = step
+                lasts.append(last)
+        return out + self._path(lasts, len(lasts))
 
 
 class Utf8Decoder:
@@ -192,27 +215,32 @@ class Codec:
         self.fst = Transducer(ranks)
         self.find = regex.compile(pattern).findall
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def _plain(self, text: str) -> list[int]:
         encode = self.fst.encode
         return [i for piece in self.find(text) for i in encode(piece.encode("utf-8"))]
 
+    def _met(self, chunk: str) -> list[int]:
+        """Ids of a chunk that is not among those lately met."""
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self._plain(" " + chunk)
+        if len(chunk) <= LONGEST_CHUNK:
+            if len(self.known) >= CHUNKS:
+                self.older, self.known = self.known, {}
+            self.known[chunk] = ids
+        return ids
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
         first, *rest = chunks(text)
-        known = self.known
-        out = [self._plain(first)]
+        out = self._plain(first)
         for chunk in rest:
-            ids = known.get(chunk)
-            if ids is None:
-                ids = self._plain(" " + chunk)
-                if len(chunk) <= LONGEST_CHUNK:
-                    if len(known) >= CHUNKS:
-                        known.clear()
-                    known[chunk] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
+            ids = self.known.get(chunk)
+            out += self._met(chunk) if ids is None else ids
+        return out
 
     def decode(self, ids: list[int]) -> Iterator[bytes]:
         token = self.fst.bytes_of.__getitem__
