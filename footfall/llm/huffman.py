@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,10 @@ LANE = 1024
 #: Longest code in bits, and the most a 32-bit window at any bit offset can hold.
 LIMIT = 18
 WIDEST = 24
-#: Bytes of text per range of documents, and ids encoded by one call.
+#: Bytes of text per range of documents.
 RANGE_BYTES = 16 << 20
+#: Chunks the library encodes as one text.
+TOGETHER = 1000
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -122,7 +125,11 @@ def unpack(blocks: list[tuple[bytes, np.ndarray, int]], symbol: np.ndarray, size
 
 
 class Encoder:
-    """The tokenizers library with a bounded memory for frequent chunks of text."""
+    """The tokenizers library with a bounded memory for frequent chunks of text.
+
+    Chunks without white space, each after its space, are encoded together: no match of the pattern crosses a
+    space, so a token that begins with one begins a chunk.
+    """
 
     def __init__(self, path: str) -> None:
         import os
@@ -132,30 +139,49 @@ class Encoder:
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
-        self.known: dict[str, tuple[int, ...]] = {}
+        # A space is spelled with this letter in the vocabulary.
+        self.opens = np.zeros(self.lib.get_vocab_size(), bool)
+        self.opens[[i for token, i in self.lib.get_vocab().items() if token.startswith("Ġ")]] = True
+        self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
+
+    def _many(self, found: list[str]) -> list[list[int]]:
+        """Ids of each chunk after a space."""
+        ids: list[int] = []
+        for lo in range(0, len(found), TOGETHER):
+            ids += self.lib.encode(" " + " ".join(found[lo : lo + TOGETHER]), add_special_tokens=False).ids
+        cuts = np.flatnonzero(self.opens[ids]).tolist() if ids else []
+        if len(cuts) != len(found):
+            raise ValueError("a chunk does not begin with a space of its own")
+        return [ids[a:b] for a, b in zip(cuts, [*cuts[1:], len(ids)])]
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        known = self.known
-        if len(known) >= CHUNKS:
-            known.clear()
-        # Only what has not been met goes to the library: whole first chunks, later chunks with their space.
-        heads, tails, missing, long = [], [], {}, {}
+        if len(self.known) >= CHUNKS:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        heads, tails, plain, odd = [], [], {}, {}
         for text in texts:
             first, *rest = chunks(text)
             heads.append(first)
             tails.append(rest)
             for c in rest:
-                if c not in known:
-                    (missing if len(c) <= LONGEST_CHUNK else long)[c] = None
-        fresh = [" " + c for c in (*missing, *long)]
-        ids = [tuple(e.ids) for e in self.lib.encode_batch(fresh, add_special_tokens=False)] if fresh else []
-        known.update(zip(missing, ids))
-        rare = dict(zip(long, ids[len(missing) :]))
+                if c not in known and c not in plain:
+                    ids = older.get(c)
+                    if ids is not None:
+                        known[c] = ids
+                    else:
+                        (plain if c.split() == [c] else odd)[c] = None
+        spaced = [e.ids for e in self.lib.encode_batch([" " + c for c in odd], add_special_tokens=False)] if odd else []
+        fresh = chain(zip(odd, spaced), zip(plain, self._many(list(plain))))
+        rare = {}
+        for c, ids in fresh:
+            (known if len(c) <= LONGEST_CHUNK else rare)[c] = ids
         out = []
         for first, rest, e in zip(heads, tails, self.lib.encode_batch(heads, add_special_tokens=False)):
             whole = list(e.ids)
             for c in rest:
-                whole.extend(known[c] if c in known else rare[c])
+                ids = known.get(c)
+                whole += rare[c] if ids is None else ids
             whole.append(end)
             out.append(np.array(whole, np.uint32))
         return out

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from footfall.llm import bpe, ctw, huffman, mixing, queries, sharding
@@ -179,7 +180,6 @@ def test_mix(docs, edge, nothing):
 
 
 def test_bpe_agrees_with_the_library(docs, edge, nothing):
-    import tiktoken
 
     with open(RANKS, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -240,3 +240,17 @@ def test_token_files(spark, docs, edge, nothing):
     path = scratch_path(spark, "files")
     huffman.write_ids(nothing, path, TOKENIZER, 2)
     assert huffman.read_ids(spark, path).count() == 0
+
+
+def test_long_matches_and_odd_chunks():
+    """Matches longer than the lookahead, and chunks that hold white space, against the public libraries."""
+    own = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.fst.ranks, special_tokens={})
+    long = ["ab" * 3000, "é" * 700, "Zq" * 999, "straße" * 400, "=" * 5000, " " * 900 + "x", "x" + "\n" * 600, "日本" * 500]
+    odd = ["", " ", "a b  c\n d", "x y z 's don't 'll  ", "\x1c a b\x1c c", "<|endoftext|> a <|endoftext|>b", "c\u0085 d   e", "Ġ Ġa bĠ Ġ"]
+    for text in long + odd:
+        assert own.encode(text) == lib.encode_ordinary(text)
+    files = huffman.Encoder(TOKENIZER)
+    want = [e.ids for e in files.lib.encode_batch(long + odd, add_special_tokens=False)]
+    for _ in range(2):
+        assert [x[:-1].tolist() for x in files.encode(long + odd, 2)] == want
