@@ -180,7 +180,6 @@ def test_mix(docs, edge, nothing):
 
 
 def test_bpe_agrees_with_the_library(docs, edge, nothing):
-
     with open(RANKS, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
