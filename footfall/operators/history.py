@@ -60,12 +60,17 @@ def enrich(
     """Left join of a fact table with dimensions: (dimension, fact column, dimension key).
 
     Text attributes of a missing dimension row get ``default``. Dimension keys must be unique; the
-    optimizer broadcasts a dimension only when its measured size is under the threshold.
+    optimizer broadcasts a dimension only when its measured size is under the threshold. Rows without a key
+    match nothing; they are spread by the partition they come from, not sent to one task.
     """
     for dim, fact_col, dim_key in dims:
         attrs = [f for f in dim.schema.fields if f.name != dim_key]
-        right = dim.withColumnRenamed(dim_key, "_dim_key")
-        fact = fact.join(right, F.col(fact_col) == F.col("_dim_key"), "left").drop("_dim_key")
+        # Always 0, but not a literal: the optimizer would take that out of the join's keys.
+        zero = F.pmod(F.xxhash64("_dim_key"), F.lit(1))
+        right = dim.withColumnRenamed(dim_key, "_dim_key").withColumn("_dim_spread", zero)
+        spread = F.when(F.col(fact_col).isNull(), F.spark_partition_id()).otherwise(0)
+        same = (F.col(fact_col) == F.col("_dim_key")) & (F.col("_spread") == F.col("_dim_spread"))
+        fact = fact.withColumn("_spread", spread).join(right, same, "left").drop("_dim_key", "_spread", "_dim_spread")
         if default is not None:
             fact = fact.withColumns(
                 {
