@@ -2,134 +2,162 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Callable
 from functools import partial
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from footfall.llm.classify import Adam, kept, sample, scored, sigmoid
-from footfall.llm.common import text_rows
+from footfall.llm.common import stored, total_bytes
 
-#: Units (beginnings and ends of words) share this many rows of a table; vectors have this many numbers.
-BUCKETS, DIM = 1 << 14, 32
-#: Signed ones in an index vector; neighbours on either side, in units.
-ONES, WINDOW = 4, 2
-EDGE = 3
+#: Numbers of a word's vector; signed ones in its index vector; neighbours on either side, in words.
+DIM, ONES, WINDOW = 32, 4, 2
+#: Bytes of text whose words are counted and looked up together.
+CHUNK = 24 << 20
 #: Bound of the training sample (a documented parameter); share of it that sets the temperature.
 LABELLED, CALIBRATION = 10_000, 0.2
 HIDDEN, EPOCHS, RATE, DECAY = 32, 300, 0.01, 1e-3
-KNOWN = 300_000
 BLOCK = 1 << 16
+SIZE = 2 * DIM + 3
 
 
-def _index() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the ones in each unit's index vector; the last row, of a gap, has no weight."""
-    rng = np.random.default_rng(5)
-    at = rng.integers(0, DIM, (BUCKETS + 1, ONES))
-    sign = rng.choice([-1.0, 1.0], (BUCKETS + 1, ONES))
-    sign[BUCKETS] = 0
-    return at, sign
+class Words:
+    """The words of some texts as numbers, in the order of their 64-bit hashes.
 
-
-class Units:
-    """A word as two units: its first and last three characters, case and signs included.
-
-    So any vocabulary has vectors in a table of fixed size, and unseen words share those of their parts.
+    A word goes by its hash: any two of n words share one with a chance of n^2 / 2^65.
     """
 
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
-
-    def of(self, text: str) -> np.ndarray:
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-        out = []
-        for w in text.split():
-            u = known.get(w)
-            if u is None:
-                a, b = zlib.crc32(w[:EDGE].encode("utf-8", "surrogatepass")), zlib.crc32(w[-EDGE:].encode("utf-8", "surrogatepass"), 1)
-                u = known[w] = (a % BUCKETS) << 32 | b % BUCKETS
-            out.append(u)
-        pairs = np.array(out, np.int64)
-        return np.stack([pairs >> 32, pairs & 0xFFFFFFFF], 1).reshape(-1)
-
-
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of neighbours' index vectors for each unit a task has met."""
-    units, (at, sign) = Units(), _index()
-    total = np.zeros((BUCKETS + 1) * DIM)
-    gap, tail = np.full(WINDOW, BUCKETS), np.zeros(0, np.int64)
-    held, size = [], 0
-
-    def add() -> np.ndarray:
-        # Pairs within what came before are counted already: the right unit is a new one.
-        seq, old = np.concatenate([tail, *held]), len(tail)
-        for off in range(1, WINDOW + 1):
-            left, right = seq[max(0, old - off) : -off], seq[max(0, old - off) + off :]
-            for j in range(ONES):
-                for own, other in ((left, right), (right, left)):
-                    total[:] += np.bincount(own * DIM + at[other, j], sign[other, j], len(total))
-        return seq[-WINDOW:]
-
-    for batch in batches:
-        for _, t in text_rows(batch, "_text"):
-            u = units.of(t)
-            for lo in range(0, len(u), BLOCK):
-                held.append(u[lo : lo + BLOCK])
-                size += len(held[-1])
-                if size >= 4 * BLOCK:
-                    tail = add()
-                    held, size = [], 0
-            held.append(gap)
-    if held:
-        add()
-    rows = total.reshape(BUCKETS + 1, DIM)[:BUCKETS]
-    used = np.flatnonzero(np.abs(rows).sum(1))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used.astype(np.int32)), *(pa.array(rows[used, d].astype(np.float32)) for d in range(DIM))], ["unit", *(f"v{d}" for d in range(DIM))]
-    )
-
-
-def unit_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Vectors of all units from every text: a table of fixed size, 16,384 rows of 32 numbers."""
-    cols = [f"v{d}" for d in range(DIM)]
-    parts = docs.select(F.col(text).alias("_text")).mapInArrow(_contexts, "unit int, " + ", ".join(f"{c} float" for c in cols))
-    summed = parts.groupBy("unit").agg(*(F.sum(F.col(c).cast("double")).alias(c) for c in cols))
-    out = np.zeros((BUCKETS, DIM))
-    for r in summed.toLocalIterator():  # at most 16,384 rows
-        out[r["unit"]] = r[1:]
-    # What all units share says nothing; direction, not frequency, is the vector.
-    norm = np.linalg.norm(out, axis=1, keepdims=True)
-    out = np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
-    seen = norm[:, 0] > 0
-    if seen.any():
-        out[seen] -= out[seen].mean(0)
-    norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0).astype(np.float32)
+    def __init__(self, texts: list[str | None]) -> None:
+        seen: dict[str, int] = defaultdict(count().__next__)
+        found = [np.array([seen[w] for w in t.split()] if t else [], np.int64) for t in texts]
+        own = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in seen), np.uint64, len(seen))
+        self.hashes, place = np.unique(own, return_inverse=True)
+        self.texts = [place[f].astype(np.int32) for f in found]
+
+    def cuts(self, parts: int) -> list[int]:
+        """Where the words of each part of the hash space begin, and the end."""
+        edges = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+        return [0, *np.searchsorted(self.hashes, edges).tolist(), len(self.hashes)]
+
+
+def index_vectors(hashes: np.ndarray) -> np.ndarray:
+    """Each word's own sparse vector of signed ones, read off its hash; a last row of zeros, of a gap."""
+    out = np.zeros((len(hashes) + 1, DIM), np.int8)
+    rows = np.arange(len(hashes))
+    for j in range(ONES):
+        bits = hashes >> np.uint64(6 * j)
+        out[rows, (bits & np.uint64(DIM - 1)).astype(np.int64)] += np.where(bits & np.uint64(DIM), 1, -1).astype(np.int8)
+    return out
+
+
+def context_sums(words: Words) -> np.ndarray:
+    """For each word the sum of its neighbours' index vectors over all places where it stands."""
+    index, gap = index_vectors(words.hashes), np.full(WINDOW, len(words.hashes), np.int32)
+    out = np.zeros((len(index), DIM), np.int64)
+    seq = np.concatenate([gap, *(x for t in words.texts if len(t) for x in (t, gap))])
+    for lo in range(WINDOW, len(seq) - WINDOW, BLOCK):
+        hi = min(lo + BLOCK, len(seq) - WINDOW)
+        near = sum(index[seq[lo + d : hi + d]] for d in range(-WINDOW, WINDOW + 1) if d)
+        order = np.argsort(seq[lo:hi], kind="stable")
+        own = seq[lo:hi][order]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        out[own[first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int64)
+    return out[:-1]
+
+
+def packed(sums: np.ndarray) -> bytes:
+    """Rows of whole numbers: one byte each where a row allows it, eight bytes in the other rows."""
+    large = np.flatnonzero((np.abs(sums) > 127).any(1))
+    small = sums.astype(np.int8)
+    small[large] = 0
+    body = b"".join([np.array([len(sums), len(large)], "<i8").tobytes(), large.astype("<i8").tobytes(), sums[large].astype("<i8").tobytes(), small.tobytes()])
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    body = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    n, m = np.frombuffer(body, "<i8", 2)
+    large = np.frombuffer(body, "<i8", m, 16)
+    rows = np.frombuffer(body, "<i8", m * DIM, 16 + 8 * m).reshape(m, DIM)
+    out = np.frombuffer(body, np.int8, n * DIM, 16 + 8 * m * (1 + DIM)).reshape(n, DIM).astype(np.int64)
+    out[large] = rows
+    return out
+
+
+def directions(sums: np.ndarray) -> np.ndarray:
+    """Direction, not frequency, is the vector of a word."""
+    norm = np.linalg.norm(sums.astype(np.float64), axis=1, keepdims=True)
+    return np.divide(sums, norm, out=np.zeros(sums.shape), where=norm > 0).astype(np.float32)
 
 
 def pool(u: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Mean and spread of a text's vectors, how alike neighbouring words are, and whether there are any."""
     if not len(u):
-        return np.zeros(2 * DIM + 3)
+        return np.zeros(SIZE)
     first, second, near, next_near = np.zeros(DIM), np.zeros(DIM), 0.0, 0.0
     for lo in range(0, len(u), BLOCK):
-        v = vectors[u[lo : lo + BLOCK + 4]]
+        v = vectors[u[lo : lo + BLOCK + 2]]
         own = v[:BLOCK]
         first += own.sum(0, dtype=np.float64)
         second += np.square(own).sum(0, dtype=np.float64)
-        # Two units make a word: two places on stands the same part of the next word.
-        near += float(np.einsum("ij,ij->", v[:-2][:BLOCK], v[2:][:BLOCK]))
-        next_near += float(np.einsum("ij,ij->", v[:-4][:BLOCK], v[4:][:BLOCK])) if len(v) > 4 else 0.0
+        near += float(np.einsum("ij,ij->", v[:-1][:BLOCK], v[1:][:BLOCK]))
+        next_near += float(np.einsum("ij,ij->", v[:-2][:BLOCK], v[2:][:BLOCK])) if len(v) > 2 else 0.0
     n = len(u)
     mean = first / n
     return np.concatenate([mean, np.sqrt(np.maximum(0, second / n - mean * mean)), [near / n, next_near / n, 1.0]])
 
 
+def pooled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunks: int | None = None) -> DataFrame:
+    """The rows of ``docs`` with ``_x``, the pooled vectors of their words, in a stored table.
+
+    Every word of the table has a context vector of its own, from all places where it stands. Texts are dealt
+    to chunks by hash. A chunk sends the sums of its words, cut into parts of the hash space; a part adds up
+    each word over all chunks and returns the totals in the chunk's order; there they meet the texts again.
+    Chunks and parts grow in number with the table, so neither a vocabulary nor a frequent word must fit into
+    one task: a word sends one row a chunk, however often it stands there. Only fully equal rows always share
+    a chunk.
+    """
+    n = chunks or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total_bytes(docs, text) // CHUNK))
+    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(F.lit(29), F.col(doc_id), F.col(text)), F.lit(n)).cast("int"))
+
+    def send(key: tuple, rows: pa.Table) -> pa.Table:
+        words = Words(rows.column(text).to_pylist())
+        sums, cuts = context_sums(words), words.cuts(n)
+        used = [i for i in range(n) if cuts[i] < cuts[i + 1]]
+        return pa.table({
+            "part": pa.array(used, pa.int32()), "to": pa.array([key[0].as_py()] * len(used), pa.int32()),
+            "words": pa.array([words.hashes[cuts[i] : cuts[i + 1]].astype("<u8").tobytes() for i in used], pa.binary()),
+            "sums": pa.array([packed(sums[cuts[i] : cuts[i + 1]]) for i in used], pa.binary()),
+        })
+
+    def add(rows: pa.Table) -> pa.Table:
+        words = [np.frombuffer(w, "<u8") for w in rows.column("words").to_pylist()]
+        sums = np.concatenate([unpacked(s) for s in rows.column("sums").to_pylist()])
+        same, place = np.unique(np.concatenate(words), return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        total = np.add.reduceat(sums[order], np.searchsorted(place[order], np.arange(len(same))), axis=0)
+        back = np.split(place, np.cumsum([len(w) for w in words])[:-1])
+        return pa.table({"to": rows.column("to"), "part": rows.column("part"), "sums": pa.array([packed(total[b]) for b in back], pa.binary())})
+
+    def meet(rows: pa.Table, totals: pa.Table) -> pa.Table:
+        words = Words(rows.column(text).to_pylist())
+        parts = sorted(zip(totals.column("part").to_pylist(), totals.column("sums").to_pylist()))
+        vectors = np.concatenate([np.zeros((0, DIM), np.float32), *(directions(unpacked(s)) for _, s in parts)])
+        found = [pool(u, vectors).tolist() for u in words.texts]
+        return rows.drop_columns(["_chunk"]).append_column("_x", pa.array(found, pa.list_(pa.float64())))
+
+    sent = dealt.groupBy("_chunk").applyInArrow(send, "part int, to int, words binary, sums binary")
+    totals = sent.groupBy("part").applyInArrow(add, "to int, part int, sums binary")
+    out = dealt.groupBy("_chunk").cogroup(totals.groupBy("to")).applyInArrow(meet, StructType([*docs.schema.fields, StructField("_x", ArrayType(DoubleType()))]))
+    return stored(out, "pooled")
+
+
 class Network:
     """Two layers of weights over standardised features, and the temperature that divides their output."""
 
@@ -167,55 +195,35 @@ class Network:
 
 
 class Model:
-    def __init__(self, vectors: np.ndarray, network: Network) -> None:
-        self.vectors, self.network = vectors, network
+    def __init__(self, network: Network) -> None:
+        self.network = network
 
-    def scorer(self) -> Callable[[str], float]:
-        units = Units()
-        return lambda text: float(self.network.probability(pool(units.of(text), self.vectors)[None])[0])
+    def scorer(self) -> Callable[[list[float]], float]:
+        return lambda x: float(self.network.probability(np.array(x, np.float64)[None])[0])
 
 
-class Shared:
-    """A model sent to executors once; it has a fixed size."""
-
-    def __init__(self, docs: DataFrame, model: Model) -> None:
-        self.held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def scorer(self) -> Callable[[str], float]:
-        return self.held.value.scorer()
-
-
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """Unit vectors from all texts; the network from at most 10,000 labelled rows outside the held-out fold.
+def fit(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> Model:
+    """The network from at most 10,000 labelled rows of a pooled table outside the held-out fold.
 
     Every fifth of these rows is kept from training and sets the temperature. Without labelled rows of both
     kinds the network learns what there is; with none it answers one half.
     """
-    vectors = unit_vectors(docs, text)
-    table = docs.sparkSession.sparkContext.broadcast(vectors)
-
-    def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units()
-        for batch in batches:
-            found = [pool(units.of(t), table.value).tolist() for _, t in text_rows(batch, "_text")]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
-
-    rows = list(sample(docs, labels, label, None, LABELLED, doc_id, text).mapInArrow(pooled, "x array<double>, y int").toLocalIterator())
-    x = np.array([r["x"] for r in rows], np.float64).reshape(len(rows), 2 * DIM + 3)
-    y = np.array([r["y"] for r in rows], np.float64)
-    if not len(rows):
-        x, y = np.zeros((2, 2 * DIM + 3)), np.array([0.0, 1.0])
-    return Model(vectors, Network(x, y))
+    known = list(sample(rows, labels, label, None, LABELLED, doc_id, "_x").toLocalIterator())
+    x = np.array([r["_text"] for r in known], np.float64).reshape(len(known), SIZE)
+    y = np.array([r["_label"] for r in known], np.float64)
+    if not len(known):
+        x, y = np.zeros((2, SIZE)), np.array([0.0, 1.0])
+    return Model(Network(x, y))
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row.
 
-    Only the text decides a score. A null text is scored as the empty one; repeated rows give repeated rows;
+    Only the texts decide a score. A null text is scored as the empty one; repeated rows give repeated rows;
     an empty table gives none; other columns are not carried.
     """
-    model = Shared(docs, fit(docs, labels, doc_id, text))
-    return scored(docs, model.scorer, threshold, doc_id, text)
+    rows = pooled(docs.select(doc_id, text), doc_id, text).drop(text)
+    return scored(rows, fit(rows, labels, doc_id).scorer, threshold, doc_id, "_x")
 
 
 def _passes(threshold: float, score: float) -> bool:
@@ -224,4 +232,5 @@ def _passes(threshold: float, score: float) -> bool:
 
 def of_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that are predicted of good quality, with all their columns."""
-    return kept(docs, Shared(docs, fit(docs, labels, doc_id, text)).scorer, partial(_passes, threshold), text)
+    rows = pooled(docs, doc_id, text)
+    return kept(rows, fit(rows, labels, doc_id).scorer, partial(_passes, threshold), "_x").drop("_x")

@@ -4,7 +4,9 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -77,3 +79,39 @@ def test_stages_on_edges(spark, edge, nothing):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, sf).count() == 0, name
         assert stage(spark, edge, sf).count() >= 0, name
+
+
+def test_every_word_has_a_vector_of_its_own(spark):
+    """Words that agree at both ends differ; pooled vectors are those of one pass over all texts, for any number of chunks."""
+    rows = [(i, f"please contact the office {i % 7} or sign the contract of {'long ' * (i % 4)}lease") for i in range(40)] + [(50, None), (51, ""), (52, "contact"), (52, "contract")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = [(t or "").split() for _, t in rows]
+    kinds = sorted({w for t in texts for w in t})
+    index = quality.index_vectors(np.array([xxhash.xxh64_intdigest(w.encode()) for w in kinds], np.uint64))
+    own = dict(zip(kinds, index[:-1].astype(int)))
+    sums = {w: np.zeros(quality.DIM) for w in kinds}
+    for t in texts:
+        for i, w in enumerate(t):
+            for j in range(max(0, i - 2), min(len(t), i + 3)):
+                if j != i:
+                    sums[w] += own[t[j]]
+    assert (sums["contact"] != sums["contract"]).any()
+    unit = {w: v / (np.linalg.norm(v) or 1) for w, v in sums.items()}
+    want = {}
+    for (i, text), t in zip(rows, texts):
+        v = np.array([unit[w] for w in t]).reshape(len(t), quality.DIM)
+        x = np.zeros(quality.SIZE)
+        if t:
+            x = np.concatenate([v.mean(0), v.std(0), [(v[:-1] * v[1:]).sum() / len(t), (v[:-2] * v[2:]).sum() / len(t), 1]])
+        want[i, text] = x
+    for chunks in (1, 5):
+        out = quality.pooled(docs, chunks=chunks).collect()
+        assert len(out) == len(rows)
+        for r in out:
+            assert r["_x"] == pytest.approx(want[r["doc_id"], r["text"]].tolist(), abs=1e-3)
+
+
+def test_packed_sums_keep_their_values():
+    sums = np.array([[0] * 32, [127] * 32, [-128] * 32, [10**12] * 32, [-1] * 32])
+    assert (quality.unpacked(quality.packed(sums)) == sums).all()
+    assert quality.unpacked(quality.packed(sums[:0])).shape == (0, 32)
