@@ -223,14 +223,15 @@ def near_duplicates(
 
 
 def first_of_each(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that lead their group: those with its smallest doc_id.
+    """One row of each group, all columns as they are: that with the smallest doc_id.
 
-    doc_id names a document; of rows that agree in doc_id and text one stays. A document without an id goes by
-    its text and leads a group only if no member has an id.
+    Where an id has several texts of a group, that with the smallest xxhash64 of the text leads; of rows that
+    agree in doc_id and text any one stays. A document without an id goes by its text and leads a group only
+    if no member has an id.
     """
     stand_in = F.xxhash64(F.lit(1), F.col("text")).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), stand_in))
-    classes = near_duplicates(keyed, shingle, bits, doc_id="_doc")
-    lead = classes.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_doc"))
-    left = keyed.join(lead, "_doc", "left_semi").withColumn("_text", F.xxhash64("text"))
-    return left.dropDuplicates(["_doc", "_text"]).select(*docs.columns)
+    row = F.struct(F.coalesce(F.col("doc_id").cast("long"), stand_in).alias("doc"), F.xxhash64("text").alias("text"))
+    keyed = docs.withColumn("_key", row)
+    classes = near_duplicates(keyed, shingle, bits, doc_id="_key")
+    lead = classes.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_key"))
+    return keyed.join(lead, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)

@@ -167,3 +167,16 @@ def test_ring_loses_no_pair(spark, bits):
         simhash.CELL = before
     assert roots(fps, [(r["a"], r["b"]) for r in found]) == want
     assert all((r["a"], r["b"]) and want[r["a"]] == want[r["b"]] for r in found)
+
+
+def test_one_row_of_each_group_leads(spark):
+    """An id may carry several texts: each group keeps one row, whatever leads another group."""
+    rng = np.random.default_rng(3)
+    x, other = (" ".join(f"w{i}" for i in rng.integers(0, 10_000, 400)) for _ in range(2))
+    near = x + " end"
+    assert (fingerprint(x) ^ fingerprint(near)).bit_count() <= 4 < (fingerprint(x) ^ fingerprint(other)).bit_count()
+    rows = [(3, x), (5, near), (5, other), (5, other), (7, other + " end")]
+    first = simhash.first_of_each(spark.createDataFrame(rows, "doc_id long, text string"), 4, 4).collect()
+    assert sorted(tuple(r) for r in first) == [(3, x), (5, other)]
+    first = simhash.first_of_each(spark.createDataFrame([(1, x), (1, near)], "doc_id long, text string"), 4, 4).collect()
+    assert len(first) == 1
