@@ -1,6 +1,5 @@
 """Comments."""
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.base import Registry, sql, table
@@ -43,9 +42,8 @@ def stopword_table(spark, sf):
 
 @QUERIES.add("hashed_term_frequency", sql([WORDS], "SELECT doc_id, len(words)::DOUBLE AS tokens FROM w"))
 def hashed(spark, sf):
-    rows = text.hashed_tf(text.tokenise(docs(spark, sf), "text"), 4096)
-    total = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, x: a + x)
-    return rows.select("doc_id", total.alias("tokens"))
+    rows = text.bucket_counts(text.hashed_tf(text.tokenise(docs(spark, sf), "text")), "doc_id")
+    return rows.groupBy("doc_id").agg(F.coalesce(F.sum("frequency"), F.lit(0.0)).alias("tokens"))
 
 
 @QUERIES.add(

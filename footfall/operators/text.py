@@ -44,6 +44,12 @@ def hashed_tf(df: DataFrame, n: int = BUCKETS, col: str = "words", out: str = "t
     return HashingTF(inputCol=col, outputCol=out, numFeatures=n).transform(df)
 
 
+def bucket_counts(tf: DataFrame, id_col: str, col: str = "tf") -> DataFrame:
+    """(id, bucket, frequency) of hashed words; a text without words gives one row of nulls."""
+    pairs = F.udf(lambda v: list(zip(v.indices.tolist(), v.values.tolist())), "array<struct<bucket:int,frequency:double>>")
+    return tf.select(id_col, F.explode_outer(pairs(col)).alias("_pair")).select(id_col, "_pair.bucket", "_pair.frequency")
+
+
 def fit_idf(tf: DataFrame, col: str = "tf", out: str = "tfidf") -> IDFModel:
     return IDF(inputCol=col, outputCol=out).fit(tf)
 

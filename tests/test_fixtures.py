@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import text as catalog_text
 from footfall.functions import columns as c
 from footfall.functions.geohash import geohash
-from footfall.operators import activity, attribution, cube, geo, history, identity, quality, sketch
+from footfall.operators import activity, attribution, cube, geo, history, identity, quality, sketch, text
 from footfall.session import cut_lineage
 
 RELATION = "deviceid string, account string, score double, first_time long, last_time long"
@@ -224,3 +225,42 @@ def test_columns(spark):
         c.squared_distance(F.array(F.lit(1.0), F.lit(2.0)), F.array(F.lit(4.0), F.lit(6.0))).alias("q"),
     ).head()
     assert tuple(row) == ("a", 2, [1, 3], [1, 2, 3], None, "\\N", "未知", 1, 222 * 2**24 + 64 * 2**16 + 158 * 256 + 53, "2021-02-28", 25.0)
+
+
+def murmur3(data, seed=42):
+    """Murmur3, 32 bits, as a signed number."""
+    word, h = lambda k: (lambda x: (x << 15 | x >> 17) & 0xFFFFFFFF)(k * 0xCC9E2D51 & 0xFFFFFFFF) * 0x1B873593 & 0xFFFFFFFF, seed
+    whole = len(data) // 4 * 4
+    for i in range(0, whole, 4):
+        h ^= word(int.from_bytes(data[i : i + 4], "little"))
+        h = ((h << 13 | h >> 19) & 0xFFFFFFFF) * 5 + 0xE6546B64 & 0xFFFFFFFF
+    if data[whole:]:
+        h ^= word(int.from_bytes(data[whole:], "little"))
+    h ^= len(data)
+    for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = (h ^ h >> shift) * by & 0xFFFFFFFF
+    return h - (1 << 32) if h >> 31 else h
+
+
+def test_hashed_words_by_bucket(spark):
+    """Bucket and frequency of every text, by the operator's own size, against the hash's definition."""
+    texts = {1: "a b a longer-word été 漢字 a", 2: "", 3: "Word word WORDS", 4: " ".join(f"w{i}" for i in range(5000))}
+    rows = text.tokenise(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "text")
+    got = {i: {} for i in texts}
+    for r in text.bucket_counts(text.hashed_tf(rows), "doc_id").collect():
+        if r["bucket"] is not None:
+            got[r["doc_id"]][r["bucket"]] = r["frequency"]
+    for i, t in texts.items():
+        want = {}
+        for w in t.lower().split():
+            at = murmur3(w.encode()) % 1_000_000
+            want[at] = want.get(at, 0) + 1
+        assert got[i] == want
+    assert len(got[4]) > 4096
+
+
+def test_hashed_query_uses_the_operators_size(spark, monkeypatch):
+    sizes, hashed = [], text.hashed_tf
+    monkeypatch.setattr(text, "hashed_tf", lambda df, n=text.BUCKETS, **kw: sizes.append(n) or hashed(df, n, **kw))
+    query = catalog_text.QUERIES.entries["hashed_term_frequency"][0]
+    assert query(spark, "/root/testdata/sf0.001").count() > 0 and sizes == [1_000_000]
