@@ -153,7 +153,7 @@ def _fold_copies(rows: DataFrame, k: int, salts: int) -> DataFrame:
 
 
 def nearest(
-    rows: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id", vector: str = "embedding", sure: float = SURE, dims: int = DIMS
+    rows: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id", vector: str = "embedding", sure: float = SURE, dims: int = DIMS, cell: int = CELL
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found for each row where ``is_query`` holds.
 
@@ -164,7 +164,7 @@ def nearest(
 
     Copies of a vector are one point with its k + 1 smallest ids. Every point lies in a cell of the tree; a
     query first visits its own cell, whose k-th distance then tells by the test which other cells it must
-    visit. Cells above 4,096 rows are cut into blocks, queries come in blocks of 2,048 or so.
+    visit. Cells above ``cell`` rows are cut into blocks, queries come in blocks of 2,048 or so.
     """
     spark = rows.sparkSession
     # -0.0 and 0.0 are one number, and hashes must see it so.
@@ -188,7 +188,7 @@ def nearest(
     kind = dict(points.dtypes)
     points = stored(points.mapInArrow(project, f"vector {kind['vector']}, ids {kind['ids']}, node long, at array<double>"), "points")
     distinct = points.count()
-    cells = max(1, distinct // CELL)
+    cells = max(1, distinct // cell)
     seen = points.select("node", "at").orderBy(F.xxhash64("node"), "node").limit(min(SAMPLE, 64 * cells)).select("at").toLocalIterator() if cells > 1 else []
     top = spark.sparkContext.broadcast(Top(np.array([r["at"] for r in seen]).reshape(-1, dims), min(cells, SAMPLE // 64)))
 
@@ -199,7 +199,7 @@ def nearest(
 
     placed = points.mapInArrow(in_cell, f"vector {kind['vector']}, ids {kind['ids']}, node long, at array<double>, cell int")
     # One row per cell, of which there are at most 1,024.
-    sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("blocks"))
+    sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / cell).alias("blocks"))
     placed = stored(placed.join(F.broadcast(sizes), "cell").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "cells")
     # Queries with one vector are searched once.
     asked = base.where("query").select("vector").distinct().select(F.xxhash64("vector").alias("node"))

@@ -169,6 +169,19 @@ def test_ring_loses_no_pair(spark, bits):
     assert all((r["a"], r["b"]) and want[r["a"]] == want[r["b"]] for r in found)
 
 
+def test_recall_over_many_cells(embeddings):
+    """Cells of some 32 rows, crowded ones in blocks: the tree's top, the stopping test and second visits take part."""
+    rows = [(r["vec_id"], r["embedding"]) for r in embeddings.collect()]
+    want = neighbours(rows, 10)
+    out = ann.nearest(embeddings, F.col("vec_id") % 100 == 0, 10, cell=32).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r["query_id"], {})[r["vec_id"]] = r["score"]
+    assert got.keys() == want.keys() and all(len(v) == 10 for v in got.values())
+    assert sum(len(got[q].keys() & dict(want[q]).keys()) for q in want) >= 0.95 * 10 * len(want)
+    assert all(got[q][i] == pytest.approx(s, rel=1e-9) for q in want for i, s in want[q] if i in got[q])
+
+
 def test_one_row_of_each_group_leads(spark):
     """An id may carry several texts: each group keeps one row, whatever leads another group."""
     rng = np.random.default_rng(3)
