@@ -20,8 +20,8 @@ EDGE = b".,;:!?\"'()[]{}|*&%$#@-_/\\"
 #: Bounds of the training sample (documented parameters) and of the features a model uses.
 POSITIVE, UNLABELLED = 2000, 6000
 FEATURES = 2048
-#: A feature needs this share of the positives and this standard score.
-LEAST_SHARE, GAP = 0.015, 5.0
+#: A feature needs this standard score.
+GAP = 5.0
 EPOCHS, RATE, RIDGE = 400, 0.05, 1e-4
 #: Words a worker remembers the weight of.
 KNOWN = 300_000
@@ -58,11 +58,10 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
     df_p = np.bincount(np.concatenate([*positive, np.zeros(0, np.int64)]), minlength=SPACE)
     df_u = np.bincount(np.concatenate([*unlabelled, np.zeros(0, np.int64)]), minlength=SPACE)
-    least = max(3, LEAST_SHARE * n_p)
     both = (df_p + df_u) / (n_p + n_u)
     gap = (df_p / n_p - df_u / n_u) / np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
-    chosen = np.argsort(-np.where((df_p >= least) & (gap > GAP), gap, 0), kind="stable")[:FEATURES]
-    chosen = np.sort(chosen[(df_p[chosen] >= least) & (gap[chosen] > GAP)])
+    chosen = np.argsort(-np.where(gap > GAP, gap, 0), kind="stable")[:FEATURES]
+    chosen = np.sort(chosen[gap[chosen] > GAP])
 
     def matrix(rows):
         at = [np.searchsorted(chosen, r[np.isin(r, chosen, assume_unique=True)]) for r in rows]

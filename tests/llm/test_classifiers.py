@@ -115,3 +115,21 @@ def test_packed_sums_keep_their_values():
     sums = np.array([[0] * 32, [127] * 32, [-128] * 32, [10**12] * 32, [-1] * 32])
     assert (quality.unpacked(quality.packed(sums)) == sums).all()
     assert quality.unpacked(quality.packed(sums[:0])).shape == (0, 32)
+
+
+def test_rare_marks_count():
+    """A word in 20 of 2,000 toxic and in no other text has a standard score of 7.7: it is a feature and raises a score."""
+    rng = np.random.default_rng(1)
+    common = lambda n: [np.unique(rng.integers(1000, 3000, 30)) for _ in range(n)]
+    positive, unlabelled = common(2000), common(6000)
+    positive = [np.unique([*p, 7] if i < 20 else [*p, 8]) for i, p in enumerate(positive)]
+    chosen, weights, _ = toxicity.train(positive, unlabelled, 0.1)
+    assert 8 in chosen and 7 in chosen and weights[chosen == 7][0] > 0
+
+
+def test_toxic_recall_and_clean_flagged(spark, labels):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = toxicity.toxicity(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    hit = [r["predicted"] for r in rows if r["toxic"] == 1]
+    wrong = [r["predicted"] for r in rows if r["toxic"] == 0]
+    assert sum(hit) >= 0.75 * len(hit) and sum(wrong) <= 0.01 * len(wrong)
