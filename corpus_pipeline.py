@@ -32,7 +32,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; those it does not take go."""
-    return mixing.mixed(docs, [3, 1, 2])
+    return mixing.mixed(docs, [3, 1, 2], tilt=mixing.by_length())
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

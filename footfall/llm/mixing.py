@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.llm.common import numbered, stored, word_count
@@ -35,6 +37,33 @@ def targets(sources: DataFrame, weight: Column, budget: float, cap: float) -> Da
     return rows.withColumn("target", F.least(F.col("_cap"), F.col("_w") * F.lit(level))).drop("_w", "_cap")
 
 
+def levels(groups: DataFrame, cap: float, per_source: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """(_s, _level): copies per unit of tilt at which a source's expected words meet its target.
+
+    ``groups`` has (source, target, _tilt, _words, _salt). Copies stop at ``cap``: what a document cannot take goes to
+    the others of its source by tilt. As with targets a level only rises, until no further document is cut.
+    """
+    same = F.col("source").alias("_s")
+    rise = groups.select(same).distinct().withColumn("_level", F.lit(0.0))
+    before = -1
+    while True:
+        known = per_source(groups, rise)
+        full = F.col("_level") * F.col("_tilt") >= cap
+        sums = known.groupBy("source").agg(
+            F.max("target").alias("target"), F.sum("_words").alias("_all"), F.max("_level").alias("_level"), F.count_if(full).alias("_n"),
+            F.coalesce(F.sum(F.when(full, F.col("_words"))), F.lit(0)).alias("_full"),
+            F.coalesce(F.sum(F.when(~full, F.col("_words") * F.col("_tilt"))), F.lit(0.0)).alias("_open"),
+        )
+        # At the cap of the whole source every document is certain.
+        new = F.when(F.col("target") >= F.col("_all") * cap, F.lit(float("inf"))).when(F.col("_open") > 0, (F.col("target") - cap * F.col("_full")) / F.col("_open"))
+        rise = stored(sums.select(same, F.coalesce(new, F.col("_level")).alias("_level"), "_n"), "levels")
+        n = rise.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+        rise = rise.drop("_n")
+        if n == before:
+            return rise
+        before = n
+
+
 def mix(
     docs: DataFrame, weights: list[float], budget: float = 1.5, cap: float = 2.0, seed: int = 0,
     doc_id: str = "doc_id", text: str = "text", source: str = "source", tilt: Column | None = None,
@@ -42,8 +71,9 @@ def mix(
     """How often each document enters the mix: (doc_id, size, source_size, target, copies, taken) and the keys.
 
     ``weights`` repeat over the sources in code-point order, null last. A source's ratio target / size is
-    the number of copies each of its documents should get on average; ``tilt`` (a positive column, 1 by
-    default) raises or lowers that for single documents, up to ``cap``. The whole part is certain. The rest
+    the number of copies each of its documents should get on average; with ``tilt`` (a positive column) the
+    documents of a source get copies in proportion to it, up to ``cap``, at a level where their expected words
+    meet the target; without it they have equal odds. The whole part is certain. The rest
     is the inclusion probability p of one more copy: documents rank by (u / (1-u)) / (p / (1-p)) with u
     uniform from the seed and the row, and the lowest ranks get a copy until the words missing to the
     target are reached, to within half a document. The sample is thus of fixed size in words.
@@ -79,9 +109,16 @@ def mix(
         return left.join(spread, same & (F.col("_salt") == F.col("_z"))).drop("_s", "_z")
 
     rows = rows.withColumn("_salt", F.pmod("_hash", F.lit(salts)).cast("int"))
-    joined = per_source(rows, aims.select(F.col("source").alias("_s"), "source_size", "target"))
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.least(F.lit(float(cap)), ratio * F.col("_tilt"))
+    facts = aims.select(F.col("source").alias("_s"), "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("_level"))
+    if tilt is not None:
+        groups = rows.where(F.col("size") > 0).groupBy("source", "_tilt").agg(F.sum("size").alias("_words"))
+        groups = groups.withColumn("_salt", F.pmod(F.xxhash64("_tilt"), F.lit(salts)).cast("int"))
+        groups = stored(per_source(groups, facts.select("_s", "target")), "groups")
+        level = levels(groups, float(cap), per_source).withColumnRenamed("_s", "_of")
+        facts = facts.drop("_level").join(level, F.col("_s").eqNullSafe(F.col("_of")), "left").drop("_of").fillna(0.0, ["_level"])
+        facts = stored(facts, "facts")
+    joined = per_source(rows, facts)
+    copies = F.least(F.lit(float(cap)), F.col("_level") * F.col("_tilt"))
     # Uniform in (0, 1): the middle of one of 2^53 steps.
     u = (F.shiftrightunsigned(F.col("_hash"), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
     parted = joined.withColumn("_copies", copies).withColumn("_sure", F.floor("_copies").cast("long"))
@@ -123,12 +160,17 @@ def mix(
     )
 
 
-def mixed(docs: DataFrame, weights: list[float], budget: float = 1.5, cap: float = 2.0, seed: int = 0) -> DataFrame:
+def by_length(text: str = "text") -> Column:
+    """A tilt: the square root of a text's words, so that longer texts enter more often."""
+    return F.sqrt(F.greatest(word_count(F.col(text)), F.lit(1)).cast("double"))
+
+
+def mixed(docs: DataFrame, weights: list[float], budget: float = 1.5, cap: float = 2.0, seed: int = 0, tilt: Column | None = None) -> DataFrame:
     """The mix itself: the rows of ``docs`` with all their columns, each as often as it is taken.
 
     Equal rows share the copies of all of them.
     """
-    chosen = mix(docs, weights, budget, cap, seed).groupBy(F.col("row_hash").alias("_row")).agg(F.sum("copies").alias("_copies"))
+    chosen = mix(docs, weights, budget, cap, seed, tilt=tilt).groupBy(F.col("row_hash").alias("_row")).agg(F.sum("copies").alias("_copies"))
     rows = docs.withColumn("_row", row_hash(seed, "doc_id", "text")).join(chosen.where(F.col("_copies") > 0), "_row")
     once = rows.dropDuplicates(["_row"])
     return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)

@@ -33,7 +33,7 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir), [3, 1, 2]).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+    return mixing.mix(documents(spark, sf_dir), [3, 1, 2], tilt=mixing.by_length()).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -253,3 +253,37 @@ def test_long_matches_and_odd_chunks():
     want = [e.ids for e in files.lib.encode_batch(long + odd, add_special_tokens=False)]
     for _ in range(2):
         assert [x[:-1].tolist() for x in files.encode(long + odd, 2)] == want
+
+
+def test_mix_of_unequal_odds(docs, edge):
+    """Tilted copies meet the targets: by their expectation, and in each sample to within half a document."""
+    tilt = F.when(F.col("doc_id") % 2 == 0, 4.0).otherwise(1.0)
+    for rows in (docs, edge):
+        seen = Counter()
+        for seed in range(3):
+            out = mixing.mix(rows, [3, 1, 2], seed=seed, tilt=tilt).collect()
+            by = defaultdict(list)
+            for r in out:
+                by[r["source"]].append(r)
+            for some in by.values():
+                assert all(0 <= r["copies"] <= 2 for r in some)
+                assert abs(sum(r["taken"] for r in some) - some[0]["target"]) <= max(r["size"] for r in some) / 2 + 1e-6
+                odds = lambda level, r: min(2.0, level * (4.0 if (r["doc_id"] or 1) % 2 == 0 else 1.0))
+                lo, hi = 0.0, 4.0
+                for _ in range(60):
+                    mid = (lo + hi) / 2
+                    lo, hi = (mid, hi) if sum(odds(mid, r) * r["size"] for r in some) < some[0]["target"] else (lo, mid)
+                for r in some:
+                    if r["size"]:
+                        assert math.floor(odds(hi, r) - 1e-9) <= r["copies"] <= math.ceil(odds(hi, r) + 1e-9)
+                        if some[0]["target"] < 1.99 * some[0]["source_size"]:
+                            seen[(r["doc_id"] or 1) % 2, "copies"] += r["copies"]
+                            seen[(r["doc_id"] or 1) % 2, "hoped"] += odds(hi, r)
+        if rows is docs:
+            assert all(seen[i, "copies"] == pytest.approx(seen[i, "hoped"], rel=0.15) for i in (0, 1))
+    out = mixing.mix(docs, [3, 1, 2], tilt=mixing.by_length()).collect()
+    got, want = Counter(), {}
+    for r in out:
+        got[r["source"]] += r["taken"]
+        want[r["source"]] = r["target"]
+    assert all(abs(got[s] - want[s]) <= max(r["size"] for r in out if r["source"] == s) / 2 + 1e-6 for s in want)
