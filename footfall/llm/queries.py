@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm import ann, bpe, cosine, ctw, huffman, mixing, quality, sharding, simhash, toxicity
+from footfall.llm import ann, bpe, codes, cosine, ctw, huffman, mixing, quality, sharding, simhash, toxicity
 from footfall.llm.common import documents
 from footfall.session import scratch_path
 
@@ -62,6 +62,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, bits=4)
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,14 +90,51 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = c
 FROM embeddings JOIN least ON least.x = vec_id LEFT JOIN direct ON direct.x = vec_id
 """
 
+
+def _op13_round(n: int) -> str:
+    """Assignment n to codebook n, and the codebook after it."""
+    return f"""
+a{n} AS (
+  SELECT rid, p, min((d, e)) AS best FROM (
+    SELECT rid, x.p, e, list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(x, c)])::BIGINT AS d
+    FROM x JOIN b{n} ON b{n}.p = x.p) GROUP BY rid, p
+), m{n} AS (
+  SELECT p, e, k, sum(v)::BIGINT AS s, count(*) AS n FROM (
+    SELECT a{n}.p, best[2] AS e, unnest(x) AS v, generate_subscripts(x, 1) AS k FROM a{n} JOIN x ON x.rid = a{n}.rid AND x.p = a{n}.p)
+  GROUP BY p, e, k
+), b{n + 1} AS (
+  SELECT b.p, b.e, coalesce(l.c, b.c) AS c FROM b{n} b LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS c FROM m{n} GROUP BY p, e) l ON l.p = b.p AND l.e = b.e
+)"""
+
+
+#: op13 with every distance worked out.
+OP13_SQL = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, [floor(x::DOUBLE * 256)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), x AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x FROM kept, range(16) t(p)
+), b0 AS (
+  SELECT p, e, x AS c FROM x JOIN (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM kept) USING (rid) WHERE e < 64
+), {_op13_round(0)}, {_op13_round(1)}, {_op13_round(2)},
+coded AS (
+  SELECT rid, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM a2 GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(i, ',' ORDER BY p, e, k)) FROM (SELECT p, e, unnest(c)::VARCHAR AS i, generate_subscripts(c, 1) AS k FROM b2)) AS codebooks_sha256
+FROM coded JOIN kept USING (rid)
+"""
+
 #: SQL twins. The others rest on hashes, models, permutations, approximate search or tokenizers, which SQL lacks.
-SQL = {"op8_embedding_near_dedup": OP8_SQL}
+SQL = {"op8_embedding_near_dedup": OP8_SQL, "op13_vector_codes": OP13_SQL}
 
 #: name -> (query, SQL twin or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     f.__name__: (f, SQL.get(f.__name__))
     for f in (
         op1_lm_scoring, op2_sharding, op3_nearest_neighbours, op4_source_mixing, op5_byte_bpe, op6_toxicity, op7_quality,
-        op8_embedding_near_dedup, op9_token_files, op10_simhash_near_dedup, pipeline,
+        op8_embedding_near_dedup, op9_token_files, op10_simhash_near_dedup, op13_vector_codes,
+        pipeline,
     )
 }
