@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm import ann, bpe, codes, cosine, ctw, huffman, mixing, quality, sharding, simhash, toxicity
+from footfall.llm import ann, audit, bpe, codes, cosine, ctw, huffman, mixing, quality, sharding, simhash, toxicity
 from footfall.llm.common import documents
 from footfall.session import scratch_path
 
@@ -62,6 +62,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, bits=4)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(_table(spark, sf_dir, "embeddings"))
 
@@ -91,6 +95,44 @@ FROM embeddings JOIN least ON least.x = vec_id LEFT JOIN direct ON direct.x = ve
 """
 
 
+#: op12 with every document at every step of every order.
+OP12_SQL = """
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), failed AS (
+  SELECT part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+    100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM words LEFT JOIN (SELECT doc_id AS i, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1) ON i = doc_id
+), kinds AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, good, toxic, count(*) AS n FROM failed GROUP BY ALL
+), letter AS (SELECT substr('ABCDE', i::INT, 1) AS l, 1 << (i::INT - 1) AS bit FROM range(1, 6) t(i)
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, step::INT AS step, bit,
+    (SELECT sum(o.bit) FROM letter o WHERE position(o.l IN filter_order) < step)::INT AS before
+  FROM orders, range(1, 6) s(step), letter WHERE l = substr(filter_order, step::INT, 1)
+), told AS (
+  SELECT part, filter_order, step, bit,
+    sum(n) FILTER (WHERE mask & (coalesce(before, 0) | bit) = 0) AS kept,
+    sum(n) FILTER (WHERE mask & coalesce(before, 0) = 0 AND mask & bit > 0) AS removed,
+    sum(n) FILTER (WHERE mask & coalesce(before, 0) > 0 AND mask & bit > 0) AS redundant,
+    sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+    sum(n) FILTER (WHERE mask & coalesce(before, 0) = 0 AND mask & bit > 0 AND good) AS good_lost,
+    sum(n) FILTER (WHERE mask & coalesce(before, 0) = 0 AND mask & bit > 0 AND toxic) AS toxic_lost
+  FROM kinds, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM told
+"""
+
+
 def _op13_round(n: int) -> str:
     """Assignment n to codebook n, and the codebook after it."""
     return f"""
@@ -127,14 +169,14 @@ FROM coded JOIN kept USING (rid)
 """
 
 #: SQL twins. The others rest on hashes, models, permutations, approximate search or tokenizers, which SQL lacks.
-SQL = {"op8_embedding_near_dedup": OP8_SQL, "op13_vector_codes": OP13_SQL}
+SQL = {"op8_embedding_near_dedup": OP8_SQL, "op12_filter_audit": OP12_SQL, "op13_vector_codes": OP13_SQL}
 
 #: name -> (query, SQL twin or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     f.__name__: (f, SQL.get(f.__name__))
     for f in (
         op1_lm_scoring, op2_sharding, op3_nearest_neighbours, op4_source_mixing, op5_byte_bpe, op6_toxicity, op7_quality,
-        op8_embedding_near_dedup, op9_token_files, op10_simhash_near_dedup, op13_vector_codes,
+        op8_embedding_near_dedup, op9_token_files, op10_simhash_near_dedup, op12_filter_audit, op13_vector_codes,
         pipeline,
     )
 }

@@ -93,7 +93,7 @@ def test_codes_decode_to_near_vectors(spark):
         assert abs(math.sqrt(gap) - math.sqrt(r["error"])) <= math.sqrt(64)
 
 
-@pytest.mark.parametrize("name", ["op13_vector_codes"])
+@pytest.mark.parametrize("name", ["op12_filter_audit", "op13_vector_codes"])
 def test_twins(spark, rows, name):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
