@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm import ann, audit, bpe, codes, cosine, ctw, huffman, mixing, quality, sharding, simhash, toxicity
+from footfall.llm import ann, audit, bpe, codes, cosine, ctw, huffman, langid, mixing, quality, sharding, simhash, toxicity
 from footfall.llm.common import documents
 from footfall.session import scratch_path
 
@@ -62,6 +62,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, bits=4)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language(documents(spark, sf_dir))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
@@ -176,7 +180,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     f.__name__: (f, SQL.get(f.__name__))
     for f in (
         op1_lm_scoring, op2_sharding, op3_nearest_neighbours, op4_source_mixing, op5_byte_bpe, op6_toxicity, op7_quality,
-        op8_embedding_near_dedup, op9_token_files, op10_simhash_near_dedup, op12_filter_audit, op13_vector_codes,
+        op8_embedding_near_dedup, op9_token_files, op10_simhash_near_dedup, op11_language_id, op12_filter_audit, op13_vector_codes,
         pipeline,
     )
 }
