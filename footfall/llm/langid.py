@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from footfall.llm.classify import FOLD, FOLDS, SPREAD, Adam
-from footfall.llm.common import held_out, text_rows
+from footfall.llm.common import held_out, stored, text_rows
 
 #: Bounds of the training sample (documented parameters): texts per language, passages per text, words per passage.
 TEXTS, PASSAGES, LENGTH = 250, 8, 24
@@ -304,10 +304,14 @@ def fit(docs: DataFrame, texts: int = TEXTS, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_text"))
     rows = rows.where(F.col("_id").isNotNull() & F.col("_lang").isNotNull() & F.col("_text").isNotNull() & ~held_out(F.col("_id"), FOLDS, FOLD))
     rows = rows.withColumn("_h", F.xxhash64(F.lit(29), "_text"))
+    once = stored(rows.groupBy("_lang", "_h").agg(F.min("_id").alias("_id")), "texts-of-languages")
+    # One row per language, of which the model holds a column each.
+    counts = once.groupBy(F.col("_lang").alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
+    # Some 4 x ``texts`` of a language, however many it has, are then ranked in one task.
+    place = F.pmod(F.xxhash64(F.lit(31), "_h"), F.lit(1 << 40))
+    near = once.join(F.broadcast(counts), F.col("_lang") == F.col("_l")).where(place.cast("double") * F.col("_n") < F.lit(4 * texts) * F.lit(float(1 << 40)))
     rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_h"))
-    once = rows.groupBy("_lang", "_h").agg(F.min("_id").alias("_id"))
-    chosen = once.withColumn("_rank", rank).where(F.col("_rank") <= texts).drop("_rank")
-    # ``texts`` rows per language, so this broadcast is bounded.
+    chosen = near.withColumn("_rank", rank).where(F.col("_rank") <= texts).select("_lang", "_h", "_id")
     picked = rows.join(F.broadcast(chosen), ["_lang", "_h", "_id"], "left_semi").dropDuplicates(["_lang", "_h"])
     found = picked.select("_lang", "_text").repartition(SPREAD).mapInArrow(_passages, "lang string, passage string").collect()
     return train([(r["lang"], r["passage"]) for r in found]).compact()
