@@ -29,8 +29,9 @@ def direct(spark, sf):
 
 @QUERIES.add(
     "session_page_list",
-    sql([*TO_GUID, SPLIT], """SELECT newsessionid AS session_id, 0::BIGINT AS chunk, string_agg(page, ',' ORDER BY ms, event_id) AS pages
-        FROM split WHERE page IS NOT NULL GROUP BY newsessionid"""),
+    sql([*TO_GUID, SPLIT], """SELECT newsessionid AS session_id, (pos - 1) // 1000 AS chunk, string_agg(page, ',' ORDER BY pos) AS pages
+        FROM (SELECT *, row_number() OVER (PARTITION BY newsessionid ORDER BY ms, event_id) AS pos FROM split WHERE page IS NOT NULL)
+        GROUP BY newsessionid, chunk"""),
 )
 def pages(spark, sf):
     lists = sessions.session_pages(sessions.sessionize(stored_detail(spark, sf)))

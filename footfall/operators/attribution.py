@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from footfall.plans.skew import CELL_ROWS, TEN_MINUTES_MS, running_total
+from footfall.plans.scan import running_total
 
 MODELS = ("first", "last", "linear", "position", "time")
 
@@ -20,21 +20,20 @@ def keep_journeys(events: DataFrame, cands: Sequence[str], target: str, guid: st
 
 def segments(
     events: DataFrame, target: str, cands: Sequence[str], guid: str = "guid", event: str = "eventid",
-    ts: str = "ts", event_id: str | None = None, slice_ms: int = TEN_MINUTES_MS, ms: str | None = None,
-    cell_rows: int = CELL_ROWS,
+    ts: str = "ts", event_id: str | None = None, parts: int | None = None,
 ) -> DataFrame:
     """Candidates per conversion: (guid, segment, event, first_at, last_at, touches).
 
     Every target event ends a segment; candidates after the last target belong to none. The result
-    has one row per distinct candidate of a segment, so it is as narrow as the candidate list.
+    has one row per distinct candidate of a segment, so it is as narrow as the candidate list. Without
+    ``event_id`` events of one time follow by name. ``parts`` is the number of ranges the events are cut into.
     """
     order = [F.col(ts).alias("t"), F.col(event_id or event).alias("i")]
     rows = events.where(F.col(event).isin(*cands, target)).select(
-        F.col(guid).alias("guid"), F.col(event).alias("event"), F.struct(*order).alias("at"),
-        F.col(ms or ts).cast("long").alias("_ms"),
+        F.col(guid).alias("guid"), F.col(event).alias("event"), F.struct(*order).alias("at")
     )
     is_target = F.when(F.col("event") == target, 1).otherwise(0)
-    placed = running_total(rows, ["guid"], ["at"], is_target, "segment", "_ms", slice_ms, "_targets", cell_rows)
+    placed = running_total(rows, ["guid"], ["at"], is_target, "segment", "_targets", parts)
     return (
         placed.where((F.col("event") != target) & (F.col("segment") < F.col("_targets")))
         .groupBy("guid", "segment", "event")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions.columns import blank_to_null
-from footfall.plans.skew import dense_rank_ids
+from footfall.plans.scan import dense_rank_ids
 
 # Fixed values of the score rule: points per session, and the factor for a day without contact.
 POINTS_PER_SESSION = 100

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.columns import hour_stamp
-from footfall.plans.skew import running_total
+from footfall.plans.scan import running_total
 
 HALF_HOUR_MS = 30 * 60 * 1000
 _LAST = ["location", "devicetype", "osname", "releasechannel"]
@@ -130,15 +130,15 @@ def session_hours(df: DataFrame, session: str = "newsessionid", ts: str = "times
 
 def session_pages(
     df: DataFrame, session: str = "newsessionid", ts: str = "timestamp", event_id: str = "event_id",
-    page: str = "page", chunk: int = 1000,
+    page: str = "page", chunk: int = 1000, parts: int | None = None,
 ) -> DataFrame:
     """The ordered page list of a session, in chunks of at most ``chunk`` pages.
 
     Nearly every session is one chunk; a session of any length keeps its whole list without a task
-    ever holding more than one chunk of it.
+    ever holding more than one chunk of it. ``parts`` is the number of ranges the views are cut into.
     """
     views = df.where(F.col(page).isNotNull()).select(session, ts, event_id, page)
-    placed = running_total(views, [session], [ts, event_id], F.lit(1), "_pos", ts)
+    placed = running_total(views, [session], [ts, event_id], F.lit(1), "_pos", parts=parts)
     return (
         placed.withColumn("chunk", F.floor((F.col("_pos") - 1) / F.lit(chunk)).cast("long"))
         .groupBy(F.col(session).alias("session_id"), "chunk")

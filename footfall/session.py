@@ -66,6 +66,13 @@ def cut_lineage(df):
     return df.checkpoint()
 
 
+def stored(df, name: str):
+    """Write ``df`` to the shared folder and read it back: nothing before it is ever recomputed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table in the shared folder."""
     return f"{_shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

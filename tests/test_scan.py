@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.operators import attribution, funnel, sessions
-from footfall.plans.skew import dense_rank_ids, running_total, with_slice
+from footfall.plans.scan import carried, dense_rank_ids, in_order, running_total
 
 MINUTE = 60_000
 START = 1_704_067_200_000
@@ -67,22 +67,10 @@ def test_direct_sessions_equal_two_steps(frame, rows):
     assert one.agg(F.sum("pv_cnt")).head()[0] == dressed.where("page IS NOT NULL").count()
 
 
-def test_crowded_cells_are_cut(frame):
-    wide = with_slice(frame, ["sessionid"], "timestamp", 10**10, cell_rows=100)
-    cells = wide.groupBy("sessionid").agg(F.countDistinct("_slice").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
-    assert all((r["n"] > 5) == (r["rows"] > 100) for r in cells)
-    assert max(r["rows"] for r in cells) > 1000
-    # Slices ascend with time.
-    order = wide.groupBy("sessionid", "_slice").agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
-    clash = order.alias("a").join(order.alias("b"), "sessionid").where("a._slice < b._slice AND a.hi >= b.lo")
-    assert clash.count() == 0
-
-
-@pytest.mark.parametrize("slice_ms,cell_rows", [(MINUTE, 10**6), (10 * MINUTE, 10**6), (10**10, 10**6), (10**10, 50), (600 * MINUTE, 3)])
-def test_running_total(frame, events, slice_ms, cell_rows):
+@pytest.mark.parametrize("parts", [1, 3, 40, 400])
+def test_running_total(frame, events, parts):
     placed = running_total(
-        frame, ["sessionid"], ["timestamp", "event_id"], F.when(F.col("eventid") == "c", 1).otherwise(0), "n", "timestamp",
-        slice_ms, total="all", cell_rows=cell_rows,
+        frame, ["sessionid"], ["timestamp", "event_id"], F.when(F.col("eventid") == "c", 1).otherwise(0), "n", total="all", parts=parts
     )
     expect = {}
     for user, rows_ in by_user(events).items():
@@ -94,10 +82,70 @@ def test_running_total(frame, events, slice_ms, cell_rows):
     assert {r["event_id"]: (r["n"], r["all"]) for r in placed.collect()} == expect
 
 
-def test_running_total_of_a_null_key(spark):
-    frame = spark.createDataFrame([(None, 1), (None, 10**9), ("a", 5)], "k string, ms long")
-    got = running_total(frame, ["k"], ["ms"], F.lit(1), "n", "ms", total="all")
-    assert sorted((r["k"] or "", r["ms"], r["n"], r["all"]) for r in got.collect()) == [("", 1, 1, 2), ("", 10**9, 2, 2), ("a", 5, 1, 1)]
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_running_total_of_a_null_key(spark, parts):
+    frame = spark.createDataFrame([(None, 1, "x"), (None, 10**9, "x"), ("a", 5, "x"), (None, 7, "y")], "_k0 string, _part long, _before string")
+    got = running_total(frame, ["_k0"], ["_part"], F.lit(1), "n", total="_all", parts=parts)
+    assert set(got.columns) == {"_k0", "_part", "_before", "n", "_all"}
+    assert sorted((r["_k0"] or "", r["_part"], r["n"], r["_all"]) for r in got.collect()) == [("", 1, 1, 3), ("", 7, 2, 3), ("", 10**9, 3, 3), ("a", 5, 1, 1)]
+    assert running_total(frame.limit(0), ["_k0"], ["_part"], F.lit(1), "n", total="all", parts=parts).count() == 0
+
+
+def burst(spark, n=5000):
+    """One key with all its events within five milliseconds, and a few others."""
+    rows_ = [(i, "hot" if i % 50 else f"u{i % 7}", START + i % 5, "abcd"[i * 7 % 11 % 4]) for i in range(n)]
+    return rows_, spark.createDataFrame(rows_, "event_id long, sessionid string, timestamp long, eventid string").repartition(6)
+
+
+def test_a_burst_spreads_over_the_tasks(spark):
+    """5,000 rows within 5 ms: no task works on more than twice the mean, and what is carried stays small."""
+    _, frame = burst(spark)
+    placed = in_order(frame, ["sessionid"], ["timestamp", "event_id"], "_part", 8)
+    for rows_ in (placed.groupBy("_part"), running_total(frame, ["sessionid"], ["timestamp", "event_id"], F.lit(1), "n", parts=8).groupBy(F.spark_partition_id())):
+        sizes = [r["count"] for r in rows_.count().collect()]
+        assert len(sizes) == 8 and sum(sizes) == 5000 and max(sizes) <= 2 * 5000 / 8
+    assert carried(placed.withColumn("v", F.lit(1)), ["sessionid"], "_part", "v").count() <= 16
+
+
+def test_a_burst_in_every_operator(spark):
+    events, frame = burst(spark)
+    users = by_user(events)
+    got = {r["sessionid"]: r["furthest"] for r in funnel.furthest_step(frame, list("abcdabcd"), ["sessionid"], parts=8).collect()}
+    for user, rows_ in users.items():
+        done = 0
+        for _, _, kind in rows_:
+            done += done < 8 and kind == "abcdabcd"[done]
+        assert got[user] == done
+    seg = attribution.segments(frame, "d", ["a", "b"], guid="sessionid", ts="timestamp", event_id="event_id", parts=8)
+    touches, open_ = 0, dict.fromkeys(users, 0)
+    for user, rows_ in users.items():
+        for _, _, kind in rows_:
+            if kind == "d":
+                touches, open_[user] = touches + open_[user], 0
+            open_[user] += kind in "ab"
+    assert seg.agg(F.sum("touches")).head()[0] == touches
+    lists = sessions.session_pages(frame, session="sessionid", page="eventid", chunk=100, parts=8).where("session_id = 'hot'").orderBy("chunk").collect()
+    assert [p for r in lists for p in r["page_list"]] == [kind for _, _, kind in users["hot"]]
+
+
+def test_events_are_read_twice_at_most(spark):
+    """Once to draw the ranges and once to store them, whatever the operator does with them."""
+    _, frame = burst(spark, 1000)
+    frame = frame.cache()
+    for use in (
+        lambda e: funnel.funnel(e, ["a", "b", "c"], ["sessionid"]),
+        lambda e: attribution.attribution(attribution.segments(e, "d", ["a", "b"], guid="sessionid", ts="timestamp", event_id="event_id"), "d"),
+        lambda e: sessions.session_pages(e, session="sessionid", page="eventid"),
+    ):
+        read = spark.sparkContext.accumulator(0)
+
+        def counted(batches, read=read):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        use(frame.mapInArrow(counted, frame.schema)).collect()
+        assert 1000 <= read.value <= 2000
 
 
 def test_page_list_in_chunks(frame, events):
@@ -110,9 +158,9 @@ def test_page_list_in_chunks(frame, events):
 
 
 @pytest.mark.parametrize("steps", [["a"], ["a", "b"], ["a", "b", "c"], ["a", "a", "b", "a", "e", "d"]])
-@pytest.mark.parametrize("slice_ms,cell_rows", [(MINUTE, 10**6), (600 * MINUTE, 10**6), (10**11, 40)])
-def test_furthest_step(frame, events, steps, slice_ms, cell_rows):
-    got = funnel.furthest_step(frame, steps, ["sessionid"], slice_ms=slice_ms, cell_rows=cell_rows)
+@pytest.mark.parametrize("parts", [1, 4, 60])
+def test_furthest_step(frame, events, steps, parts):
+    got = funnel.furthest_step(frame, steps, ["sessionid"], parts=parts)
     expect = {}
     for user, rows_ in by_user(events).items():
         path = "".join(kind for _, _, kind in rows_ if kind in steps)
@@ -132,7 +180,7 @@ def test_short_journeys(spark):
 
 def test_segments(frame, events):
     got = attribution.segments(
-        frame, "e", ["a", "b", "d"], guid="sessionid", ts="timestamp", event_id="event_id", slice_ms=600 * MINUTE, cell_rows=20
+        frame, "e", ["a", "b", "d"], guid="sessionid", ts="timestamp", event_id="event_id", parts=30
     )
     expect = {}
     for user, rows_ in by_user(events).items():
