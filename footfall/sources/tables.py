@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from footfall.functions.columns import export_text
 
@@ -81,9 +82,32 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_day(df: DataFrame, path: str, day: str, mode: str = "overwrite") -> None:
-    """Write one day of a table. The default replaces that day only, also by no rows at all."""
-    df.drop("dt").write.mode(mode).parquet(f"{path}/dt={day}")
+def write_day(df: DataFrame, path: str, day: str, mode: str = "overwrite") -> int:
+    """Write one day of a table and return its number of rows. The default replaces that day only, all or not at all.
+
+    Spark writes the rows aside and moves them into place when the job commits, so a write that fails leaves the
+    day as it was. A result without rows replaces the day too: a file that holds only the schema takes its place.
+    """
+    rows = df.drop("dt")
+    seen = Observation()
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.withColumn("dt", F.lit(day)).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+    # A plan that is known to be empty may drop the count with everything else.
+    n = seen.get.get("rows") or 0
+    if not n and mode == "overwrite":
+        _empty_day(df.sparkSession, rows.schema, path, day)
+    return n
+
+
+def _empty_day(spark: SparkSession, schema: T.StructType, path: str, day: str) -> None:
+    """Put a file without rows in place of a day. Between the two steps the day has no folder, so no rows either."""
+    aside = f"{path}/_empty-{uuid.uuid4().hex}"
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(aside)
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, f"{path}/dt={day}"))
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"{aside} could not be moved to {path}/dt={day}")
 
 
 def key_values(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:

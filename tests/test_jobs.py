@@ -153,6 +153,24 @@ def test_scratch_paths_are_fresh(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_failed_rewrite_keeps_the_day(spark, tmp_path):
+    path, day = str(tmp_path / "kept"), "2024-01-01"
+    old = spark.range(5).withColumn("v", F.lit("old"))
+    assert tables.write_day(old, path, day) == 5 and tables.write_day(old, path, "2024-01-02") == 5
+    # Some tasks finish and write their rows before one fails.
+    bad = spark.range(0, 100, 1, 8).withColumn("v", F.when(F.col("id") == 99, F.raise_error(F.lit("broken"))).otherwise(F.lit("new")))
+    with pytest.raises(Exception, match="broken"):
+        tables.write_day(bad, path, day)
+    kept = tables.scan_day(spark, path, day)
+    assert sorted(r["id"] for r in kept.collect()) == list(range(5)) and {r["v"] for r in kept.collect()} == {"old"}
+    assert spark.read.parquet(path).count() == 10
+    # The day can be rewritten from itself, by fewer rows, and by none.
+    assert tables.write_day(kept.where("id < 2"), path, day) == 2
+    assert spark.read.parquet(path).groupBy("dt").count().orderBy("dt").collect()[0]["count"] == 2
+    assert tables.write_day(tables.scan_day(spark, path, day).where("id > 7"), path, day) == 0
+    assert tables.scan_day(spark, path, day).count() == 0 and spark.read.parquet(path).count() == 5
+
+
 def test_empty_result_replaces_a_day(spark, tmp_path):
     path, row = str(tmp_path / "t"), spark.createDataFrame([(1, "a")], "n long, name string")
     tables.write_day(row.limit(0), path, "2024-01-01")
