@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    CLEAN, LOG, MID_DAY, NOW_MS, SCORES, TO_GUID, Registry, cleaned, guid_ids, known_users, sql, text, with_guid,
+    CLEAN, IDS, LOG, MID_DAY, NOW_MS, SCORES, TO_GUID, Registry, app_log, cleaned, guid_ids, known_users, sql, text, with_guid,
 )
 from footfall.operators import identity, quality
+from footfall.operators.clean import clean_events
+from footfall.session import stored
 
 QUERIES = Registry()
 
@@ -173,3 +175,39 @@ def cardinality(spark, sf):
 )
 def dense_check(spark, sf):
     return quality.check_dense(guid_ids(spark, sf))
+
+
+def _gate(name: str, value: str) -> str:
+    highest = quality.GATES[name]
+    return f"SELECT '{name}' AS gate, ({value})::DOUBLE AS value, {highest}::DOUBLE AS highest, ({value}) <= {highest} AS passed"
+
+
+@QUERIES.add(
+    "gate_report",
+    sql([*TO_GUID, IDS], " UNION ALL ".join(_gate(*g) for g in [
+        ("dirty_share", "SELECT 1 - (SELECT count(*) FROM clean)::DOUBLE / count(*) FROM log"),
+        ("lost_rows", "SELECT abs(count(*) - (SELECT count(*) FROM clean)) FROM ev"),
+        ("unresolved_rows", "SELECT count(*) FROM ev WHERE guid IS NULL"),
+        ("mixed_devices", "SELECT count(*) FROM (SELECT deviceid FROM scores GROUP BY 1 HAVING count(account) BETWEEN 1 AND count(*) - 1)"),
+        ("id_gaps", "SELECT max(id) - min(id) + 1 - count(*) FROM ids"),
+    ])),
+)
+def gates(spark, sf):
+    """All events as one day: counted while they are cleaned, named and numbered, then judged."""
+    watch = quality.Watch()
+    events = clean_events(watch.rows(app_log(spark, sf), "read"), ["eventid", "sessionid"], ["account", "deviceid"])
+    events = stored(watch.rows(events, "clean"), "clean")
+    scores = stored(identity.daily_scores(events), "scores")
+    best = identity.best_account(scores.withColumnRenamed("min_time", "last_time"))
+    named = identity.identify(events, best, known_users(spark, sf))
+    named = stored(watch.rows(named, "detail", unresolved=F.count_if(F.col("guid").isNull())), "detail")
+    stored(watch.rows(identity.allocate_ids(named.select("guid")), "ids", low=F.min("id"), high=F.max("id")), "ids")
+    read, kept = watch.count("read"), watch.count("clean")
+    values = {
+        "dirty_share": 1 - kept / read if read else 0.0,
+        "lost_rows": abs(watch.count("detail") - kept),
+        "unresolved_rows": watch.count("detail", "unresolved"),
+        "mixed_devices": quality.check_mixed(scores).count(),
+        "id_gaps": watch.count("ids", "high") - watch.count("ids", "low") + 1 - watch.count("ids"),
+    }
+    return quality.gate_report(spark, values, quality.GATES)

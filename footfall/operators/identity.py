@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions.columns import blank_to_null
 from footfall.plans.scan import dense_rank_ids
+from footfall.session import stored
 
 # Fixed values of the score rule: points per session, and the factor for a day without contact.
 POINTS_PER_SESSION = 100
@@ -31,7 +32,8 @@ def roll_scores(prev: DataFrame, cur: DataFrame, now_ms: Column | int, decay: fl
     """Relation table of the day from the one of the day before and today's scores.
 
     Both sides hold one row per (device, account), so a union and one grouping does the work of a
-    null-safe full join. A device keeps an account-less row only while it has no account.
+    null-safe full join. A device keeps an account-less row only while it has no account. The merged rows are
+    stored: either table is read once.
     """
     before = prev.select(
         "deviceid", "account", "score", "first_time", "last_time",
@@ -43,7 +45,7 @@ def roll_scores(prev: DataFrame, cur: DataFrame, now_ms: Column | int, decay: fl
         F.lit(None).cast("long").alias("first_time"), F.lit(None).cast("long").alias("last_time"),
         F.col("score").alias("new_score"), F.col("min_time").alias("new_time"),
     )
-    merged = (
+    merged = stored(
         before.unionByName(today)
         .withColumn("account", blank_to_null("account"))
         .groupBy("deviceid", "account")
@@ -53,7 +55,8 @@ def roll_scores(prev: DataFrame, cur: DataFrame, now_ms: Column | int, decay: fl
             F.max("first_time").alias("first_time"),
             F.max("last_time").alias("last_time"),
             F.max("new_time").alias("new_time"),
-        )
+        ),
+        "merged-scores",
     )
     rows = merged.select(
         "deviceid",
@@ -66,10 +69,9 @@ def roll_scores(prev: DataFrame, cur: DataFrame, now_ms: Column | int, decay: fl
     )
     known = rows.where(F.col("account").isNotNull())
     now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms)
-    contacts = prev.select("deviceid", "account").unionByName(cur.select("deviceid", "account"))
     anonymous = (
-        contacts.groupBy("deviceid")
-        .agg(F.count(blank_to_null("account")).alias("_accounts"))
+        merged.groupBy("deviceid")
+        .agg(F.count("account").alias("_accounts"))
         .where(F.col("_accounts") == 0)
         .select(
             "deviceid",

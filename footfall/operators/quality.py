@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+
+from footfall.session import observed
 
 
 def check_mixed(relation: DataFrame) -> DataFrame:
@@ -29,3 +33,39 @@ def check_dense(ids: DataFrame, id_col: str = "id", key: str = "guid") -> DataFr
     return ids.agg(
         F.max(id_col).alias("max_id"), F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("users")
     )
+
+
+class Watch:
+    """Counts taken while a job passes its rows on, so that checking them needs no scan of its own."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def rows(self, df: DataFrame, name: str, **more: Column) -> DataFrame:
+        """``df``, whose rows are counted under ``name`` by the first job that runs through it, with further aggregates."""
+        self._seen[name] = Observation()
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in more.items()])
+
+    def count(self, name: str, of: str = "rows") -> int:
+        return observed(self._seen[name], of)
+
+
+#: Highest value of each gate that lets a day pass.
+GATES = {"dirty_share": 0.5, "lost_rows": 0.0, "unresolved_rows": 0.0, "mixed_devices": 0.0, "id_gaps": 0.0}
+
+
+class GateFailed(ValueError):
+    """A day that is not published, and the gates that kept it."""
+
+
+def gate_report(spark: SparkSession, values: Mapping[str, float], limits: Mapping[str, float]) -> DataFrame:
+    """(gate, value, highest, passed), one row per gate; a gate without a limit always passes."""
+    rows = [(g, float(v), float(limits[g]) if g in limits else None, g not in limits or v <= limits[g]) for g, v in sorted(values.items())]
+    return spark.createDataFrame(rows, "gate string, value double, highest double, passed boolean")
+
+
+def hold_back(values: Mapping[str, float], limits: Mapping[str, float]) -> None:
+    """Raise if a value is above its limit."""
+    failed = {g: v for g, v in values.items() if g in limits and v > limits[g]}
+    if failed:
+        raise GateFailed(", ".join(f"{g} is {v:g}, at most {limits[g]:g} may pass" for g, v in sorted(failed.items())))

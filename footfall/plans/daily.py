@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.functions.columns import millis_date
-from footfall.operators import activity, cube, geo, identity, sessions
+from footfall.operators import activity, cube, geo, identity, quality, sessions
 from footfall.operators.clean import clean_events, extract_props
-from footfall.session import cut_lineage
-from footfall.sources.tables import scan_day, write_day
+from footfall.session import stored
+from footfall.sources.tables import discard_day, publish_day, scan_day, stage_day, write_day
 
 REQUIRED = ["properties", "eventid", "sessionid"]
 ANY_OF = ["account", "deviceid"]
@@ -33,12 +35,24 @@ def detail(
     return events.withColumn("dt", millis_date("timestamp"))
 
 
-def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges: DataFrame, now_ms: int) -> None:
+#: The tables whose rows the gates judge; none is published unless all gates pass.
+GATED = ("device_account_relation", "event_app_detail", "user_guid_global")
+
+
+def run_day(
+    spark: SparkSession, root: str, day: str, places: DataFrame, ranges: DataFrame, now_ms: int,
+    products: DataFrame | None = None, pages: DataFrame | None = None, gates: Mapping[str, float] | None = None,
+) -> dict[str, float]:
     """One day from raw logs to reports under ``root``; needs ``ods_event_app_log`` with that day.
 
     Every step starts from tables already written, so nothing is computed twice or lost with an executor. A
     repeated run replaces the day; ids once given stay, those of later days included. A day whose eve is
-    missing raises: ``run_days`` rolls over the gap.
+    missing raises: ``run_days`` rolls over the gap. ``products`` (id, cat_name, brand_name) and ``pages``
+    (id, lanmu_name) also give the share reports.
+
+    Relation, detail and ids are staged first. What passes through those jobs is counted on the way; if a count is above
+    its limit in ``gates`` (default ``quality.GATES``), nothing of the day is published and ``GateFailed`` is raised.
+    Returns the value of every gate.
     """
     before = (date.fromisoformat(day) - timedelta(days=1)).isoformat()
 
@@ -47,7 +61,8 @@ def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges:
         try:
             return spark.read.parquet(f"{root}/{name}")
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            # A folder that holds nothing but what was once staged has no schema yet.
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return spark.createDataFrame([], f"{schema}, dt date")
 
@@ -61,24 +76,42 @@ def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges:
                 raise ValueError(f"{name} ends on {last}: run the days up to {before} first")
         return found
 
+    watch = quality.Watch()
     logs = scan_day(spark, f"{root}/ods_event_app_log", day)
-    relation = identity.roll_scores(
-        state("device_account_relation", "deviceid string, account string, score double, first_time long, last_time long"),
-        identity.daily_scores(clean_events(logs, REQUIRED, ANY_OF)),
-        now_ms,
-    )
-    write_day(relation, f"{root}/device_account_relation", day)
-    relation = scan_day(spark, f"{root}/device_account_relation", day)
+    clean = watch.rows(clean_events(watch.rows(logs, "read"), REQUIRED, ANY_OF), "clean")
+    scores = stored(identity.daily_scores(clean), "daily-scores")
+    schema = "deviceid string, account string, score double, first_time long, last_time long"
+    relation = stage_day(identity.roll_scores(state("device_account_relation", schema), scores, now_ms), f"{root}/device_account_relation", day)
 
     every = table("user_guid_global", "id long, guid string")
     known = every.where(F.col("dt") < F.lit(day).cast("date")).select("id", "guid")
-    write_day(detail(logs, relation, known, places, ranges), f"{root}/event_app_detail", day)
-    rows = scan_day(spark, f"{root}/event_app_detail", day)
-    write_day(geo.unresolved_points(rows), f"{root}/unresolved_points", day)
-    # Ids of all days are taken, also those after this one; the checkpoint is read before the day is replaced.
+    named = watch.rows(detail(logs, relation, known, places, ranges), "detail", unresolved=F.count_if(F.col("guid").isNull()))
+    rows = stage_day(named, f"{root}/event_app_detail", day)
+    # Ids of all days are taken, also those after this one.
     given = every.where(F.col("dt") == F.lit(day).cast("date")).select("id", "guid")
     fresh = identity.allocate_ids(rows.where("newflag"), every.select("id", "guid"))
-    write_day(cut_lineage(given.unionByName(fresh)), f"{root}/user_guid_global", day)
+    fresh = watch.rows(fresh, "ids", low=F.min("id"), high=F.max("id"))
+    stage_day(given.unionByName(fresh), f"{root}/user_guid_global", day)
+
+    read, kept = watch.count("read"), watch.count("clean")
+    values = {
+        "dirty_share": (read - kept) / read if read else 0.0,
+        "lost_rows": abs(kept - watch.count("detail")),
+        "unresolved_rows": watch.count("detail", "unresolved"),
+        "mixed_devices": quality.check_mixed(relation).count(),
+        "id_gaps": watch.count("ids", "high") - watch.count("ids", "low") + 1 - watch.count("ids") if watch.count("ids") else 0,
+    }
+    try:
+        quality.hold_back(values, quality.GATES if gates is None else gates)
+    except quality.GateFailed:
+        for name in GATED:
+            discard_day(spark, f"{root}/{name}", day)
+        raise
+    for name in GATED:
+        publish_day(spark, f"{root}/{name}", day)
+
+    rows = scan_day(spark, f"{root}/event_app_detail", day)
+    write_day(geo.unresolved_points(rows), f"{root}/unresolved_points", day)
     write_day(identity.daily_active(rows), f"{root}/user_active_day", day)
 
     ids = spark.read.parquet(f"{root}/user_guid_global").select("id", "guid")
@@ -88,21 +121,25 @@ def run_day(spark: SparkSession, root: str, day: str, places: DataFrame, ranges:
     write_day(sessions.user_traffic(per_session), f"{root}/app_flow_agg_user", day)
     per_user = scan_day(spark, f"{root}/app_flow_agg_user", day)
     write_day(cube.traffic_base(per_user, ids, dims), f"{root}/app_flow_overview_bitmap", day)
-    stored = scan_day(spark, f"{root}/app_flow_overview_bitmap", day)
-    write_day(cube.traffic_cube(stored, dims), f"{root}/app_flow_overview_cube", day)
+    base = scan_day(spark, f"{root}/app_flow_overview_bitmap", day)
+    write_day(cube.traffic_cube(base, dims), f"{root}/app_flow_overview_cube", day)
+    if products is not None and pages is not None:
+        write_day(cube.share_base(rows, products, pages, ids), f"{root}/share_event_overview_bitmap", day)
+        write_day(cube.share_cube(scan_day(spark, f"{root}/share_event_overview_bitmap", day)), f"{root}/share_event_overview_cube", day)
 
     active = scan_day(spark, f"{root}/user_active_day", day)
     ranges_before = state("user_active_time_range", "first_dt date, guid string, range_start date, range_end date")
     write_day(activity.roll_ranges(ranges_before, active, day), f"{root}/user_active_time_range", day)
     status_before = state("user_active_status_bitmap", "guid string, first_dt date, active_status long")
     write_day(activity.roll_status(status_before, active, day), f"{root}/user_active_status_bitmap", day)
-    kept = scan_day(spark, f"{root}/user_active_time_range", day)
-    write_day(activity.retention(kept, day), f"{root}/user_retention", day)
+    ranges_now = scan_day(spark, f"{root}/user_active_time_range", day)
+    write_day(activity.retention(ranges_now, day), f"{root}/user_retention", day)
+    return values
 
 
-def run_days(spark: SparkSession, root: str, first: str, last: str, places: DataFrame, ranges: DataFrame, now_ms: int) -> None:
+def run_days(spark: SparkSession, root: str, first: str, last: str, places: DataFrame, ranges: DataFrame, now_ms: int, **more) -> None:
     """``run_day`` for each day from ``first`` to ``last``; a day without logs rolls on with nobody active."""
     day, end = date.fromisoformat(first), date.fromisoformat(last)
     while day <= end:
-        run_day(spark, root, day.isoformat(), places, ranges, now_ms)
+        run_day(spark, root, day.isoformat(), places, ranges, now_ms, **more)
         day += timedelta(days=1)

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from footfall.functions.columns import export_text
+from footfall.session import observed
 
 CORRUPT = "_corrupt"
 
@@ -92,22 +93,54 @@ def write_day(df: DataFrame, path: str, day: str, mode: str = "overwrite") -> in
     seen = Observation()
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     rows.withColumn("dt", F.lit(day)).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
-    # A plan that is known to be empty may drop the count with everything else.
-    n = seen.get.get("rows") or 0
+    n = observed(seen, "rows")
     if not n and mode == "overwrite":
         _empty_day(df.sparkSession, rows.schema, path, day)
     return n
 
 
+def stage_day(df: DataFrame, path: str, day: str) -> DataFrame:
+    """Write a day of a table where no reader of the table looks, and read it back with its ``dt``."""
+    rows, aside = df.drop("dt"), _staged(path, day)
+    rows.write.mode("overwrite").parquet(aside)
+    return df.sparkSession.read.schema(rows.schema).parquet(aside).withColumn("dt", F.lit(day).cast("date"))
+
+
+def _staged(path: str, day: str) -> str:
+    return f"{path}/_staged-{day}"
+
+
+def publish_day(spark: SparkSession, path: str, day: str) -> None:
+    """Put a staged day in place of the day in the table."""
+    _put(spark, _staged(path, day), f"{path}/dt={day}")
+
+
+def discard_day(spark: SparkSession, path: str, day: str) -> None:
+    """Drop a staged day that is not to be published."""
+    aside = spark._jvm.org.apache.hadoop.fs.Path(_staged(path, day))
+    aside.getFileSystem(spark._jsc.hadoopConfiguration()).delete(aside, True)
+
+
 def _empty_day(spark: SparkSession, schema: T.StructType, path: str, day: str) -> None:
-    """Put a file without rows in place of a day. Between the two steps the day has no folder, so no rows either."""
+    """Put a file without rows in place of a day."""
     aside = f"{path}/_empty-{uuid.uuid4().hex}"
     spark.createDataFrame([], schema).coalesce(1).write.parquet(aside)
-    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, f"{path}/dt={day}"))
+    _put(spark, aside, f"{path}/dt={day}")
+
+
+def _put(spark: SparkSession, aside: str, folder: str) -> None:
+    """Move a finished folder into place. The old one is kept beside it until then and comes back if the move fails."""
+    source, target, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, folder, f"{folder.rsplit('/', 1)[0]}/_old-{uuid.uuid4().hex}"))
     fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"{folder} could not be moved aside")
     if not fs.rename(source, target):
-        raise OSError(f"{aside} could not be moved to {path}/dt={day}")
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"{aside} could not be moved to {folder}")
+    if had:
+        fs.delete(old, True)
 
 
 def key_values(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from footfall.functions.geohash import geohash
 from footfall.operators import history, neighbours, quality, sessions
 from footfall.plans import daily
 from footfall.session import scratch_path
@@ -84,6 +85,33 @@ def test_a_day_can_run_again(spark, warehouse):
     assert snapshot(spark, root, TABLES) == before
 
 
+def test_a_bad_day_is_not_published(spark, warehouse, tmp_path):
+    """Two of three rows without account and device: the day stays as it was before, and so do all its tables."""
+    root, places, ranges = str(tmp_path), *warehouse[2:]
+    day, good = "2024-01-01", logs(spark, 0)
+    tables.write_day(good, f"{root}/ods_event_app_log", day)
+    values = daily.run_day(spark, root, day, places, ranges, START)
+    dirty = good.where("account is null and deviceid = ''").count()
+    assert dirty and values == {"dirty_share": dirty / good.count(), "lost_rows": 0, "unresolved_rows": 0, "mixed_devices": 0, "id_gaps": 0}
+    before = snapshot(spark, root, TABLES)
+    nobody = good.withColumns({"account": F.lit(" "), "deviceid": F.lit(None).cast("string")})
+    tables.write_day(good.unionByName(nobody).unionByName(nobody), f"{root}/ods_event_app_log", day)
+    with pytest.raises(quality.GateFailed, match="dirty_share"):
+        daily.run_day(spark, root, day, places, ranges, START)
+    assert snapshot(spark, root, TABLES) == before
+    # Places that name a cell twice would double events; that is seen before anything is published, too.
+    tables.write_day(good, f"{root}/ods_event_app_log", day)
+    twice = good.select(geohash("latitude", "longitude", 6).alias("geohash"), *[F.lit(c).alias(c) for c in ("province", "city", "region")]).distinct()
+    with pytest.raises(quality.GateFailed, match="lost_rows"):
+        daily.run_day(spark, root, day, twice.unionByName(twice), ranges, START)
+    assert snapshot(spark, root, TABLES) == before
+    # With a wider gate it passes, with the share reports.
+    dims = [spark.createDataFrame([], "id string, cat_name string, brand_name string"), spark.createDataFrame([], "id string, lanmu_name string")]
+    daily.run_day(spark, root, day, places, ranges, START, *dims, gates={"dirty_share": 1.0})
+    assert snapshot(spark, root, TABLES) == before
+    assert spark.read.parquet(f"{root}/share_event_overview_cube").count() == 0
+
+
 def test_one_day_is_scanned(spark, warehouse):
     root, days, *_ = warehouse
     scan = tables.scan_day(spark, f"{root}/event_app_detail", days[1], ["guid"])
