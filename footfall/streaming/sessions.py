@@ -48,16 +48,18 @@ def deal(
     return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _dealt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(LATE, T.BooleanType()), T.StructField(BATCH, T.LongType())])
+
+
 def late_rows(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """Rows that came after the watermark, with the micro-batch that brought them."""
-    full = T.StructType([*schema.fields, T.StructField(LATE, T.BooleanType()), T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(full).parquet(table).where(F.col(LATE)).drop(LATE)
+    return spark.read.schema(_dealt(schema)).parquet(table).where(F.col(LATE)).drop(LATE)
 
 
 def late_counts(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """(micro_batch, in_time, late) of every micro-batch that brought rows."""
-    full = T.StructType([*schema.fields, T.StructField(LATE, T.BooleanType()), T.StructField(BATCH, T.LongType())])
-    rows = spark.read.schema(full).parquet(table)
+    rows = spark.read.schema(_dealt(schema)).parquet(table)
     return rows.groupBy(BATCH).agg(F.count_if(~F.col(LATE)).alias("in_time"), F.count_if(F.col(LATE)).alias("late"))
 
 
@@ -71,8 +73,8 @@ def session_stream(
     sessions wait in the state of the stream. A row without a key or a time is in no session, but its time counts
     for the watermark, so a record of ``closing`` ends whatever is open.
     """
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    rows = arriving(spark, f"{table}/{LATE}=false", full, "parquet").withColumn("_at", F.timestamp_millis(F.col(ts).cast("long")))
+    rows = arriving(spark, table, _dealt(schema), "parquet").where(~F.col(LATE))
+    rows = rows.withColumn("_at", F.timestamp_millis(F.col(ts).cast("long")))
     # A pause of exactly the gap stays inside: one millisecond more, and a row at the watermark itself cannot be in a session
     # that is written.
     rows = rows.withWatermark("_at", f"{delay_ms + 1} milliseconds")
