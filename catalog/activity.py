@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import LAST_DAY, MID_DAY, Registry, active_days, sql, text
 from footfall.operators import activity
+from footfall.session import stored
 
 QUERIES = Registry()
 DAY_BEFORE = "2024-01-29"
@@ -57,6 +58,43 @@ def range_roll(spark, sf):
     return dated(rolled_ranges(spark, sf), "first_dt", "range_start", "range_end")
 
 
+STEP_DAYS = ["2024-01-27", "2024-01-28", "2024-01-29", LAST_DAY]
+
+
+@QUERIES.add("active_range_steps", sql([DAYS, ranges_sql(LAST_DAY)], RANGE_ROWS))
+def range_steps(spark, sf):
+    """Four days in steps that write only what changes, after a start from all days before."""
+    days = active_days(spark, sf)
+    rows = stored(activity.ranges_from_days(days, "2024-01-26"), "ranges")
+    is_open = F.col("range_end") == F.lit("9999-12-31").cast("date")
+    closed, opened = [rows.where(~is_open)], rows.where(is_open)
+    known = rows.groupBy("guid").agg(F.min("first_dt").alias("first_dt"))
+    for day in STEP_DAYS:
+        steps = activity.step_ranges(opened, activity.first_days(known), today(spark, sf, day), day)
+        ended, opened, first = (stored(s, "step") for s in steps)
+        closed.append(ended)
+        known = known.unionByName(first)
+    for ended in closed:
+        opened = opened.unionByName(ended)
+    return dated(opened, "first_dt", "range_start", "range_end")
+
+
+@QUERIES.add(
+    "active_bits_steps",
+    sql([DAYS, status_sql(LAST_DAY), "firsts AS (SELECT guid, min(dt) AS first_dt FROM days GROUP BY guid)"],
+        "SELECT guid, CAST(f.first_dt AS VARCHAR) AS first_dt, coalesce(active_status, 0) AS active_status FROM firsts f LEFT JOIN status USING (guid)"),
+)
+def bits_steps(spark, sf):
+    """The same for the words: rows of active users only, aged when they are read."""
+    days = active_days(spark, sf)
+    start = activity.init_status(days, "2024-01-26").select("guid", F.lit("2024-01-26").cast("date").alias("since"), "active_status")
+    words = stored(start, "words")
+    for day in STEP_DAYS:
+        words = words.unionByName(stored(activity.step_status(words, today(spark, sf, day), day), "step"))
+    known = days.groupBy("guid").agg(F.min("dt").alias("first_dt"))
+    return dated(activity.status_on(words, known, LAST_DAY), "first_dt")
+
+
 @QUERIES.add(
     "active_bits",
     sql([DAYS, status_sql(LAST_DAY)], "SELECT guid, CAST(first_dt AS VARCHAR) AS first_dt, active_status FROM status"),

@@ -62,6 +62,21 @@ def rolled(spark, sf):
     return relation(spark, sf).withColumn("score", F.round("score", 4))
 
 
+@QUERIES.add(
+    "device_account_steps",
+    sql(HALVES, "SELECT deviceid, account, round(score, 4) AS score, first_time, last_time FROM relation"),
+)
+def steps(spark, sf):
+    """The same relation from rows of the contacts of each half, aged when they are read."""
+    events, mid = cleaned(spark, sf), F.lit(MID_DAY).cast("date")
+    empty = empty_relation(spark).withColumn("since", F.lit(MID_DAY).cast("date"))
+    one = stored(identity.step_scores(empty, identity.daily_scores(events.where(F.col("dt") <= mid)), MID_DAY), "step")
+    day = "2024-01-16"
+    two = stored(identity.step_scores(identity.latest_contacts(one), identity.daily_scores(events.where(F.col("dt") > mid)), day), "step")
+    found = identity.scores_on(identity.latest_contacts(one.unionByName(two)), day, NOW_MS)
+    return found.withColumn("score", F.round("score", 4))
+
+
 @QUERIES.add(
     "anonymous_devices",
     sql(HALVES, """SELECT deviceid, bool_or(account IS NOT NULL) AS has_account, count(*) AS rows FROM relation GROUP BY deviceid"""),

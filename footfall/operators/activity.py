@@ -77,6 +77,56 @@ def roll_ranges(prev: DataFrame, active: DataFrame, day: str) -> DataFrame:
     return prev.where(~is_open).select(*current.columns).unionByName(current)
 
 
+def first_days(active: DataFrame) -> DataFrame:
+    """(guid, first_dt) out of the rows written when users first came; a day that was run again may hold some twice."""
+    return active.groupBy("guid").agg(F.min("first_dt").alias("first_dt"))
+
+
+def step_ranges(opened: DataFrame, known: DataFrame, active: DataFrame, day: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(closed, opened, first) of ``day``: the ranges that end the day before, those open now, and (guid, first_dt) of new users.
+
+    ``opened`` are the open ranges of the day before, ``known`` the first days up to it. Users who are not active on either day
+    need no row, so what is written follows the active users, not all ranges there ever were.
+    """
+    before = opened.select("guid", "first_dt", "range_start", F.lit(False).alias("_today"))
+    today = active.select("guid", F.lit(True).alias("_today"))
+    user = before.unionByName(today, allowMissingColumns=True).groupBy("guid").agg(
+        F.min("first_dt").alias("first_dt"), F.min("range_start").alias("range_start"), F.max("_today").alias("_today")
+    )
+    closed = user.where(~F.col("_today")).select("first_dt", "guid", "range_start", F.date_sub(_day(day), 1).alias("range_end"))
+    known = known.withColumnRenamed("first_dt", "_known")
+    here = user.where("_today").select("guid", "range_start").join(known, "guid", "left")
+    now = here.select(
+        F.coalesce("_known", _day(day)).alias("first_dt"), "guid", F.coalesce("range_start", _day(day)).alias("range_start"), _open().alias("range_end")
+    )
+    return closed, now, here.where(F.col("_known").isNull()).select("guid", _day(day).alias("first_dt"))
+
+
+def step_status(words: DataFrame, active: DataFrame, day: str, n: int = WINDOW_DAYS) -> DataFrame:
+    """(guid, since, active_status) of the users of ``day``: their words, from the rows of the ``n`` days before."""
+    age = F.datediff(_day(day), F.col("since"))
+    old = words.where(age.between(1, n)).select("guid", _aged("active_status", age, n).alias("_word"))
+    new = active.select("guid", F.lit(1).cast("long").alias("_word"), F.lit(True).alias("_today"))
+    both = old.unionByName(new, allowMissingColumns=True).groupBy("guid").agg(F.bit_or("_word").alias("active_status"), F.max("_today").alias("_today"))
+    return both.where(F.col("_today")).select("guid", _day(day).alias("since"), "active_status")
+
+
+def _aged(word: str, days: Column, n: int) -> Column:
+    """A word some days later: bits move up, and those past the window drop out."""
+    return F.call_function("shiftleft", F.col(word), days).bitwiseAND(F.lit((1 << (n + 1)) - 1).cast("long"))
+
+
+def status_on(words: DataFrame, known: DataFrame, day: str, n: int = WINDOW_DAYS) -> DataFrame:
+    """(guid, first_dt, active_status) of every user who came up to ``day``, from the rows of its last ``n`` days.
+
+    A later row holds what is left of the earlier ones, so the aged words may simply be merged.
+    """
+    age = F.datediff(_day(day), F.col("since"))
+    recent = words.where(age.between(0, n)).groupBy("guid").agg(F.bit_or(_aged("active_status", age, n)).alias("active_status"))
+    rows = known.where(F.col("first_dt") <= _day(day)).join(recent, "guid", "left")
+    return rows.select("guid", "first_dt", F.coalesce("active_status", F.lit(0).cast("long")).alias("active_status"))
+
+
 def init_status(active: DataFrame, day: str, n: int = WINDOW_DAYS) -> DataFrame:
     """Bit i of ``active_status`` says whether the user was active i days before ``day`` (0 to n)."""
     age = F.datediff(_day(day), F.col("dt").cast("date"))

@@ -68,20 +68,62 @@ def roll_scores(prev: DataFrame, cur: DataFrame, now_ms: Column | int, decay: fl
         F.coalesce("new_time", "last_time").alias("last_time"),
     )
     known = rows.where(F.col("account").isNotNull())
-    now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms)
-    anonymous = (
-        merged.groupBy("deviceid")
+    return known.unionByName(_anonymous(merged, now_ms))
+
+
+def _decayed(score: Column, days: Column, decay: float) -> Column:
+    """The score after so many idle days, multiplied day by day as the daily roll does."""
+    return F.when(days > 0, F.aggregate(F.sequence(F.lit(1), days), score, lambda s, _: s * F.lit(decay))).otherwise(score)
+
+
+def latest_contacts(contacts: DataFrame) -> DataFrame:
+    """The last row of each (device, account) out of those written day by day."""
+    last = F.max_by(F.struct("score", "first_time", "last_time", "since"), "since")
+    return contacts.groupBy("deviceid", "account").agg(last.alias("_last")).select("deviceid", "account", "_last.*")
+
+
+def step_scores(latest: DataFrame, cur: DataFrame, day: str, decay: float = IDLE_DECAY) -> DataFrame:
+    """What a day adds to the relation: a row for each (device, account) met on it, and none for the others.
+
+    ``latest`` holds the last row of each as of the day before, ``cur`` the scores of the day. ``scores_on`` gives the relation
+    of any day from such rows, equal to what ``roll_scores`` makes of the whole table day by day.
+    """
+    today, idle = F.lit(day).cast("date"), F.datediff(F.date_sub(F.lit(day).cast("date"), 1), F.col("since"))
+    before = latest.select(
+        "deviceid", "account", _decayed(F.col("score"), idle, decay).alias("score"), "first_time", "last_time",
+        F.lit(None).cast("double").alias("new_score"), F.lit(None).cast("long").alias("new_time"), F.lit(False).alias("_met"),
+    )
+    met = cur.select(
+        "deviceid", blank_to_null("account").alias("account"), F.col("score").alias("new_score"), F.col("min_time").alias("new_time"), F.lit(True).alias("_met")
+    )
+    merged = before.unionByName(met, allowMissingColumns=True).groupBy("deviceid", "account").agg(
+        F.max("score").alias("old"), F.max("new_score").alias("new"), F.max("first_time").alias("first_time"),
+        F.max("last_time").alias("last_time"), F.max("new_time").alias("new_time"), F.max("_met").alias("_met"),
+    )
+    return merged.where("_met").select(
+        "deviceid", "account", (F.coalesce("old", F.lit(0.0)) + F.col("new")).alias("score"),
+        F.coalesce("first_time", "new_time").alias("first_time"), F.coalesce("new_time", "last_time").alias("last_time"), today.alias("since"),
+    )
+
+
+def scores_on(latest: DataFrame, day: str, now_ms: Column | int, decay: float = IDLE_DECAY) -> DataFrame:
+    """The relation of a day from the last rows of each (device, account) up to it; ``now_ms`` stamps devices without account."""
+    idle = F.datediff(F.lit(day).cast("date"), F.col("since"))
+    known = latest.where(F.col("account").isNotNull()).select(
+        "deviceid", "account", _decayed(F.col("score"), idle, decay).alias("score"), "first_time", "last_time"
+    )
+    return known.unionByName(_anonymous(latest, now_ms))
+
+
+def _anonymous(contacts: DataFrame, now_ms: Column | int) -> DataFrame:
+    """One row without score for every device that has no account."""
+    now = (now_ms if isinstance(now_ms, Column) else F.lit(now_ms)).cast("long")
+    return (
+        contacts.groupBy("deviceid")
         .agg(F.count("account").alias("_accounts"))
         .where(F.col("_accounts") == 0)
-        .select(
-            "deviceid",
-            F.lit(None).cast("string").alias("account"),
-            F.lit(0.0).alias("score"),
-            now.cast("long").alias("first_time"),
-            now.cast("long").alias("last_time"),
-        )
+        .select("deviceid", F.lit(None).cast("string").alias("account"), F.lit(0.0).alias("score"), now.alias("first_time"), now.alias("last_time"))
     )
-    return known.unionByName(anonymous)
 
 
 def best_account(relation: DataFrame) -> DataFrame:

@@ -36,7 +36,63 @@ def detail(
 
 
 #: The tables whose rows the gates judge; none is published unless all gates pass.
-GATED = ("device_account_relation", "event_app_detail", "user_guid_global")
+GATED = ("device_account_contact", "event_app_detail", "user_guid_global")
+
+#: Tables of which a day holds only what that day changed, and their columns.
+CHANGES = {
+    "device_account_contact": "deviceid string, account string, score double, first_time long, last_time long, since date",
+    "user_range_closed": "first_dt date, guid string, range_start date, range_end date",
+    "user_range_open": "first_dt date, guid string, range_start date, range_end date",
+    "user_first_day": "guid string, first_dt date",
+    "user_active_word": "guid string, since date, active_status long",
+}
+#: Every so many days the last contact of every (device, account) is written out, so that reading starts from there.
+SNAPSHOT_DAYS = 30
+
+
+def _table(spark: SparkSession, root: str, name: str, schema: str | None = None) -> DataFrame:
+    """All days of a table, or no rows where nothing was ever written."""
+    try:
+        return spark.read.parquet(f"{root}/{name}")
+    except AnalysisException as e:
+        # A folder that holds nothing but what was once staged has no schema yet.
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], f"{schema or CHANGES[name]}, dt date")
+
+
+def _up_to(spark: SparkSession, root: str, name: str, day: str, after: str | None = None) -> DataFrame:
+    rows = _table(spark, root, name).where(F.col("dt") <= F.lit(day).cast("date"))
+    return (rows.where(F.col("dt") > F.lit(after).cast("date")) if after else rows).drop("dt")
+
+
+def contacts_on(spark: SparkSession, root: str, day: str) -> DataFrame:
+    """The last row of each (device, account) up to ``day``: the newest snapshot, and the days after it."""
+    snapshots = _table(spark, root, "device_account_snapshot", CHANGES["device_account_contact"]).where(F.col("dt") <= F.lit(day).cast("date"))
+    newest = snapshots.agg(F.max("dt").cast("string")).first()[0]
+    later = _up_to(spark, root, "device_account_contact", day, newest)
+    if newest:
+        later = later.unionByName(snapshots.where(F.col("dt") == F.lit(newest).cast("date")).drop("dt"))
+    return identity.latest_contacts(later)
+
+
+def relation_on(spark: SparkSession, root: str, day: str, now_ms: int) -> DataFrame:
+    """The device-account relation of any day that was run."""
+    return identity.scores_on(contacts_on(spark, root, day), day, now_ms)
+
+
+def ranges_on(spark: SparkSession, root: str, day: str) -> DataFrame:
+    """The active ranges of any day that was run: all closed until then, and those open on it."""
+    opened = _table(spark, root, "user_range_open").where(F.col("dt") == F.lit(day).cast("date")).drop("dt")
+    return _up_to(spark, root, "user_range_closed", day).unionByName(opened)
+
+
+def status_on(spark: SparkSession, root: str, day: str) -> DataFrame:
+    """The activity words of any day that was run; only the folders of its window are read."""
+    eve = (date.fromisoformat(day) - timedelta(days=activity.WINDOW_DAYS + 1)).isoformat()
+    known = activity.first_days(_up_to(spark, root, "user_first_day", day))
+    return activity.status_on(_up_to(spark, root, "user_active_word", day, eve), known, day)
+
 
 
 def run_day(
@@ -55,35 +111,21 @@ def run_day(
     Returns the value of every gate.
     """
     before = (date.fromisoformat(day) - timedelta(days=1)).isoformat()
-
-    def table(name: str, schema: str) -> DataFrame:
-        """All days of a table, or no rows where nothing was ever written."""
-        try:
-            return spark.read.parquet(f"{root}/{name}")
-        except AnalysisException as e:
-            # A folder that holds nothing but what was once staged has no schema yet.
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return spark.createDataFrame([], f"{schema}, dt date")
-
-    def state(name: str, schema: str) -> DataFrame:
-        """Yesterday's rows of a table that rolls on from day to day."""
-        rows = table(name, schema)
-        found = rows.where(F.col("dt") == F.lit(before).cast("date"))
-        if found.isEmpty():
-            last = rows.where(F.col("dt") < F.lit(before).cast("date")).agg(F.max("dt")).first()[0]
-            if last is not None:
-                raise ValueError(f"{name} ends on {last}: run the days up to {before} first")
-        return found
+    # The last table of a run: one row per day that is complete.
+    runs = _table(spark, root, "run_of_day", "rows_read long")
+    last = runs.where(F.col("dt") < F.lit(day).cast("date")).agg(F.max("dt").cast("string")).first()[0]
+    if last is not None and last != before:
+        raise ValueError(f"the tables end on {last}: run the days up to {before} first")
 
     watch = quality.Watch()
     logs = scan_day(spark, f"{root}/ods_event_app_log", day)
     clean = watch.rows(clean_events(watch.rows(logs, "read"), REQUIRED, ANY_OF), "clean")
     scores = stored(identity.daily_scores(clean), "daily-scores")
-    schema = "deviceid string, account string, score double, first_time long, last_time long"
-    relation = stage_day(identity.roll_scores(state("device_account_relation", schema), scores, now_ms), f"{root}/device_account_relation", day)
+    known_contacts = contacts_on(spark, root, before)
+    met = stage_day(identity.step_scores(known_contacts, scores, day), f"{root}/device_account_contact", day)
+    relation = identity.scores_on(identity.latest_contacts(known_contacts.unionByName(met.drop("dt"))), day, now_ms)
 
-    every = table("user_guid_global", "id long, guid string")
+    every = _table(spark, root, "user_guid_global", "id long, guid string")
     known = every.where(F.col("dt") < F.lit(day).cast("date")).select("id", "guid")
     named = watch.rows(detail(logs, relation, known, places, ranges), "detail", unresolved=F.count_if(F.col("guid").isNull()))
     rows = stage_day(named, f"{root}/event_app_detail", day)
@@ -128,12 +170,16 @@ def run_day(
         write_day(cube.share_cube(scan_day(spark, f"{root}/share_event_overview_bitmap", day)), f"{root}/share_event_overview_cube", day)
 
     active = scan_day(spark, f"{root}/user_active_day", day)
-    ranges_before = state("user_active_time_range", "first_dt date, guid string, range_start date, range_end date")
-    write_day(activity.roll_ranges(ranges_before, active, day), f"{root}/user_active_time_range", day)
-    status_before = state("user_active_status_bitmap", "guid string, first_dt date, active_status long")
-    write_day(activity.roll_status(status_before, active, day), f"{root}/user_active_status_bitmap", day)
-    ranges_now = scan_day(spark, f"{root}/user_active_time_range", day)
-    write_day(activity.retention(ranges_now, day), f"{root}/user_retention", day)
+    opened = _table(spark, root, "user_range_open").where(F.col("dt") == F.lit(before).cast("date")).drop("dt")
+    known_users = activity.first_days(_up_to(spark, root, "user_first_day", before))
+    closed, opened, first = activity.step_ranges(opened, known_users, active, day)
+    words = activity.step_status(_up_to(spark, root, "user_active_word", before), active, day)
+    for name, changed in (("user_range_closed", closed), ("user_range_open", opened), ("user_first_day", first), ("user_active_word", words)):
+        write_day(changed, f"{root}/{name}", day)
+    write_day(activity.retention(scan_day(spark, f"{root}/user_range_open", day), day), f"{root}/user_retention", day)
+    if date.fromisoformat(day).toordinal() % SNAPSHOT_DAYS == 0:
+        write_day(contacts_on(spark, root, day), f"{root}/device_account_snapshot", day)
+    write_day(spark.createDataFrame([(read,)], "rows_read long"), f"{root}/run_of_day", day)
     return values
 
 

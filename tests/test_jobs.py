@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from footfall.functions.geohash import geohash
-from footfall.operators import history, neighbours, quality, sessions
+from footfall.operators import activity, history, identity, neighbours, quality, sessions
+from footfall.operators.clean import clean_events
 from footfall.plans import daily
 from footfall.session import scratch_path
 from footfall.sources import jdbc, tables
@@ -43,8 +44,9 @@ def warehouse(spark, tmp_path_factory):
     return root, days, places, ranges
 
 
-TABLES = ["device_account_relation", "event_app_detail", "user_guid_global", "user_active_day", "app_flow_agg_session", "app_flow_agg_user",
-          "app_flow_overview_bitmap", "app_flow_overview_cube", "user_active_time_range", "user_active_status_bitmap", "user_retention"]
+TABLES = ["device_account_contact", "event_app_detail", "user_guid_global", "user_active_day", "app_flow_agg_session", "app_flow_agg_user",
+          "app_flow_overview_bitmap", "app_flow_overview_cube", "user_range_closed", "user_range_open", "user_first_day", "user_active_word",
+          "user_retention", "run_of_day"]
 
 
 def snapshot(spark, root, names):
@@ -64,7 +66,7 @@ def test_days_build_on_each_other(spark, warehouse):
     assert last.count() > 0 and last.agg(F.min("id")).head()[0] == first.agg(F.max("id")).head()[0] + 1
     met = spark.read.parquet(f"{root}/event_app_detail").groupBy("guid").agg(F.min("dt").alias("dt"), F.min_by("newflag", "dt").alias("new"))
     assert met.where("new").join(ids.select("guid", F.col("dt").alias("since")), "guid").where("dt <> since").count() == 0
-    relation = tables.scan_day(spark, f"{root}/device_account_relation", days[-1])
+    relation = daily.relation_on(spark, root, days[-1], START)
     assert quality.check_mixed(relation).count() == 0
     detail = spark.read.parquet(f"{root}/event_app_detail")
     assert detail.where("guid IS NULL").count() == 0
@@ -78,6 +80,45 @@ def test_days_build_on_each_other(spark, warehouse):
     assert top["pv_cnt"] == day_rows.where("properties['pageId'] IS NOT NULL").count()
 
 
+def test_any_day_reads_back_as_it_was_rolled(spark, warehouse, rows):
+    """Rows of changes give the tables that rolling everything day by day gives, also after a snapshot."""
+    root, days, *_ = warehouse
+    relation = spark.createDataFrame([], "deviceid string, account string, score double, first_time long, last_time long")
+    status, ranges = (spark.createDataFrame([], s) for s in ("guid string, first_dt date, active_status long", "first_dt date, guid string, range_start date, range_end date"))
+    for i, day in enumerate(days):
+        active = tables.scan_day(spark, f"{root}/user_active_day", day).select("guid")
+        met = clean_events(tables.scan_day(spark, f"{root}/ods_event_app_log", day), daily.REQUIRED, daily.ANY_OF)
+        relation = identity.roll_scores(relation, identity.daily_scores(met), START + i * DAY)
+        ranges = activity.roll_ranges(ranges, active, day).cache()
+        status = activity.roll_status(status, active, day).cache()
+        assert rows(daily.relation_on(spark, root, day, START + i * DAY)) == rows(relation)
+        assert rows(daily.ranges_on(spark, root, day)) == rows(ranges)
+        assert rows(daily.status_on(spark, root, day)) == rows(status)
+        # What a day writes follows its users, not the ranges there are.
+        written = {t: tables.scan_day(spark, f"{root}/{t}", day).count() for t in daily.CHANGES}
+        assert written["user_range_open"] == written["user_active_word"] == active.count()
+        assert written["user_range_closed"] <= 8 and written["user_first_day"] <= active.count()
+    before = rows(daily.relation_on(spark, root, days[-1], 0))
+    tables.write_day(daily.contacts_on(spark, root, days[1]), f"{root}/device_account_snapshot", days[1])
+    scan = daily.contacts_on(spark, root, days[-1])
+    assert rows(daily.relation_on(spark, root, days[-1], 0)) == before
+    filters = [p.split("]")[0] for p in scan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1:]]
+    assert any(f"> {days[1]}" in f for f in filters) and any(f"= {days[1]}" in f for f in filters)
+
+
+def test_idle_days_count_like_daily_rolls(spark, rows):
+    """A contact met once and read weeks later has the score of as many daily rolls, to the last digit."""
+    cur = spark.createDataFrame([("d", "a", 300.0, 5), ("d", None, 100.0, 6), ("e", None, 100.0, 7)], "deviceid string, account string, score double, min_time long")
+    none = cur.limit(0)
+    relation = spark.createDataFrame([], "deviceid string, account string, score double, first_time long, last_time long")
+    step = identity.step_scores(relation.withColumn("since", F.current_date()), cur, "2024-01-01")
+    for day in range(1, 24):
+        relation = spark.createDataFrame(identity.roll_scores(relation, cur if day == 1 else none, 9).collect(), relation.schema)
+    assert rows(identity.scores_on(step, "2024-01-23", 9)) == rows(relation)
+    again = identity.step_scores(step, cur, "2024-01-24")
+    assert rows(identity.scores_on(identity.latest_contacts(step.unionByName(again)), "2024-01-24", 9)) == rows(identity.roll_scores(relation, cur, 9))
+
+
 def test_a_day_can_run_again(spark, warehouse):
     root, days, places, ranges = warehouse
     before = snapshot(spark, root, TABLES)
@@ -235,7 +276,7 @@ def test_late_user_and_missing_day(spark, tmp_path):
     with pytest.raises(ValueError, match="2024-01-02"):
         run(days[3], ["a"])
     daily.run_days(spark, root, days[2], days[3], places, ranges, START)
-    ranges_now = tables.scan_day(spark, f"{root}/user_active_time_range", days[3])
+    ranges_now = daily.ranges_on(spark, root, days[3])
     assert {str(r["first_dt"]) for r in ranges_now.where(F.col("guid") == next(iter(before))).collect()} <= {days[0], days[1]}
     assert ranges_now.select("guid").distinct().count() == 3
 
