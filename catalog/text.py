@@ -40,10 +40,13 @@ def stopword_table(spark, sf):
     return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@QUERIES.add("hashed_term_frequency", sql([WORDS], "SELECT doc_id, len(words)::DOUBLE AS tokens FROM w"))
+@QUERIES.add(
+    "hashed_term_frequency",
+    sql([WORDS], """SELECT doc_id, ('0x' || substr(md5(word), 1, 8))::BIGINT % 1000000 AS bucket, count(*)::DOUBLE AS frequency
+        FROM (SELECT doc_id, unnest(words) AS word FROM w) GROUP BY ALL"""),
+)
 def hashed(spark, sf):
-    rows = text.bucket_counts(text.hashed_tf(text.tokenise(docs(spark, sf), "text")), "doc_id")
-    return rows.groupBy("doc_id").agg(F.coalesce(F.sum("frequency"), F.lit(0.0)).alias("tokens"))
+    return text.bucket_counts(text.tokenise(docs(spark, sf), "text"), "doc_id")
 
 
 @QUERIES.add(
@@ -64,3 +67,29 @@ def classifier(spark, sf):
     train, test = profile.split(docs(spark, sf).join(labels, "doc_id"), "doc_id")
     model = text.fit_text(train, stopwords=STOP)
     return profile.classification_metrics(model.transform(text.prepare_text(test, stopwords=STOP)))
+
+
+# Weighted counts per class, and the class whose logs add up highest, for documents outside the training split.
+BAYES_WORDS = [
+    WORDS, KEPT,
+    """rated AS (SELECT doc_id, words, quality::DOUBLE AS label, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT < 3435973836 AS train
+      FROM kept JOIN labels USING (doc_id) WHERE quality IS NOT NULL)""",
+    "tf AS (SELECT doc_id, train, label, word, count(*) AS tf FROM (SELECT doc_id, train, label, unnest(words) AS word FROM rated) GROUP BY ALL)",
+    """idf AS (SELECT word, ln(((SELECT count(*) FROM rated WHERE train) + 1) / (count(*) + 1)) AS idf FROM tf WHERE train GROUP BY word)""",
+    "seen AS (SELECT label, word, sum(tf * idf) AS s FROM tf JOIN idf USING (word) WHERE train GROUP BY ALL)",
+    """class AS (SELECT label, ln((n + 1) / (sum(n) OVER () + count(*) OVER ())) AS prior, ln(coalesce(s, 0) + (SELECT count(*) FROM idf)) AS whole
+      FROM (SELECT label, count(*) AS n FROM rated WHERE train GROUP BY label) LEFT JOIN (SELECT label, sum(s) AS s FROM seen GROUP BY label) USING (label))""",
+    """told AS (SELECT r.doc_id, r.label, c.label AS class, prior + coalesce(sum(tf * idf * (ln(coalesce(s, 0) + 1) - whole)), 0) AS score
+      FROM rated r CROSS JOIN class c LEFT JOIN (SELECT doc_id, word, tf, idf FROM tf JOIN idf USING (word) WHERE NOT train) t ON t.doc_id = r.doc_id
+      LEFT JOIN seen x ON x.word = t.word AND x.label = c.label WHERE NOT r.train GROUP BY r.doc_id, r.label, c.label, prior)""",
+]
+
+
+@QUERIES.add("comment_words", sql(BAYES_WORDS, "SELECT doc_id, label, arg_max(class, score) AS prediction FROM told GROUP BY doc_id, label"))
+def comment_words(spark, sf):
+    """Sentiment of comments by Bayes over real words, for comments the model was not fitted on."""
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label")).where("label is not null")
+    rows = text.prepare_text(docs(spark, sf).join(labels, "doc_id"), stopwords=STOP)
+    train, test = profile.split(rows, "doc_id")
+    found = text.classify_words(text.fit_words(train, "doc_id", "label"), test, "doc_id")
+    return test.select("doc_id", "label").join(found, "doc_id")

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 RIDGE = 0.1
 ITERATIONS = 100
 SMOOTHING = 1.0
+# Spark's own default for the logistic models.
+TOLERANCE = 1e-6
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -70,8 +72,10 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
     return sums.select("mse", F.sqrt("mse").alias("rmse"), (1 - F.col("mse") / F.col("_var")).alias("r2"), "mae")
 
 
-def fit_churn(df: DataFrame, cols: Sequence[str], label: str = "label", fill: float | None = None) -> LogisticRegressionModel:
-    return LogisticRegression(featuresCol="_v", labelCol=label, regParam=RIDGE, maxIter=ITERATIONS).fit(
+def fit_churn(
+    df: DataFrame, cols: Sequence[str], label: str = "label", fill: float | None = None, tol: float = TOLERANCE
+) -> LogisticRegressionModel:
+    return LogisticRegression(featuresCol="_v", labelCol=label, regParam=RIDGE, maxIter=ITERATIONS, tol=tol).fit(
         _for_fit(df, cols, "_v", fill)
     )
 
@@ -102,7 +106,7 @@ def minmax(train: DataFrame, test: DataFrame, cols: Sequence[str], suffix: str =
 
 
 def fit_gender(
-    df: DataFrame, categories: Sequence[str], amounts: Sequence[str], label: str = "label"
+    df: DataFrame, categories: Sequence[str], amounts: Sequence[str], label: str = "label", tol: float = TOLERANCE
 ) -> tuple[PipelineModel, PipelineModel]:
     """Two models of one trait: Bayes on category codes, and scaled amounts into a logistic model.
 
@@ -118,17 +122,24 @@ def fit_gender(
         stages=[
             VectorAssembler(inputCols=list(amounts), outputCol="_amt"),
             MinMaxScaler(inputCol="_amt", outputCol="_amt_norm"),
-            LogisticRegression(featuresCol="_amt_norm", labelCol=label, regParam=RIDGE, maxIter=ITERATIONS),
+            LogisticRegression(featuresCol="_amt_norm", labelCol=label, regParam=RIDGE, maxIter=ITERATIONS, tol=tol),
         ]
     )
     return by_category.fit(df), by_amount.fit(df)
 
 
-def fit_binary(df: DataFrame, vec: str, label: str) -> LogisticRegressionModel:
+def _vectors(df: DataFrame, vec: str) -> DataFrame:
+    return df.withColumn("_v", array_to_vector(F.col(vec).cast("array<double>")))
+
+
+def fit_binary(df: DataFrame, vec: str, label: str, tol: float = TOLERANCE) -> LogisticRegressionModel:
     """Logistic model on an array column, for a 0/1 label."""
-    return LogisticRegression(featuresCol="_v", labelCol=label, regParam=RIDGE, maxIter=ITERATIONS).fit(
-        df.withColumn("_v", array_to_vector(F.col(vec).cast("array<double>")))
-    )
+    return LogisticRegression(featuresCol="_v", labelCol=label, regParam=RIDGE, maxIter=ITERATIONS, tol=tol).fit(_vectors(df, vec))
+
+
+def predict_binary(model: LogisticRegressionModel, df: DataFrame, vec: str) -> DataFrame:
+    """``df`` with the columns of a model of ``fit_binary``."""
+    return model.transform(_vectors(df, vec)).drop("_v")
 
 
 def split(df: DataFrame, id_col: str, frac: float = 0.8, seed: str = "") -> tuple[DataFrame, DataFrame]:

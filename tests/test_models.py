@@ -1,5 +1,6 @@
 """Models and neighbours on small tables."""
 
+import math
 import random
 
 import pytest
@@ -107,3 +108,27 @@ def test_text_model(spark):
     assert weights == pytest.approx({w: math.log(21 / 11) for w in ("bad", "poor", "awful")})
     model = text.fit_text(rows, stopwords=["the"])
     assert profile.classification_metrics(model.transform(text.prepare_text(rows, stopwords=["the"]))).head()["accuracy"] == 1.0
+
+
+def test_word_bayes_against_sums(spark):
+    """Scores summed word by word in plain Python; null and empty texts, unseen words, and a class with a single text."""
+    data = [(1, "good fine good", 1.0), (2, "bad poor", 0.0), (3, "good bad fine", 1.0), (4, "poor poor bad good", 0.0), (5, "odd", 2.0), (6, None, 1.0), (7, "x", None)]
+    new = [(10, "good good poor"), (11, "bad bad odd"), (12, "never seen"), (13, None), (14, ""), (15, "odd odd")]
+    train = text.prepare_text(spark.createDataFrame(data, "id long, text string, label double"))
+    test = text.prepare_text(spark.createDataFrame(new, "id long, text string"))
+    got = {r["id"]: r["prediction"] for r in text.classify_words(text.fit_words(train, "id", "label"), test, "id").collect()}
+    known = [(t.split() if t else [], c) for _, t, c in data if c is not None]
+    vocabulary = {w for words, _ in known for w in words}
+    idf = {w: math.log((len(known) + 1) / (sum(w in words for words, _ in known) + 1)) for w in vocabulary}
+    classes = sorted({c for _, c in known})
+    for i, t in new:
+        scores = []
+        for c in classes:
+            own = [words for words, d in known if d == c]
+            weight = {w: sum(words.count(w) for words in own) * idf[w] for w in vocabulary}
+            whole = math.log(sum(weight.values()) + len(vocabulary))
+            score = math.log((len(own) + 1) / (len(known) + len(classes)))
+            scores.append(score + sum(idf[w] * (math.log(weight[w] + 1) - whole) for w in (t or "").split() if w in idf))
+        assert got[i] == classes[scores.index(max(scores))]
+    table, none = text.fit_words(train.limit(0), "id", "label")
+    assert table.count() == 0 and none == []
