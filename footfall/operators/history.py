@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.functions.columns import OPEN_END, UNKNOWN_LABEL
+from footfall.plans.joins import left_join
 
 
 def scd2_roll(prev: DataFrame, delta: DataFrame, day: str, key: str = "oid") -> DataFrame:
@@ -59,18 +60,17 @@ def enrich(
 ) -> DataFrame:
     """Left join of a fact table with dimensions: (dimension, fact column, dimension key).
 
-    Text attributes of a missing dimension row get ``default``. Dimension keys must be unique; the
-    optimizer broadcasts a dimension only when its measured size is under the threshold. Rows without a key
-    match nothing; they are spread by the partition they come from, not sent to one task.
+    Text attributes of a missing dimension row get ``default``. An attribute whose name the fact table or an earlier
+    dimension has is added as ``<fact column>_<name>``. Dimension keys must be unique; the optimizer broadcasts a
+    dimension only when its measured size is under the threshold. Rows without a key match nothing; they are spread by
+    the partition they come from, not sent to one task.
     """
     for dim, fact_col, dim_key in dims:
+        taken = {c.lower() for c in fact.columns}
+        names = {c: f"{fact_col}_{c}" for c in dim.columns if c != dim_key and c.lower() in taken}
+        dim = dim.withColumnsRenamed(names)
         attrs = [f for f in dim.schema.fields if f.name != dim_key]
-        # Always 0, but not a literal: the optimizer would take that out of the join's keys.
-        zero = F.pmod(F.xxhash64("_dim_key"), F.lit(1))
-        right = dim.withColumnRenamed(dim_key, "_dim_key").withColumn("_dim_spread", zero)
-        spread = F.when(F.col(fact_col).isNull(), F.spark_partition_id()).otherwise(0)
-        same = (F.col(fact_col) == F.col("_dim_key")) & (F.col("_spread") == F.col("_dim_spread"))
-        fact = fact.withColumn("_spread", spread).join(right, same, "left").drop("_dim_key", "_spread", "_dim_spread")
+        fact = left_join(fact, dim, {fact_col: dim_key})
         if default is not None:
             fact = fact.withColumns(
                 {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions.columns import blank_to_null
+from footfall.plans.joins import left_join
 from footfall.plans.scan import dense_rank_ids
 from footfall.session import stored
 
@@ -138,7 +139,7 @@ def best_account(relation: DataFrame) -> DataFrame:
 def resolve_guid(events: DataFrame, best: DataFrame) -> DataFrame:
     """Add ``guid``: the account, else the best account of the device, else the device."""
     return (
-        events.join(best, "deviceid", "left")
+        left_join(events, best, {"deviceid": "deviceid"})
         .withColumn(
             "guid",
             F.coalesce(blank_to_null("account"), blank_to_null("best_account"), blank_to_null("deviceid")),
@@ -150,7 +151,7 @@ def resolve_guid(events: DataFrame, best: DataFrame) -> DataFrame:
 def flag_new(events: DataFrame, known: DataFrame, key: str = "guid") -> DataFrame:
     """Add ``newflag``: true when the user is not in the global table."""
     seen = known.select(key).distinct().withColumn("_seen", F.lit(True))
-    return events.join(seen, key, "left").withColumn("newflag", F.col("_seen").isNull()).drop("_seen")
+    return left_join(events, seen, {key: key}).withColumn("newflag", F.col("_seen").isNull()).drop("_seen")
 
 
 def identify(events: DataFrame, best: DataFrame, known: DataFrame) -> DataFrame:
@@ -173,8 +174,7 @@ def flag_new_by_contact(events: DataFrame, relation: DataFrame) -> DataFrame:
         relation.select("account").where(F.col("account").isNotNull()).distinct().withColumn("_acc", F.lit(True))
     )
     return (
-        events.join(devices, "deviceid", "left")
-        .join(accounts, "account", "left")
+        left_join(left_join(events, devices, {"deviceid": "deviceid"}), accounts, {"account": "account"})
         .withColumn("newflag", F.col("_dev").isNull() & F.col("_acc").isNull())
         .drop("_dev", "_acc")
     )

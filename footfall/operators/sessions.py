@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.columns import hour_stamp
-from footfall.plans.scan import running_total
+from footfall.plans.joins import left_join
+from footfall.plans.scan import fresh, running_total
 
 HALF_HOUR_MS = 30 * 60 * 1000
 _LAST = ["location", "devicetype", "osname", "releasechannel"]
@@ -36,13 +37,15 @@ def sessionize(
     Events collapse to one row per (key, slice) before any ordering, so a key with a huge number
     of events costs one window row per half hour; the events themselves are joined back by slice.
     """
-    marked = df.withColumn("_slice", _slice(ts, gap_ms))
-    slices = marked.groupBy(key, "_slice").agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    numbers = _numbered_slices(slices, key, gap_ms).select(key, "_slice", "_n")
+    at, number = fresh(df.columns, "_slice"), fresh(df.columns, "_n")
+    slim = df.select(F.col(key).alias("_key"), _slice(ts, gap_ms).alias("_slice"), F.col(ts).alias("_ms"))
+    slices = slim.groupBy("_key", "_slice").agg(F.min("_ms").alias("_lo"), F.max("_ms").alias("_hi"))
+    numbers = _numbered_slices(slices, "_key", gap_ms).select("_key", "_slice", F.col("_n").alias(number))
+    marked = df.withColumn(at, _slice(ts, gap_ms))
     return (
-        marked.join(numbers, [key, "_slice"], "left")
-        .withColumn(out, F.concat(F.col(key).cast("string"), F.lit("_"), F.col("_n").cast("string")))
-        .drop("_slice", "_n")
+        left_join(marked, numbers, {key: "_key", at: "_slice"})
+        .withColumn(out, F.concat(F.col(key).cast("string"), F.lit("_"), F.col(number).cast("string")))
+        .drop(at, number)
     )
 
 
