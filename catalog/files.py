@@ -188,3 +188,17 @@ def stream(spark, sf):
             fmt="parquet", pathGlobFilter="events.parquet",
         ).awaitTermination()
     return spark.read.parquet(sink).select(text("dt").alias("dt"), "event_id", "event_type", "user_id")
+
+
+@QUERIES.add(
+    "terminal_day_scan",
+    sql([LOG], f"""SELECT event_id, eventid, 'web' AS terminal, CAST(dt AS VARCHAR) AS dt FROM log WHERE dt = DATE '{MID_DAY}' AND k % 4 = 2"""),
+)
+def terminal_day_scan(spark, sf):
+    """Logs of four terminals as JSON lines by terminal and day; one folder of them is read."""
+    path = scratch_path(spark, "terminals")
+    names = F.array(*[F.lit(t) for t in ("app", "mini-program", "web", "h5")])
+    rows = app_log(spark, sf).select("event_id", "eventid", "dt", F.element_at(names, (F.col("k") % 4 + 1).cast("int")).alias("terminal"))
+    tables.write_logs(rows, path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("eventid", T.StringType())])
+    return tables.scan_logs(spark, path, schema, MID_DAY, "web").select("event_id", "eventid", "terminal", text("dt").alias("dt"))

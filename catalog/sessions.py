@@ -25,6 +25,17 @@ def aggregate(spark, sf):
     return sessions.session_agg(sessions.sessionize(detail(spark, sf)))
 
 
+@QUERIES.add(
+    "session_with_hours",
+    sql([*TO_GUID, SPLIT, PLACE, SESSIONS, """hours AS (SELECT newsessionid AS session_id, string_agg(DISTINCT hour_stamp::VARCHAR, ',' ORDER BY hour_stamp::VARCHAR) AS hours
+        FROM split GROUP BY 1)"""], f"SELECT {SESSION_COLUMNS}, hours FROM sess JOIN hours USING (session_id)"),
+)
+def with_hours(spark, sf):
+    """Session rows with the set of their hours, in one table."""
+    rows = sessions.session_agg(sessions.sessionize(detail(spark, sf)), hours=True)
+    return rows.withColumn("hours", F.array_join("hour_set", ",")).drop("hour_set")
+
+
 @QUERIES.add("sessions_from_events", sql([*TO_GUID, SPLIT, PLACE, SESSIONS], f"SELECT {SESSION_COLUMNS} FROM sess"))
 def direct(spark, sf):
     return session_rows(spark, sf)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.columns import hour_stamp
@@ -64,19 +66,21 @@ def _session_measures(ts: str, event_id: str, page: str) -> list[Column]:
 
 def session_agg(
     df: DataFrame, session: str = "newsessionid", ts: str = "timestamp", event_id: str = "event_id", page: str = "page",
-    isnew: str = "newflag",
+    isnew: str = "newflag", hours: bool = False,
 ) -> DataFrame:
     """One row per session: times, start and end page, page views, first hour, dimensions of the last event.
 
-    Events without a page do not count as views. Only partial aggregates are shuffled.
+    Events without a page do not count as views. Only partial aggregates are shuffled. ``hours`` adds ``hour_set``, the
+    sorted hour stamps the session touches: at most one per hour it lasts, however many events it has.
     """
     dims = ["guid", isnew, *[c for c in _LAST if c in df.columns]]
     last = F.max(F.struct(ts, event_id, *dims)).alias("_last")
-    grouped = df.groupBy(session).agg(*_session_measures(ts, event_id, page), last)
-    return _session_row(grouped, session, dims, page, isnew)
+    touched = [F.sort_array(F.collect_set(hour_stamp(ts))).alias("hour_set")] if hours else []
+    grouped = df.groupBy(session).agg(*_session_measures(ts, event_id, page), last, *touched)
+    return _session_row(grouped, session, dims, page, isnew, ["hour_set"] if hours else [])
 
 
-def _session_row(grouped: DataFrame, session: str, dims: list[str], page: str, isnew: str) -> DataFrame:
+def _session_row(grouped: DataFrame, session: str, dims: list[str], page: str, isnew: str, more: Sequence[str] = ()) -> DataFrame:
     names = {isnew: "isnew", "devicetype": "device_type", "osname": "os_name", "releasechannel": "release_ch"}
     return grouped.select(
         F.col(session).alias("session_id"),
@@ -87,6 +91,7 @@ def _session_row(grouped: DataFrame, session: str, dims: list[str], page: str, i
         "pv_cnt",
         "hour_range",
         *[F.col(f"_last.{c}").alias(names.get(c, c)) for c in dims],
+        *more,
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from footfall.functions.columns import export_text
@@ -63,8 +64,35 @@ def parse_vectors(lines: DataFrame, label_at: str = "last", col: str = "value")
 
 def read_logs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines; a line that does not parse keeps its text in ``_corrupt`` instead of failing the job."""
+    return _json(spark, schema, path, {})
+
+
+def _json(spark: SparkSession, schema: T.StructType, path: str, options: Mapping[str, str]) -> DataFrame:
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(full).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    return spark.read.schema(full).options(**options).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+
+
+#: Levels of a log folder: where a record comes from (app, mini-program, web, h5, ...), and its day.
+LOG_LEVELS = ("terminal", "dt")
+
+
+def write_logs(df: DataFrame, path: str, mode: str = "append") -> None:
+    """JSON lines under ``terminal=.../dt=...``; a record without terminal or day goes to Spark's default folder of that level."""
+    df.write.mode(mode).partitionBy(*LOG_LEVELS).json(path)
+
+
+def scan_logs(spark: SparkSession, path: str, schema: T.StructType, day: str, terminal: str | None = None) -> DataFrame:
+    """One day of the logs of one terminal, or of all, with ``terminal`` and ``dt``; no other folder is listed or read.
+
+    A terminal without logs of that day gives no rows.
+    """
+    try:
+        rows = _json(spark, schema, f"{path}/terminal={terminal or '*'}/dt={day}", {"basePath": path})
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in (CORRUPT, *LOG_LEVELS))]))
+    return rows.withColumns({"terminal": F.col("terminal").cast("string"), "dt": F.col("dt").cast("date")})
 
 
 def rows(spark: SparkSession, data: Iterable, schema: T.StructType | str, view: str | None = None) -> DataFrame:

@@ -22,11 +22,12 @@ def routed(stream: DataFrame, event_ms: Column, private: Iterable[str] = ()) ->
 def ingest(
     spark: SparkSession, src: str, sink: str, checkpoint: str, schema: T.StructType, event_ms: Column,
     private: Iterable[str] = (), fmt: str = "json", prepare: Callable[[DataFrame], DataFrame] | None = None,
-    **options: str,
+    levels: Iterable[str] = ("dt",), **options: str,
 ) -> StreamingQuery:
     """Take in every file not seen yet and stop; the checkpoint remembers which ones were.
 
-    Records are written under ``sink/dt=...``; a late record goes to its own day.
+    Records are written under ``sink/dt=...``, or under other ``levels`` such as ("terminal", "dt"); a late record goes
+    to its own day.
     """
     stream = arriving(spark, src, schema, fmt, **options)
     if prepare is not None:
@@ -34,7 +35,7 @@ def ingest(
     return (
         routed(stream, event_ms, private)
         .writeStream.format("parquet")
-        .partitionBy("dt")
+        .partitionBy(*levels)
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -218,6 +218,20 @@ def test_late_log_lines_reach_their_day(spark, tmp_path):
     assert run() == {"2024-01-01": 3, "2024-01-02": 1}
 
 
+def test_logs_by_terminal_and_day(spark, tmp_path):
+    path, schema = str(tmp_path / "logs"), T.StructType([T.StructField("n", T.LongType()), T.StructField("name", T.StringType())])
+    rows_ = [(1, "a", "web", "2024-01-01"), (2, "b", "app", "2024-01-01"), (3, "c", "web", "2024-01-02"), (4, "d", None, "2024-01-01")]
+    tables.write_logs(spark.createDataFrame(rows_, "n long, name string, terminal string, dt string"), path)
+    (tmp_path / "logs" / "terminal=web" / "dt=2024-01-01" / "more.json").write_text('{"n": 9, "name": "x"}\nnot json\n')
+    web = tables.scan_logs(spark, path, schema, "2024-01-01", "web")
+    assert {f.split("/logs/")[1].rsplit("/", 1)[0] for f in web.inputFiles()} == {"terminal=web/dt=2024-01-01"}
+    assert sorted((r["n"], r["terminal"], str(r["dt"]), r["_corrupt"]) for r in web.collect() if r["n"]) == [(1, "web", "2024-01-01", None), (9, "web", "2024-01-01", None)]
+    assert [r["_corrupt"] for r in web.collect() if r["n"] is None] == ["not json"]
+    assert sorted(r["n"] for r in tables.scan_logs(spark, path, schema, "2024-01-01").where("n is not null").collect()) == [1, 2, 4, 9]
+    none = tables.scan_logs(spark, path, schema, "2024-01-02", "app")
+    assert none.count() == 0 and set(none.columns) == {"n", "name", "_corrupt", "terminal", "dt"}
+
+
 def test_scratch_paths_are_fresh(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
