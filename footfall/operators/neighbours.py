@@ -1,8 +1,9 @@
 """Exact nearest neighbours without comparing every pair.
 
-Every sample belongs to the cell of its closest pivot. The triangle inequality tells a query which
-cells can hold a neighbour; it is sent only there, and tasks return the k best per query, never pairs.
-Cells are cut into blocks of bounded size, so a crowded cell is many tasks.
+Every sample belongs to the cell of its closest pivot. A query first visits its own cell; the k-th distance found there is a
+bound, and the triangle inequality then tells which other cells can hold anything closer: it visits only those. Cells are cut
+into blocks of bounded size, and the queries of a cell into batches, so neither a crowded cell nor a popular one is one
+task; a sample is sent once per batch of queries that visit its cell, not at all to cells nobody visits.
 """
 
 from __future__ import annotations
@@ -11,19 +12,43 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from footfall.session import stored
+
+#: Most pivots that reach the driver; a larger table has larger cells, cut into more blocks.
+MOST_PIVOTS = 4096
+
+
+def _distances(x, centres):
+    import numpy as np
+
+    return np.sqrt(np.stack([((x - p) ** 2).sum(axis=1) for p in centres], axis=1))
+
+
+def _rows_to_send(celled: DataFrame, visits: DataFrame, batch: int) -> tuple[DataFrame, DataFrame]:
+    """Samples and queries with the ``part`` they meet in: a cell's queries are cut into batches, its samples sent to each."""
+    # One row per block that is visited.
+    parts = visits.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / F.lit(batch)).cast("long").alias("_parts"))
+    parts = stored(parts, "batches")
+    held = celled.join(parts, ["cell", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
+    asked = visits.join(parts, ["cell", "block"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("_parts"))).drop("_parts")
+    return held, asked
+
 
 def nearest(
     train: DataFrame, test: DataFrame, k: int = 3, id_col: str = "id", label: str = "label", vec: str = "vec",
-    pivots: int = 16, block_rows: int = 4096, skip_same_id: bool = False,
+    pivots: int | None = None, block_rows: int = 4096, skip_same_id: bool = False,
 ) -> DataFrame:
     """(test_id, rank, train_id, label, dist): the k nearest samples by squared Euclidean distance.
 
-    ``skip_same_id`` leaves a query out of its own neighbours, for a table matched with itself.
+    ``skip_same_id`` leaves a query out of its own neighbours, for a table matched with itself. ``pivots`` grows with the
+    samples unless given: one per block of samples, 16 at least. Blocks and batches of queries have ``block_rows`` rows.
     """
     import numpy as np
 
     train = train.select(F.col(id_col).alias("id"), F.col(label).alias("label"), F.col(vec).cast("array<double>").alias("vec"))
     test = test.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(16, math.ceil(train.count() / block_rows)))
     # ``pivots`` rows at most reach the driver.
     picked = train.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vec").collect()
     kinds = {f.name: f.dataType.simpleString() for f in train.schema.fields}
@@ -33,12 +58,6 @@ def nearest(
             [], f"test_id {kind_of_test}, train_id {kinds['id']}, label {kinds['label']}, rank long, dist double"
         )
     centres = np.array([r["vec"] for r in picked], dtype="float64")
-    need = k + 1 if skip_same_id else k
-
-    def pivot_distances(x, chosen):
-        import numpy as np
-
-        return np.sqrt(np.stack([((x - p) ** 2).sum(axis=1) for p in chosen], axis=1))
 
     def to_cells(batches):
         import numpy as np
@@ -46,63 +65,49 @@ def nearest(
 
         for pdf in batches:
             if len(pdf):
-                x = np.stack(pdf["vec"].to_numpy()).astype("float64")
-                d = pivot_distances(x, centres)
+                d = _distances(np.stack(pdf["vec"].to_numpy()).astype("float64"), centres)
                 cell = d.argmin(axis=1)
                 yield pd.DataFrame(
                     {"id": pdf["id"], "label": pdf["label"], "vec": pdf["vec"], "cell": cell.astype("int64"),
                      "off": d[np.arange(len(d)), cell]}
                 )
 
-    celled = train.mapInPandas(
-        to_cells, f"id {kinds['id']}, label {kinds['label']}, vec array<double>, cell long, off double"
-    )
+    celled = stored(train.mapInPandas(to_cells, f"id {kinds['id']}, label {kinds['label']}, vec array<double>, cell long, off double"), "cells")
     # One row per pivot.
     stats = celled.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("off").alias("hi"), F.min("off").alias("lo")
-    ).collect()
-    cells = np.array([r["cell"] for r in stats], dtype="int64")
-    sizes = np.array([r["n"] for r in stats], dtype="int64")
-    radius = np.array([r["hi"] for r in stats], dtype="float64")
-    inner = np.array([r["lo"] for r in stats], dtype="float64")
+    ).orderBy("cell").collect()
+    cells, sizes, radius, inner = (np.array([r[c] for r in stats], dtype=t) for c, t in (("cell", "int64"), ("n", "int64"), ("hi", "float64"), ("lo", "float64")))
     blocks = np.maximum(1, np.ceil(sizes / block_rows)).astype("int64")
-    test_blocks = max(1, math.ceil(test.count() / block_rows))
-
-    def to_candidates(batches):
-        import numpy as np
-        import pandas as pd
+    block_of = F.element_at(F.create_map(*[F.lit(int(v)) for pair in zip(cells, blocks) for v in pair]), F.col("cell").cast("int"))
+    celled = celled.drop("off").withColumn("block", F.pmod(F.xxhash64("id"), block_of.cast("long")))
+
+    def visits(first):
+        """Cells a query has to see: its own one, or all others that can hold something within its bound."""
+
+        def run(batches):
+            import numpy as np
+            import pandas as pd
+
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                d = _distances(np.stack(pdf["vec"].to_numpy()).astype("float64"), centres[cells])
+                home = np.arange(len(cells)) == d.argmin(axis=1)[:, None]
+                if first:
+                    q, c = np.nonzero(home)
+                else:
+                    bound = pdf["bound"].to_numpy(dtype="float64")
+                    near = np.maximum(np.maximum(d - radius[None, :], inner[None, :] - d), 0.0)
+                    q, c = np.nonzero(~home & (near <= bound[:, None] * (1 + 1e-9) + 1e-9))
+                reps = blocks[c]
+                starts = np.repeat(np.cumsum(reps) - reps, reps)
+                q, c = np.repeat(q, reps), np.repeat(c, reps)
+                yield pd.DataFrame(
+                    {"id": pdf["id"].to_numpy()[q], "vec": pdf["vec"].to_numpy()[q], "cell": cells[c], "block": np.arange(len(q)) - starts}
+                )
 
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x = np.stack(pdf["vec"].to_numpy()).astype("float64")
-            d = pivot_distances(x, centres[cells])
-            far = d + radius[None, :]
-            order = far.argsort(axis=1)
-            enough = sizes[order].cumsum(axis=1) >= need
-            at = np.where(enough.any(axis=1), enough.argmax(axis=1), len(cells) - 1)
-            rows = np.arange(len(d))
-            bound = far[rows, order[rows, at]]
-            near = np.maximum(np.maximum(d - radius[None, :], inner[None, :] - d), 0.0)
-            q, c = np.nonzero(near <= bound[:, None] * (1 + 1e-9) + 1e-9)
-            reps = blocks[c]
-            q, c = np.repeat(q, reps), np.repeat(c, reps)
-            starts = np.repeat(np.cumsum(reps) - reps, reps)
-            yield pd.DataFrame(
-                {"id": pdf["id"].to_numpy()[q], "vec": pdf["vec"].to_numpy()[q], "cell": cells[c],
-                 "block": np.arange(len(q)) - starts}
-            )
-
-    asked = test.mapInPandas(to_candidates, f"id {kinds['id']}, vec array<double>, cell long, block long").withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.lit(test_blocks))
-    )
-    block_of = F.element_at(
-        F.create_map(*[F.lit(int(v)) for pair in zip(cells, blocks) for v in pair]), F.col("cell").cast("int")
-    )
-    # A sample meets the queries of its block only, once per query part.
-    held = celled.drop("off").withColumn("block", F.pmod(F.xxhash64("id"), block_of.cast("long"))).withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(test_blocks - 1).cast("long")))
-    )
+        return run
 
     def best(left, right):
         import numpy as np
@@ -132,11 +137,22 @@ def nearest(
         return pd.concat(out, ignore_index=True)
 
     spot = ["cell", "block", "part"]
-    partial = held.groupBy(*spot).cogroup(asked.groupBy(*spot)).applyInPandas(
-        best, f"test_id {kinds['id']}, train_id {kinds['id']}, label {kinds['label']}, dist double"
-    )
     rank = Window.partitionBy("test_id").orderBy("dist", "train_id")
-    return partial.withColumn("rank", F.row_number().over(rank).cast("long")).where(F.col("rank") <= k)
+
+    def found(asked, first):
+        asked = stored(asked.mapInPandas(visits(first), f"id {kinds['id']}, vec array<double>, cell long, block long"), "visits")
+        held, asked = _rows_to_send(celled, asked, block_rows)
+        met = held.groupBy(*spot).cogroup(asked.groupBy(*spot)).applyInPandas(
+            best, f"test_id {kinds['id']}, train_id {kinds['id']}, label {kinds['label']}, dist double"
+        )
+        return met.withColumn("rank", F.row_number().over(rank).cast("long")).where(F.col("rank") <= k)
+
+    near = stored(found(test, True), "home")
+    # A query without k samples in its own cell has no bound yet.
+    bounds = near.where(F.col("rank") == k).select(F.col("test_id").alias("_of"), F.sqrt("dist").alias("bound"))
+    open_ = test.join(bounds, F.col("id") == F.col("_of"), "left").select("id", "vec", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+    both = near.drop("rank").unionByName(found(open_, False).drop("rank"))
+    return both.withColumn("rank", F.row_number().over(rank).cast("long")).where(F.col("rank") <= k)
 
 
 def knn(

@@ -28,6 +28,28 @@ def test_neighbours_equal_brute_force(spark, block_rows, pivots):
     assert found == expect
 
 
+def test_samples_are_sent_as_often_as_batches_visit(spark, monkeypatch):
+    """Far clusters: queries of one see no sample of the others, and samples nobody asks for stay where they are."""
+    sent = []
+    plain = neighbours._rows_to_send
+
+    def counted(celled, visits, batch):
+        held, asked = plain(celled, visits, batch)
+        sent.append((held.count(), asked.count()))
+        return held, asked
+
+    monkeypatch.setattr(neighbours, "_rows_to_send", counted)
+    rnd = random.Random(4)
+    train = [(i, i % 2, [100.0 * (i % 8) + rnd.random(), rnd.random()]) for i in range(800)]
+    test = [(i, [rnd.random(), rnd.random()]) for i in range(90)]
+    got = neighbours.nearest(
+        spark.createDataFrame(train, "id long, label long, vec array<double>"), spark.createDataFrame(test, "id long, vec array<double>"), 3,
+        pivots=32, block_rows=40)
+    assert got.count() == 270
+    # Ninety queries are three batches at most, a cluster has a hundred samples, and either visit reaches one cluster only.
+    assert sum(held for held, _ in sent) <= 2 * 3 * 100 and all(held > 0 for held, _ in sent[:1])
+
+
 def test_no_majority_no_row(spark):
     train = spark.createDataFrame([(1, "a", [0.0]), (2, "b", [1.0]), (3, "c", [2.0]), (4, "c", [2.5])], "id long, label string, vec array<double>")
     test = spark.createDataFrame([(10, [0.9]), (11, [2.2])], "id long, vec array<double>")
