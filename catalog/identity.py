@@ -6,7 +6,7 @@ from catalog.base import (
     CLEAN, IDS, LOG, MID_DAY, NOW_MS, SCORES, TO_GUID, Registry, app_log, cleaned, guid_ids, known_users, sql, text, with_guid,
 )
 from footfall.operators import identity, quality
-from footfall.operators.clean import clean_events
+from footfall.operators.clean import clean_events, is_clean
 from footfall.session import stored
 
 QUERIES = Registry()
@@ -208,21 +208,12 @@ def _gate(name: str, value: str) -> str:
     ])),
 )
 def gates(spark, sf):
-    """All events as one day: counted while they are cleaned, named and numbered, then judged."""
-    watch = quality.Watch()
-    events = clean_events(watch.rows(app_log(spark, sf), "read"), ["eventid", "sessionid"], ["account", "deviceid"])
-    events = stored(watch.rows(events, "clean"), "clean")
-    scores = stored(identity.daily_scores(events), "scores")
+    """All events as one day: counted while they are scored, named and numbered, then judged."""
+    logs = app_log(spark, sf)
+    rule = (["eventid", "sessionid"], ["account", "deviceid"])
+    counts = stored(identity.contact_counts(logs, is_clean(logs, *rule)), "counts")
+    scores = identity.scores_of(counts)
     best = identity.best_account(scores.withColumnRenamed("min_time", "last_time"))
-    named = identity.identify(events, best, known_users(spark, sf))
-    named = stored(watch.rows(named, "detail", unresolved=F.count_if(F.col("guid").isNull())), "detail")
-    stored(watch.rows(identity.allocate_ids(named.select("guid")), "ids", low=F.min("id"), high=F.max("id")), "ids")
-    read, kept = watch.count("read"), watch.count("clean")
-    values = {
-        "dirty_share": 1 - kept / read if read else 0.0,
-        "lost_rows": abs(watch.count("detail") - kept),
-        "unresolved_rows": watch.count("detail", "unresolved"),
-        "mixed_devices": quality.check_mixed(scores).count(),
-        "id_gaps": watch.count("ids", "high") - watch.count("ids", "low") + 1 - watch.count("ids"),
-    }
+    named = stored(identity.identify(clean_events(logs, *rule), best, known_users(spark, sf)).select("guid"), "named")
+    values = quality.gate_values(counts, named, identity.allocate_ids(named), scores)
     return quality.gate_report(spark, values, quality.GATES)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,17 +14,21 @@ def _present(df: DataFrame, name: str) -> Column:
     return F.col(name).isNotNull()
 
 
+def is_clean(df: DataFrame, require: Iterable[str], any_of: Iterable[str] = ()) -> Column:
+    """Whether every ``require`` column and at least one ``any_of`` column of a row has a value; never null."""
+    parts = [F.coalesce(_present(df, name), F.lit(False)) for name in require]
+    choices = [F.coalesce(_present(df, name), F.lit(False)) for name in any_of]
+    if choices:
+        parts.append(reduce(lambda a, b: a | b, choices))
+    return reduce(lambda a, b: a & b, parts, F.lit(True))
+
+
 def clean_events(df: DataFrame, require: Iterable[str], any_of: Iterable[str] = ()) -> DataFrame:
     """Keep rows where every ``require`` column and at least one ``any_of`` column has a value."""
     for name in require:
         df = df.where(_present(df, name))
     choices = [_present(df, name) for name in any_of]
-    if choices:
-        any_present = choices[0]
-        for c in choices[1:]:
-            any_present = any_present | c
-        df = df.where(any_present)
-    return df
+    return df.where(reduce(lambda a, b: a | b, choices)) if choices else df
 
 
 def extract_props(df: DataFrame, keys: Mapping[str, str] | Sequence[str], col: str = "properties") -> DataFrame:

@@ -29,6 +29,27 @@ def daily_scores(events: DataFrame, ts: str = "timestamp") -> DataFrame:
     )
 
 
+def contact_counts(logs: DataFrame, clean: Column, ts: str = "timestamp") -> DataFrame:
+    """(deviceid, account, clean, events, score, min_time): ``daily_scores`` of all raw rows, with their number.
+
+    One scan of the logs gives the scores of the clean rows (``scores_of``) and how many rows were clean or not.
+    """
+    return (
+        logs.select(blank_to_null("deviceid").alias("deviceid"), blank_to_null("account").alias("account"), clean.alias("clean"), "sessionid", ts)
+        .groupBy("deviceid", "account", "clean")
+        .agg(
+            F.count(F.lit(1)).alias("events"),
+            (F.countDistinct("sessionid") * POINTS_PER_SESSION).cast("double").alias("score"),
+            F.min(ts).alias("min_time"),
+        )
+    )
+
+
+def scores_of(counts: DataFrame) -> DataFrame:
+    """The daily scores out of ``contact_counts``."""
+    return counts.where(F.col("clean") & F.col("deviceid").isNotNull()).select("deviceid", "account", "score", "min_time")
+
+
 def roll_scores(prev: DataFrame, cur: DataFrame, now_ms: Column | int, decay: float = IDLE_DECAY) -> DataFrame:
     """Relation table of the day from the one of the day before and today's scores.
 

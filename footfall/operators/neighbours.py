@@ -28,7 +28,6 @@ def _rows_to_send(celled: DataFrame, visits: DataFrame, batch: int) -> tuple[Dat
     """Samples and queries with the ``part`` they meet in: a cell's queries are cut into batches, its samples sent to each."""
     # One row per block that is visited.
     parts = visits.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / F.lit(batch)).cast("long").alias("_parts"))
-    parts = stored(parts, "batches")
     held = celled.join(parts, ["cell", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
     asked = visits.join(parts, ["cell", "block"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("_parts"))).drop("_parts")
     return held, asked

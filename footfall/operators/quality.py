@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-
-from footfall.session import observed
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def check_mixed(relation: DataFrame) -> DataFrame:
@@ -35,21 +33,6 @@ def check_dense(ids: DataFrame, id_col: str = "id", key: str = "guid") -> DataFr
     )
 
 
-class Watch:
-    """Counts taken while a job passes its rows on, so that checking them needs no scan of its own."""
-
-    def __init__(self) -> None:
-        self._seen: dict[str, Observation] = {}
-
-    def rows(self, df: DataFrame, name: str, **more: Column) -> DataFrame:
-        """``df``, whose rows are counted under ``name`` by the first job that runs through it, with further aggregates."""
-        self._seen[name] = Observation()
-        return df.observe(self._seen[name], F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in more.items()])
-
-    def count(self, name: str, of: str = "rows") -> int:
-        return observed(self._seen[name], of)
-
-
 #: Highest value of each gate that lets a day pass.
 GATES = {"dirty_share": 0.5, "lost_rows": 0.0, "unresolved_rows": 0.0, "mixed_devices": 0.0, "id_gaps": 0.0}
 
@@ -58,6 +41,24 @@ class GateFailed(ValueError):
     """A day that is not published, and the gates that kept it."""
 
 
+def gate_values(contacts: DataFrame, named: DataFrame, fresh_ids: DataFrame, relation: DataFrame) -> dict[str, float]:
+    """The value of every gate, from what a day's jobs wrote: no scan of the events of its own.
+
+    ``contacts`` (clean, events) are counts folded from all raw rows, ``named`` the detail, of which the guid is read,
+    ``fresh_ids`` the ids given out, and ``relation`` the state after the day.
+    """
+    read, kept = contacts.agg(F.coalesce(F.sum("events"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("clean"), F.col("events"))), F.lit(0))).first()
+    written, unresolved = named.agg(F.count(F.lit(1)), F.count_if(F.col("guid").isNull())).first()
+    low, high, ids = fresh_ids.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
+    return {
+        "dirty_share": 1 - kept / read if read else 0.0,
+        "lost_rows": abs(kept - written),
+        "unresolved_rows": unresolved,
+        "mixed_devices": check_mixed(relation).count(),
+        "id_gaps": high - low + 1 - ids if ids else 0,
+    }
+
+
 def gate_report(spark: SparkSession, values: Mapping[str, float], limits: Mapping[str, float]) -> DataFrame:
     """(gate, value, highest, passed), one row per gate; a gate without a limit always passes."""
     rows = [(g, float(v), float(limits[g]) if g in limits else None, g not in limits or v <= limits[g]) for g, v in sorted(values.items())]

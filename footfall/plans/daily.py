@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.functions.columns import millis_date
 from footfall.operators import activity, cube, geo, identity, quality, sessions
-from footfall.operators.clean import clean_events, extract_props
+from footfall.operators.clean import clean_events, extract_props, is_clean
 from footfall.session import stored
 from footfall.sources.tables import discard_day, publish_day, scan_day, stage_day, write_day
 
@@ -106,8 +106,8 @@ def run_day(
     missing raises: ``run_days`` rolls over the gap. ``products`` (id, cat_name, brand_name) and ``pages``
     (id, lanmu_name) also give the share reports.
 
-    Relation, detail and ids are staged first. What passes through those jobs is counted on the way; if a count is above
-    its limit in ``gates`` (default ``quality.GATES``), nothing of the day is published and ``GateFailed`` is raised.
+    Contacts, detail and ids are staged first and counted: raw rows while their scores are folded, the rest from a column of
+    the staged tables. If a count is above its limit in ``gates`` (default ``quality.GATES``), nothing of the day is published and ``GateFailed`` is raised.
     Returns the value of every gate.
     """
     before = (date.fromisoformat(day) - timedelta(days=1)).isoformat()
@@ -117,32 +117,23 @@ def run_day(
     if last is not None and last != before:
         raise ValueError(f"the tables end on {last}: run the days up to {before} first")
 
-    watch = quality.Watch()
     logs = scan_day(spark, f"{root}/ods_event_app_log", day)
-    clean = watch.rows(clean_events(watch.rows(logs, "read"), REQUIRED, ANY_OF), "clean")
-    scores = stored(identity.daily_scores(clean), "daily-scores")
+    counts = stored(identity.contact_counts(logs, is_clean(logs, REQUIRED, ANY_OF)), "contact-counts")
+    scores = identity.scores_of(counts)
     known_contacts = contacts_on(spark, root, before)
     met = stage_day(identity.step_scores(known_contacts, scores, day), f"{root}/device_account_contact", day)
     relation = identity.scores_on(identity.latest_contacts(known_contacts.unionByName(met.drop("dt"))), day, now_ms)
 
     every = _table(spark, root, "user_guid_global", "id long, guid string")
     known = every.where(F.col("dt") < F.lit(day).cast("date")).select("id", "guid")
-    named = watch.rows(detail(logs, relation, known, places, ranges), "detail", unresolved=F.count_if(F.col("guid").isNull()))
-    rows = stage_day(named, f"{root}/event_app_detail", day)
+    rows = stage_day(detail(logs, relation, known, places, ranges), f"{root}/event_app_detail", day)
     # Ids of all days are taken, also those after this one.
     given = every.where(F.col("dt") == F.lit(day).cast("date")).select("id", "guid")
     fresh = identity.allocate_ids(rows.where("newflag"), every.select("id", "guid"))
-    fresh = watch.rows(fresh, "ids", low=F.min("id"), high=F.max("id"))
-    stage_day(given.unionByName(fresh), f"{root}/user_guid_global", day)
-
-    read, kept = watch.count("read"), watch.count("clean")
-    values = {
-        "dirty_share": (read - kept) / read if read else 0.0,
-        "lost_rows": abs(kept - watch.count("detail")),
-        "unresolved_rows": watch.count("detail", "unresolved"),
-        "mixed_devices": quality.check_mixed(relation).count(),
-        "id_gaps": watch.count("ids", "high") - watch.count("ids", "low") + 1 - watch.count("ids") if watch.count("ids") else 0,
-    }
+    ids_now = stage_day(given.unionByName(fresh), f"{root}/user_guid_global", day)
+    new_ids = ids_now.join(every.select("guid"), "guid", "left_anti")
+
+    values = quality.gate_values(counts, rows, new_ids, relation)
     try:
         quality.hold_back(values, quality.GATES if gates is None else gates)
     except quality.GateFailed:
@@ -179,7 +170,7 @@ def run_day(
     write_day(activity.retention(scan_day(spark, f"{root}/user_range_open", day), day), f"{root}/user_retention", day)
     if date.fromisoformat(day).toordinal() % SNAPSHOT_DAYS == 0:
         write_day(contacts_on(spark, root, day), f"{root}/device_account_snapshot", day)
-    write_day(spark.createDataFrame([(read,)], "rows_read long"), f"{root}/run_of_day", day)
+    write_day(spark.createDataFrame([(counts.agg(F.sum("events")).first()[0],)], "rows_read long"), f"{root}/run_of_day", day)
     return values
 
 

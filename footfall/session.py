@@ -7,7 +7,6 @@ import shutil
 import tempfile
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
@@ -74,17 +73,6 @@ def stored(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def observed(seen, name: str) -> int:
-    """An observed count of a job that has ended; 0 where its plan was known to be empty and ran without counting."""
-    try:
-        return seen.get.get(name) or 0
-    except Py4JJavaError as e:
-        # PySpark cannot turn the row of no counts into one of its own.
-        if "toPyRow" not in str(e):
-            raise
-        return 0
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table in the shared folder."""
     return f"{_shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

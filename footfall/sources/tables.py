@@ -6,10 +6,9 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from footfall.functions.columns import export_text
-from footfall.session import observed
 
 CORRUPT = "_corrupt"
 
@@ -111,20 +110,24 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_day(df: DataFrame, path: str, day: str, mode: str = "overwrite") -> int:
-    """Write one day of a table and return its number of rows. The default replaces that day only, all or not at all.
+def write_day(df: DataFrame, path: str, day: str, mode: str = "overwrite") -> None:
+    """Write one day of a table. The default replaces that day only, all or not at all.
 
     Spark writes the rows aside and moves them into place when the job commits, so a write that fails leaves the
     day as it was. A result without rows replaces the day too: a file that holds only the schema takes its place.
     """
-    rows = df.drop("dt")
-    seen = Observation()
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows, before = df.drop("dt"), _files(df.sparkSession, f"{path}/dt={day}")
     rows.withColumn("dt", F.lit(day)).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
-    n = observed(seen, "rows")
-    if not n and mode == "overwrite":
+    # Files carry the name of their job: the same ones as before mean that there was no row to put in their place.
+    if mode == "overwrite" and _files(df.sparkSession, f"{path}/dt={day}") == before:
         _empty_day(df.sparkSession, rows.schema, path, day)
-    return n
+
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    """Names in a folder, none where there is no folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(at)} if fs.exists(at) else set()
 
 
 def stage_day(df: DataFrame, path: str, day: str) -> DataFrame:
