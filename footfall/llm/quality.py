@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from footfall.llm.classify import Adam, kept, sample, scored, sigmoid
 from footfall.llm.common import stored, total_bytes
 
 #: Numbers of a word's vector; signed ones in its index vector; neighbours on either side, in words.
 DIM, ONES, WINDOW = 32, 4, 2
-#: Bytes of text whose words are counted and looked up together.
-CHUNK = 24 << 20
+#: A chunk of texts ends at so many characters or so many different words.
+CHUNK, VOCABULARY = 48 << 20, 400_000
+#: Bytes of text for each part of the hash space.
+PART = 32 << 20
 #: Bound of the training sample (a documented parameter); share of it that sets the temperature.
 LABELLED, CALIBRATION = 10_000, 0.2
 HIDDEN, EPOCHS, RATE, DECAY = 32, 300, 0.01, 1e-3
@@ -28,22 +32,34 @@ SIZE = 2 * DIM + 3
 
 
 class Words:
-    """The words of some texts as numbers, in the order of their 64-bit hashes.
+    """The words of a chunk of texts as numbers, in the order of their 64-bit hashes.
 
     A word goes by its hash: any two of n words share one with a chance of n^2 / 2^65.
     """
 
-    def __init__(self, texts: list[str | None]) -> None:
-        seen: dict[str, int] = defaultdict(count().__next__)
-        found = [np.array([seen[w] for w in t.split()] if t else [], np.int64) for t in texts]
-        own = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in seen), np.uint64, len(seen))
-        self.hashes, place = np.unique(own, return_inverse=True)
-        self.texts = [place[f].astype(np.int32) for f in found]
+    def __init__(self) -> None:
+        self.seen: dict[str, int] = defaultdict(count().__next__)
+        self.found: list[np.ndarray] = []
+        self.size = 0
 
-    def cuts(self, parts: int) -> list[int]:
-        """Where the words of each part of the hash space begin, and the end."""
-        edges = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
-        return [0, *np.searchsorted(self.hashes, edges).tolist(), len(self.hashes)]
+    def add(self, text: str | None) -> None:
+        tokens = text.split() if text else []
+        self.found.append(np.fromiter(map(self.seen.__getitem__, tokens), np.int32, len(tokens)))
+        self.size += len(text) if text else 0
+
+    def close(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the words, the words of all texts by number, and how many each text has."""
+        own = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in self.seen), np.uint64, len(self.seen))
+        self.seen.clear()
+        hashes, place = np.unique(own, return_inverse=True)
+        seq = place.astype(np.int32)[np.concatenate([np.zeros(0, np.int32), *self.found])]
+        return hashes, seq, np.array([len(f) for f in self.found], np.int32)
+
+
+def cuts(hashes: np.ndarray, parts: int) -> list[int]:
+    """Where the words of each part of the hash space begin, and the end."""
+    edges = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+    return [0, *np.searchsorted(hashes, edges).tolist(), len(hashes)]
 
 
 def index_vectors(hashes: np.ndarray) -> np.ndarray:
@@ -56,40 +72,81 @@ def index_vectors(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def context_sums(words: Words) -> np.ndarray:
+def context_sums(hashes: np.ndarray, seq: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """For each word the sum of its neighbours' index vectors over all places where it stands."""
-    index, gap = index_vectors(words.hashes), np.full(WINDOW, len(words.hashes), np.int32)
-    out = np.zeros((len(index), DIM), np.int64)
-    seq = np.concatenate([gap, *(x for t in words.texts if len(t) for x in (t, gap))])
-    for lo in range(WINDOW, len(seq) - WINDOW, BLOCK):
-        hi = min(lo + BLOCK, len(seq) - WINDOW)
-        near = sum(index[seq[lo + d : hi + d]] for d in range(-WINDOW, WINDOW + 1) if d)
-        order = np.argsort(seq[lo:hi], kind="stable")
-        own = seq[lo:hi][order]
+    index = index_vectors(hashes)
+    out = np.zeros((len(index), DIM), np.int32)
+    # Gaps stand before, between and after the texts.
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    spaced = np.insert(seq, np.repeat(np.append(starts, len(seq)), WINDOW), len(hashes))
+    for lo in range(WINDOW, len(spaced) - WINDOW, BLOCK):
+        hi = min(lo + BLOCK, len(spaced) - WINDOW)
+        near = sum(index[spaced[lo + d : hi + d]] for d in range(-WINDOW, WINDOW + 1) if d)
+        order = np.argsort(spaced[lo:hi], kind="stable")
+        own = spaced[lo:hi][order]
         first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        out[own[first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int64)
+        out[own[first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int32)
     return out[:-1]
 
 
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers, byte by byte of their values, compressed one by one."""
+    out = []
+    for a in arrays:
+        body = a.reshape(-1).view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes()
+        held = pa.compress(body, codec="zstd", asbytes=True)
+        out += [len(body).to_bytes(8, "little"), len(held).to_bytes(8, "little"), held]
+    return b"".join(out)
+
+
+def expand(data: bytes, *kinds: str) -> list[np.ndarray]:
+    out, at = [], 0
+    for kind in kinds:
+        size, held = (int.from_bytes(data[at + i : at + i + 8], "little") for i in (0, 8))
+        body = pa.decompress(data[at + 16 : at + 16 + held], size, codec="zstd", asbytes=True)
+        width = np.dtype(kind).itemsize
+        out.append(np.frombuffer(body, np.uint8).reshape(width, -1).T.copy().reshape(-1).view(kind))
+        at += 16 + held
+    return out
+
+
+#: Rows of sums are packed together whose largest number is at most so large, in so wide numbers.
+KINDS = [(1, "<i1"), (2, "<i1"), (4, "<i1"), (10, "<i1"), (30, "<i1"), (127, "<i1"), (2**15 - 1, "<i2"), (2**31 - 1, "<i4"), (2**63 - 1, "<i8")]
+
+
 def packed(sums: np.ndarray) -> bytes:
-    """Rows of whole numbers: one byte each where a row allows it, eight bytes in the other rows."""
-    large = np.flatnonzero((np.abs(sums) > 127).any(1))
-    small = sums.astype(np.int8)
-    small[large] = 0
-    body = b"".join([np.array([len(sums), len(large)], "<i8").tobytes(), large.astype("<i8").tobytes(), sums[large].astype("<i8").tobytes(), small.tobytes()])
-    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+    """Rows of whole numbers, those of like size together: a rare word takes a few bytes."""
+    kind = np.searchsorted([k for k, _ in KINDS], np.abs(sums).max(1, initial=0)).astype(np.uint8)
+    return squeeze(kind, *(sums[kind == i].astype(w) for i, (_, w) in enumerate(KINDS)))
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    body = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    n, m = np.frombuffer(body, "<i8", 2)
-    large = np.frombuffer(body, "<i8", m, 16)
-    rows = np.frombuffer(body, "<i8", m * DIM, 16 + 8 * m).reshape(m, DIM)
-    out = np.frombuffer(body, np.int8, n * DIM, 16 + 8 * m * (1 + DIM)).reshape(n, DIM).astype(np.int64)
-    out[large] = rows
+    kind, *rows = expand(data, "<u1", *(w for _, w in KINDS))
+    out = np.zeros((len(kind), DIM), np.int64 if len(rows[-1]) else np.int32)
+    for i, own in enumerate(rows):
+        out[kind == i] = own.reshape(-1, DIM)
     return out
 
 
+def steps(hashes: np.ndarray) -> bytes:
+    """Sorted hashes by their differences."""
+    return squeeze(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def summed(words: list[np.ndarray], sums: list[np.ndarray]) -> list[np.ndarray]:
+    """For each list of words the sums of its words over all lists."""
+    same, place = np.unique(np.concatenate(words), return_inverse=True)
+    order, rows = np.argsort(place, kind="stable"), np.concatenate(sums)
+    first = np.searchsorted(place[order], np.arange(len(same) + 1))
+    blocks = []
+    for lo in range(0, len(same), BLOCK):
+        hi = min(lo + BLOCK, len(same))
+        total = np.add.reduceat(rows[order[first[lo] : first[hi]]], first[lo:hi] - first[lo], axis=0, dtype=np.int64)
+        blocks.append(total.astype(np.int32) if np.abs(total).max() < 2**31 else total)
+    whole = np.concatenate(blocks)
+    return [whole[b] for b in np.split(place, np.cumsum([len(w) for w in words])[:-1])]
+
+
 def directions(sums: np.ndarray) -> np.ndarray:
     """Direction, not frequency, is the vector of a word."""
     norm = np.linalg.norm(sums.astype(np.float64), axis=1, keepdims=True)
@@ -113,49 +170,96 @@ def pool(u: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.concatenate([mean, np.sqrt(np.maximum(0, second / n - mean * mean)), [near / n, next_near / n, 1.0]])
 
 
-def pooled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunks: int | None = None) -> DataFrame:
-    """The rows of ``docs`` with ``_x``, the pooled vectors of their words, in a stored table.
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name`` with as many underscores as it takes to differ from all columns."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def pooled(
+    docs: DataFrame, text: str = "text", out: str = "_x", carry: list[str] | None = None, chunk: int = CHUNK, part: int = PART
+) -> DataFrame:
+    """The columns ``carry`` (None: all) of every row, and in ``out`` the pooled vectors of its words, in a stored table.
+
+    Every word of the table has a context vector of its own, from all places where it stands. A task cuts its
+    texts into chunks. A chunk is sent on as the numbers of its words, not as text, and sends the sums of its
+    words to parts of the hash space. A part adds up each word over all chunks and returns the totals in the
+    chunk's order; there they meet the numbers. Chunks grow in number with the text, parts too, so neither a
+    vocabulary nor a frequent word must fit into one task: a word sends one row a chunk, however often it stands
+    there. Only parts that hold a word of a chunk get a message, so there are no more messages than pairs of chunk and word.
 
-    Every word of the table has a context vector of its own, from all places where it stands. Texts are dealt
-    to chunks by hash. A chunk sends the sums of its words, cut into parts of the hash space; a part adds up
-    each word over all chunks and returns the totals in the chunk's order; there they meet the texts again.
-    Chunks and parts grow in number with the table, so neither a vocabulary nor a frequent word must fit into
-    one task: a word sends one row a chunk, however often it stands there. Only fully equal rows always share
-    a chunk.
+    Both uses of the chunks read one shuffle. A chunk's key holds a digest of its texts, so a recomputed task
+    that saw other rows than before would be noticed, not mixed in; ``docs`` is to be a table or what is read off one.
     """
-    n = chunks or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total_bytes(docs, text) // CHUNK))
-    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(F.lit(29), F.col(doc_id), F.col(text)), F.lit(n)).cast("int"))
-
-    def send(key: tuple, rows: pa.Table) -> pa.Table:
-        words = Words(rows.column(text).to_pylist())
-        sums, cuts = context_sums(words), words.cuts(n)
-        used = [i for i in range(n) if cuts[i] < cuts[i + 1]]
-        return pa.table({
-            "part": pa.array(used, pa.int32()), "to": pa.array([key[0].as_py()] * len(used), pa.int32()),
-            "words": pa.array([words.hashes[cuts[i] : cuts[i + 1]].astype("<u8").tobytes() for i in used], pa.binary()),
-            "sums": pa.array([packed(sums[cuts[i] : cuts[i + 1]]) for i in used], pa.binary()),
-        })
-
-    def add(rows: pa.Table) -> pa.Table:
-        words = [np.frombuffer(w, "<u8") for w in rows.column("words").to_pylist()]
-        sums = np.concatenate([unpacked(s) for s in rows.column("sums").to_pylist()])
-        same, place = np.unique(np.concatenate(words), return_inverse=True)
-        order = np.argsort(place, kind="stable")
-        total = np.add.reduceat(sums[order], np.searchsorted(place[order], np.arange(len(same))), axis=0)
-        back = np.split(place, np.cumsum([len(w) for w in words])[:-1])
-        return pa.table({"to": rows.column("to"), "part": rows.column("part"), "sums": pa.array([packed(total[b]) for b in back], pa.binary())})
-
-    def meet(rows: pa.Table, totals: pa.Table) -> pa.Table:
-        words = Words(rows.column(text).to_pylist())
-        parts = sorted(zip(totals.column("part").to_pylist(), totals.column("sums").to_pylist()))
-        vectors = np.concatenate([np.zeros((0, DIM), np.float32), *(directions(unpacked(s)) for _, s in parts)])
-        found = [pool(u, vectors).tolist() for u in words.texts]
-        return rows.drop_columns(["_chunk"]).append_column("_x", pa.array(found, pa.list_(pa.float64())))
-
-    sent = dealt.groupBy("_chunk").applyInArrow(send, "part int, to int, words binary, sums binary")
-    totals = sent.groupBy("part").applyInArrow(add, "to int, part int, sums binary")
-    out = dealt.groupBy("_chunk").cogroup(totals.groupBy("to")).applyInArrow(meet, StructType([*docs.schema.fields, StructField("_x", ArrayType(DoubleType()))]))
-    return stored(out, "pooled")
+    carry = docs.columns if carry is None else carry
+    parts = max(1, -(-total_bytes(docs, text) // part))
+    fields = [docs.schema[c] for c in carry]
+    source = docs.select(*carry, F.col(text).alias(free_name(docs, "_text")))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, rows, digest = Words(), [], xxhash.xxh64(seed=TaskContext.get().partitionId())
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            # Chunks have even keys, parts odd ones.
+            key = digest.intdigest() >> 2 << 1
+            hashes, seq, lengths = words.close()
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                for own in rows:
+                    writer.write_batch(own)
+            yield message(key, key, sink.getvalue().to_pybytes(), squeeze(seq, lengths))
+            sums, at = context_sums(hashes, seq, lengths), cuts(hashes, parts)
+            for i in range(parts):
+                if at[i] < at[i + 1]:
+                    yield message(2 * i + 1, key, steps(hashes[at[i] : at[i + 1]]), packed(sums[at[i] : at[i + 1]]))
+
+        for batch in batches:
+            texts, lo = batch.column(len(carry)), 0
+            for i in range(len(texts)):
+                body = texts[i].as_py()
+                words.add(body)
+                digest.update(b"\0" if body is None else b"\1" + body.encode("utf-8", "surrogatepass"))
+                if words.size >= chunk or len(words.seen) >= VOCABULARY:
+                    rows.append(batch.slice(lo, i + 1 - lo).select(range(len(carry))))
+                    yield from flush()
+                    words, rows, lo = Words(), [], i + 1
+            if lo < len(texts):
+                rows.append(batch.slice(lo).select(range(len(carry))))
+        if rows:
+            yield from flush()
+
+    def message(key: int, to: int, a: bytes, b: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([to], pa.int64()), pa.array([a], pa.binary()), pa.array([b], pa.binary())], ["key", "to", "a", "b"])
+
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        if not key[0].as_py() & 1:
+            return rows.select(["key", "to", "b"]).slice(0, 0)
+        words = [np.cumsum(expand(a, "<u8")[0], dtype=np.uint64) for a in rows.column("a").to_pylist()]
+        totals = summed(words, [unpacked(b) for b in rows.column("b").to_pylist()])
+        return pa.table({"key": rows.column("key"), "to": rows.column("to"), "b": pa.array(map(packed, totals), pa.binary())})
+
+    def meet(key: tuple, rows: pa.Table, totals: pa.Table) -> pa.Table:
+        if rows.num_rows and key[0].as_py() & 1:
+            return empty
+        if rows.num_rows != 1:
+            raise RuntimeError("a recomputed task saw other rows than before")
+        seq, lengths = expand(rows.column("b")[0].as_py(), "<i4", "<i4")
+        order = np.argsort(totals.column("key").to_numpy())
+        vectors = np.concatenate([np.zeros((0, DIM), np.float32), *(directions(unpacked(totals.column("b")[i].as_py())) for i in order.tolist())])
+        if len(seq) and seq.max() >= len(vectors):
+            raise RuntimeError("a recomputed task saw other rows than before")
+        found = [pool(u, vectors).astype(np.float32) for u in np.split(seq, np.cumsum(lengths)[:-1])]
+        own = pa.ipc.open_stream(rows.column("a")[0].as_py()).read_all()
+        values = pa.array(np.concatenate(found))
+        return own.append_column(out, pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * SIZE), values))
+
+    schema = StructType([*fields, StructField(out, ArrayType(FloatType()))])
+    empty = to_arrow_schema(schema).empty_table()
+    sent = source.mapInArrow(cut, "key long, to long, a binary, b binary").repartition("key")
+    totals = sent.groupBy("key").applyInArrow(add, "key long, to long, b binary")
+    return stored(sent.groupBy("key").cogroup(totals.groupBy("to")).applyInArrow(meet, schema), "pooled")
 
 
 class Network:
@@ -202,13 +306,13 @@ class Model:
         return lambda x: float(self.network.probability(np.array(x, np.float64)[None])[0])
 
 
-def fit(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> Model:
+def fit(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality", x: str = "_x") -> Model:
     """The network from at most 10,000 labelled rows of a pooled table outside the held-out fold.
 
     Every fifth of these rows is kept from training and sets the temperature. Without labelled rows of both
     kinds the network learns what there is; with none it answers one half.
     """
-    known = list(sample(rows, labels, label, None, LABELLED, doc_id, "_x").toLocalIterator())
+    known = list(sample(rows, labels, label, None, LABELLED, doc_id, x).toLocalIterator())
     x = np.array([r["_text"] for r in known], np.float64).reshape(len(known), SIZE)
     y = np.array([r["_label"] for r in known], np.float64)
     if not len(known):
@@ -222,7 +326,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, doc_id:
     Only the texts decide a score. A null text is scored as the empty one; repeated rows give repeated rows;
     an empty table gives none; other columns are not carried.
     """
-    rows = pooled(docs.select(doc_id, text), doc_id, text).drop(text)
+    rows = pooled(docs.select(doc_id, text), text, carry=[doc_id])
     return scored(rows, fit(rows, labels, doc_id).scorer, threshold, doc_id, "_x")
 
 
@@ -232,5 +336,6 @@ def _passes(threshold: float, score: float) -> bool:
 
 def of_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that are predicted of good quality, with all their columns."""
-    rows = pooled(docs, doc_id, text)
-    return kept(rows, fit(rows, labels, doc_id).scorer, partial(_passes, threshold), "_x").drop("_x")
+    x = free_name(docs, "_x")
+    rows = pooled(docs, text, x)
+    return kept(rows, fit(rows, labels, doc_id, x=x).scorer, partial(_passes, threshold), x).drop(x)
