@@ -20,8 +20,8 @@ from footfall.llm.common import stored, total_bytes
 
 #: Numbers of a word's vector; signed ones in its index vector; neighbours on either side, in words.
 DIM, ONES, WINDOW = 32, 4, 2
-#: A chunk of texts ends at so many characters or so many different words.
-CHUNK, VOCABULARY = 48 << 20, 400_000
+#: A chunk of texts ends at so many characters or so many different words; texts that travel along take half.
+CHUNK, VOCABULARY = 64 << 20, 1 << 20
 #: Bytes of text for each part of the hash space.
 PART = 32 << 20
 #: Bound of the training sample (a documented parameter); share of it that sets the temperature.
@@ -52,8 +52,10 @@ class Words:
         own = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in self.seen), np.uint64, len(self.seen))
         self.seen.clear()
         hashes, place = np.unique(own, return_inverse=True)
-        seq = place.astype(np.int32)[np.concatenate([np.zeros(0, np.int32), *self.found])]
-        return hashes, seq, np.array([len(f) for f in self.found], np.int32)
+        lengths = np.array([len(f) for f in self.found], np.int32)
+        seq = np.concatenate([np.zeros(0, np.int32), *self.found])
+        self.found.clear()
+        return hashes, place.astype(np.int32)[seq], lengths
 
 
 def cuts(hashes: np.ndarray, parts: int) -> list[int]:
@@ -128,6 +130,19 @@ def unpacked(data: bytes) -> np.ndarray:
     return out
 
 
+def ranked(seq: np.ndarray, words: int) -> bytes:
+    """A sequence of the numbers below ``words``: frequent ones are made small, so that they take few bits."""
+    often = np.bincount(seq, minlength=words).astype(np.int32)
+    rank = np.empty(words, np.int32)
+    rank[np.argsort(-often, kind="stable")] = np.arange(words, dtype=np.int32)
+    return squeeze(often, rank[seq])
+
+
+def unranked(data: bytes) -> np.ndarray:
+    often, seq = expand(data, "<i4", "<i4")
+    return np.argsort(-often, kind="stable").astype(np.int32)[seq]
+
+
 def steps(hashes: np.ndarray) -> bytes:
     """Sorted hashes by their differences."""
     return squeeze(np.diff(hashes, prepend=np.uint64(0)))
@@ -194,9 +209,11 @@ def pooled(
     that saw other rows than before would be noticed, not mixed in; ``docs`` is to be a table or what is read off one.
     """
     carry = docs.columns if carry is None else carry
-    parts = max(1, -(-total_bytes(docs, text) // part))
+    size = total_bytes(docs, text)
+    parts = max(1, -(-size // part))
     fields = [docs.schema[c] for c in carry]
-    source = docs.select(*carry, F.col(text).alias(free_name(docs, "_text")))
+    # Small pieces of the input are read together, to some three quarters of a chunk: a chunk then says each word once for more text.
+    source = docs.select(*carry, F.col(text).alias(free_name(docs, "_text"))).coalesce(max(1, 4 * size // (3 * chunk)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, rows, digest = Words(), [], xxhash.xxh64(seed=TaskContext.get().partitionId())
@@ -209,7 +226,7 @@ def pooled(
             with pa.ipc.new_stream(sink, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 for own in rows:
                     writer.write_batch(own)
-            yield message(key, key, sink.getvalue().to_pybytes(), squeeze(seq, lengths))
+            yield message(key, key, sink.getvalue().to_pybytes(), squeeze(lengths) + ranked(seq, len(hashes)))
             sums, at = context_sums(hashes, seq, lengths), cuts(hashes, parts)
             for i in range(parts):
                 if at[i] < at[i + 1]:
@@ -245,7 +262,8 @@ def pooled(
             return empty
         if rows.num_rows != 1:
             raise RuntimeError("a recomputed task saw other rows than before")
-        seq, lengths = expand(rows.column("b")[0].as_py(), "<i4", "<i4")
+        body = rows.column("b")[0].as_py()
+        seq, lengths = unranked(body[16 + int.from_bytes(body[8:16], "little") :]), expand(body, "<i4")[0]
         order = np.argsort(totals.column("key").to_numpy())
         vectors = np.concatenate([np.zeros((0, DIM), np.float32), *(directions(unpacked(totals.column("b")[i].as_py())) for i in order.tolist())])
         if len(seq) and seq.max() >= len(vectors):
@@ -337,5 +355,5 @@ def _passes(threshold: float, score: float) -> bool:
 def of_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that are predicted of good quality, with all their columns."""
     x = free_name(docs, "_x")
-    rows = pooled(docs, text, x)
+    rows = pooled(docs, text, x, chunk=CHUNK // 2)
     return kept(rows, fit(rows, labels, doc_id, x=x).scorer, partial(_passes, threshold), x).drop(x)

@@ -117,6 +117,26 @@ def test_packed_sums_keep_their_values():
     assert quality.unpacked(quality.packed(sums[:0])).shape == (0, 32)
 
 
+def test_numbers_of_words_come_back_and_messages_are_bounded():
+    """Sequences and hashes survive the message; a chunk writes to no more parts than it has words."""
+    rng = np.random.default_rng(2)
+    for seq in (np.zeros(0, np.int32), rng.zipf(1.3, 5000).clip(max=900).astype(np.int32), np.array([999], np.int32)):
+        assert (quality.unranked(quality.ranked(seq, 1000)) == seq).all()
+    for n in (0, 1, 50):
+        hashes = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        assert (np.cumsum(quality.expand(quality.steps(hashes), "<u8")[0], dtype=np.uint64) == hashes).all()
+        for parts in (1, 8, 10_000):
+            at = quality.cuts(hashes, parts)
+            assert sum(a < b for a, b in zip(at, at[1:])) <= len(hashes) and at[-1] == len(hashes)
+
+
+def test_sums_of_words_over_chunks():
+    words = [np.array([1, 5, 9], np.uint64), np.array([5], np.uint64), np.array([1, 9], np.uint64)]
+    sums = [np.full((3, 32), 2**31 - 1), np.full((1, 32), -7), np.array([[1] * 32, [0] * 32])]
+    totals = quality.summed(words, sums)
+    assert [t[:, 0].tolist() for t in totals] == [[2**31, 2**31 - 8, 2**31 - 1], [2**31 - 8], [2**31, 2**31 - 1]]
+
+
 def test_rare_marks_count():
     """A word in 20 of 2,000 toxic and in no other text has a standard score of 7.7: it is a feature and raises a score."""
     rng = np.random.default_rng(1)
