@@ -24,11 +24,15 @@ DIM, ONES, WINDOW = 32, 4, 2
 CHUNK, VOCABULARY = 64 << 20, 1 << 20
 #: Bytes of text for each part of the hash space.
 PART = 32 << 20
+#: More tasks than these do not help a shuffle.
+TASKS = 100_000
 #: Bound of the training sample (a documented parameter); share of it that sets the temperature.
 LABELLED, CALIBRATION = 10_000, 0.2
 HIDDEN, EPOCHS, RATE, DECAY = 32, 300, 0.01, 1e-3
 BLOCK = 1 << 16
 SIZE = 2 * DIM + 3
+#: Pooled numbers, between -1 and 1, are stored to the nearest multiple of this.
+GRID = 2.0**-14
 
 
 class Words:
@@ -213,7 +217,10 @@ def pooled(
     parts = max(1, -(-size // part))
     fields = [docs.schema[c] for c in carry]
     # Small pieces of the input are read together, to some three quarters of a chunk: a chunk then says each word once for more text.
-    source = docs.select(*carry, F.col(text).alias(free_name(docs, "_text"))).coalesce(max(1, 4 * size // (3 * chunk)))
+    pieces = max(1, 4 * size // (3 * chunk))
+    source = docs.select(*carry, F.col(text).alias(free_name(docs, "_text"))).coalesce(pieces)
+    # Tasks grow in number with the keys, chunks and parts.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2 * (pieces + parts), TASKS))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, rows, digest = Words(), [], xxhash.xxh64(seed=TaskContext.get().partitionId())
@@ -268,14 +275,14 @@ def pooled(
         vectors = np.concatenate([np.zeros((0, DIM), np.float32), *(directions(unpacked(totals.column("b")[i].as_py())) for i in order.tolist())])
         if len(seq) and seq.max() >= len(vectors):
             raise RuntimeError("a recomputed task saw other rows than before")
-        found = [pool(u, vectors).astype(np.float32) for u in np.split(seq, np.cumsum(lengths)[:-1])]
+        found = [pool(u, vectors) for u in np.split(seq, np.cumsum(lengths)[:-1])]
         own = pa.ipc.open_stream(rows.column("a")[0].as_py()).read_all()
-        values = pa.array(np.concatenate(found))
+        values = pa.array((np.rint(np.concatenate(found) / GRID) * GRID).astype(np.float32))
         return own.append_column(out, pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * SIZE), values))
 
     schema = StructType([*fields, StructField(out, ArrayType(FloatType()))])
     empty = to_arrow_schema(schema).empty_table()
-    sent = source.mapInArrow(cut, "key long, to long, a binary, b binary").repartition("key")
+    sent = source.mapInArrow(cut, "key long, to long, a binary, b binary").repartition(tasks, "key")
     totals = sent.groupBy("key").applyInArrow(add, "key long, to long, b binary")
     return stored(sent.groupBy("key").cogroup(totals.groupBy("to")).applyInArrow(meet, schema), "pooled")
 
