@@ -104,7 +104,7 @@ def test_every_word_has_a_vector_of_its_own(spark):
         if t:
             x = np.concatenate([v.mean(0), v.std(0), [(v[:-1] * v[1:]).sum() / len(t), (v[:-2] * v[2:]).sum() / len(t), 1]])
         want[i, text] = x
-    for chunk, part in ((1 << 20, 1 << 20), (300, 200), (1, 100)):
+    for chunk, part in ((1 << 20, 1 << 20), (300, 200), (40, 100)):
         out = quality.pooled(docs, chunk=chunk, part=part).collect()
         assert len(out) == len(rows)
         for r in out:
