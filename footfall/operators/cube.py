@@ -8,14 +8,20 @@ a plain hash aggregate, and the size of a set is the sum of ``bit_count`` over i
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions.columns import hour_of_day, with_default
 from footfall.operators.history import enrich
+from footfall.session import stored
 
 BLOCK = "block"
+#: Rows a task of a cube multiplies its own into, and the most that one value of a dimension is before its blocks are dealt out.
+TASK_ROWS, VALUE_ROWS = 1 << 20, 1 << 23
+#: More tasks than these do not help a shuffle.
+MOST_PARTS = 20_000
 
 TRAFFIC_SUMS = ["pv_cnt", "session_cnt", "time_long", "jumpout_cnt"]
 TRAFFIC_WIDE = ["hour_range", "start_page", "end_page"]
@@ -64,27 +70,45 @@ def bitmap_cube(
     ``grouping_id`` tells a grouped-away dimension from one whose value is null: bit i from the
     right is 1 when the i-th last dimension is grouped away.
 
-    A full cube with ``wide`` dimensions (those with many values) folds over them first and over the
-    others second: the second step multiplies rows that are already merged, not those of the base.
+    A full cube with ``wide`` dimensions (those with many values) takes these one after the other: rows are dealt by
+    the values of one, which decides all groupings that keep it within a task, and are folded over it for the next. So
+    a shuffle holds merged rows of the base, never their copies for every grouping.
     """
-    dims, sums = list(dims), list(sums)
-    # The block is part of every set, so words only ever meet words of the same id range.
-    if sets is None and wide and len(wide) < len(dims):
-        first = [d for d in dims if d in set(wide)]
-        rest = [d for d in dims if d not in set(wide)]
-        once = _fold(base, [BLOCK, *rest], first, cube_sets(first), sums, bitmaps, "_g1")
-        merged = _fold(once, [BLOCK, "_g1", *first], rest, cube_sets(rest), sums, bitmaps, "_g2")
-        gid = F.lit(0).cast("long")
-        for i, d in enumerate(dims):
-            part, own = (("_g1", first) if d in first else ("_g2", rest))
-            bit = F.shiftright(F.col(part), len(own) - 1 - own.index(d)).bitwiseAND(F.lit(1))
-            gid = gid + bit * (1 << (len(dims) - 1 - i))
-        merged = merged.withColumn("_gid", gid)
-    else:
-        merged = _fold(base, [BLOCK], dims, cube_sets(dims) if sets is None else sets, sums, bitmaps, "_gid")
-    counted = merged.select(
-        *dims, "_gid", *sums, *[F.bit_count(b).cast("long").alias(n) for b, n in bitmaps.items()]
-    )
+    dims, sums, names = list(dims), list(sums), dict(bitmaps)
+    wide = [d for d in dims if d in set(wide)] if sets is None else []
+    if not wide:
+        return _counted(_fold(base, [BLOCK], dims, cube_sets(dims) if sets is None else sets, sums, names, "_gid"), dims, sums, names)
+    place = {d: 1 << (len(dims) - 1 - i) for i, d in enumerate(dims)}
+    kinds = {d: base.schema[d].dataType for d in dims}
+    pieces, rest, gone = [], dims, 0
+    for d in wide:
+        others = [o for o in rest if o != d]
+        base = stored(base, "cube")
+        pieces += _keeping(base, d, others, {o: place[o] for o in others}, gone, sums, names)
+        base = base.groupBy(*others, BLOCK).agg(*_merged(sums, names))
+        rest, gone = others, gone | place[d]
+    # What is left has few values: a task says each cell once for all its blocks.
+    left = bitmap_cube(base, rest, sums, names)
+    gid = F.lit(gone).cast("long")
+    for i, d in enumerate(rest):
+        gid = gid + F.shiftright("grouping_id", len(rest) - 1 - i).bitwiseAND(F.lit(1)) * place[d]
+    left = left.withColumn("grouping_id", gid)
+
+    def whole(piece: DataFrame) -> DataFrame:
+        """A piece with all dimensions, those it has folded over as null."""
+        gone = {d: F.lit(None).cast(kinds[d]) for d in dims if d not in piece.columns}
+        return piece.withColumns(gone).select(*dims, "grouping_id", *sums, *names.values())
+
+    return reduce(DataFrame.unionByName, map(whole, [*pieces, left]))
+
+
+def _merged(sums: Iterable[str], bitmaps: Iterable[str]) -> list[Column]:
+    return [*[F.sum(c).alias(c) for c in sums], *[F.bit_or(b).alias(b) for b in bitmaps]]
+
+
+def _counted(merged: DataFrame, dims: list[str], sums: list[str], bitmaps: Mapping[str, str]) -> DataFrame:
+    """Cells from the merged words of all blocks."""
+    counted = merged.select(*dims, "_gid", *sums, *[F.bit_count(b).cast("long").alias(n) for b, n in bitmaps.items()])
     return (
         counted.groupBy(*dims, "_gid")
         .agg(*[F.sum(c).alias(c) for c in sums], *[F.sum(n).alias(n) for n in bitmaps.values()])
@@ -92,6 +116,39 @@ def bitmap_cube(
     )
 
 
+def _keeping(
+    base: DataFrame, dim: str, others: list[str], place: Mapping[str, int], gone: int, sums: list[str], bitmaps: Mapping[str, str]
+) -> list[DataFrame]:
+    """Cells of every grouping that keeps ``dim``, for any choice of ``others``; dimensions in ``gone`` are grouped away.
+
+    All rows of a value are in one task, so its cells need no second shuffle. A value with too many rows for one task is
+    dealt by its blocks, too, and what the tasks found of a cell is summed up.
+    """
+    masks = [gone + sum(place[o] for o in c) for n in range(len(others) + 1) for c in combinations(others, n)]
+    limit = max(1, VALUE_ROWS // len(masks))
+    parts = max(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTS, -(-base.count() * len(masks) // TASK_ROWS)))
+    # No more values than rows / limit.
+    crowded = stored(
+        base.groupBy(F.col(dim).alias("_value")).agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("_salts")).where(F.col("_salts") > 1), "crowded"
+    )
+    same = F.col(dim).eqNullSafe(F.col("_value"))
+    keys = [dim, *others, "_gid"]
+
+    def cells(rows: DataFrame, *more: str) -> DataFrame:
+        at = rows.select("*", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("_gid"))
+        away = {o: F.when(F.col("_gid").bitwiseAND(F.lit(place[o])) == 0, F.col(o)) for o in others}
+        merged = at.withColumns(away).groupBy(*keys, *more, BLOCK).agg(*_merged(sums, bitmaps))
+        counted = merged.select(*keys, *more, *sums, *[F.bit_count(b).cast("long").alias(n) for b, n in bitmaps.items()])
+        return counted.groupBy(*keys, *more).agg(*[F.sum(c).alias(c) for c in [*sums, *bitmaps.values()]])
+
+    found = [cells(base.join(F.broadcast(crowded), same, "left_anti").repartition(parts, dim))]
+    if not crowded.isEmpty():
+        salted = base.join(F.broadcast(crowded), same).withColumn("_salt", F.pmod(F.xxhash64(BLOCK), F.col("_salts"))).drop("_value", "_salts")
+        some = cells(salted.repartition(parts, dim, "_salt"), "_salt")
+        found.append(some.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in [*sums, *bitmaps.values()]]))
+    return [f.withColumnRenamed("_gid", "grouping_id") for f in found]
+
+
 def cube_slice(cube: DataFrame, dims: Sequence[str], keep: Iterable[str]) -> DataFrame:
     """Rows of a cube grouped by exactly the ``keep`` dimensions."""
     kept = set(keep)

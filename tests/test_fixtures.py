@@ -117,6 +117,27 @@ def test_cube_in_two_steps_equals_one(spark, rows):
     assert cube.cube_slice(two, ["a", "b", "c"], ["b"]).count() == 5
 
 
+def test_cube_shuffles_the_base_and_not_its_copies(spark, rows, monkeypatch):
+    frame = spark.range(4000).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") * 31 % 500).alias("id"), (F.col("id") % 3).alias("a"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("b"), (F.col("id") % 11).alias("c"), F.lit(1).alias("n"))
+    base = frame.groupBy("a", "b", "c", cube.id_block("id").alias("block")).agg(F.sum("n").alias("n"), cube.word_of("id").alias("w"))
+    order = ["a", "b", "c", "grouping_id", "n", "users"]
+    want = rows(cube.bitmap_cube(base, ["a", "b", "c"], ["n"], {"w": "users"}), *order)
+    got = cube.bitmap_cube(base, ["a", "b", "c"], ["n"], {"w": "users"}, wide=["b", "c"])
+    above, multiplied = [], 0
+    for line in got._jdf.queryExecution().executedPlan().toString().split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        above = [(d, name) for d, name in above if d < depth] + [(depth, line.lstrip(" :+-*(0123456789)"))]
+        if above[-1][1].startswith("Generate"):
+            multiplied += 1
+            assert not any(name.startswith("Exchange") for _, name in above)
+    assert multiplied == 2 and rows(got, *order) == want
+    # Values with more rows than a task takes are dealt by block, too.
+    monkeypatch.setattr(cube, "VALUE_ROWS", 40)
+    assert rows(cube.bitmap_cube(base, ["a", "b", "c"], ["n"], {"w": "users"}, wide=["b", "c"]), *order) == want
+
+
 def test_sketches(spark):
     ids = spark.range(100_000)
     row = sketch.compare_distinct(ids, "id").head()
