@@ -50,6 +50,41 @@ def test_samples_are_sent_as_often_as_batches_visit(spark, monkeypatch):
     assert sum(held for held, _ in sent) <= 2 * 3 * 100 and all(held > 0 for held, _ in sent[:1])
 
 
+def test_few_pairs_are_measured_and_copies_of_a_vector_once(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    samples = rng.normal(size=(3000, 24))
+    samples[::4] = samples[0]
+    points, ids = samples[:200], np.arange(3000)
+    dist = ((samples[None] - points[:, None]) ** 2).sum(axis=2)
+    dist[np.arange(200), np.arange(200)] = np.inf
+    want = dist.argsort(axis=1, kind="stable")[:, :3]
+    monkeypatch.setattr(neighbours, "SAMPLES", 500)
+    for scale in (1.0, 1e-9, 1e9, 1e20):
+        for bounds in (np.full(200, np.inf), scale**2 * np.take_along_axis(dist, want, 1)[:, 2]):
+            q, s, found = neighbours._closest(scale * samples, ids, scale * points, ids[:200], bounds, 3, True)
+            assert (s.reshape(200, 3) == want).all() and (q == np.repeat(np.arange(200), 3)).all()
+            assert np.allclose(found, scale**2 * np.take_along_axis(dist, want, 1).ravel(), rtol=1e-12)
+    # Vectors are stored once a query, not once for every block it visits.
+    stored, tables = neighbours.stored, {}
+
+    def kept(df, name):
+        tables.setdefault(name, []).append(out := stored(df, name))
+        return out
+
+    monkeypatch.setattr(neighbours, "stored", kept)
+    rows = spark.createDataFrame([(i, i % 3, v.tolist()) for i, v in enumerate(samples[:600])], "id long, label long, vec array<float>")
+    got = neighbours.nearest(rows, rows, 3, skip_same_id=True, block_rows=50)
+    single = samples[:600].astype("float32").astype("float64")
+    dist = ((single[None] - single[:, None]) ** 2).sum(axis=2)
+    dist[np.arange(600), np.arange(600)] = np.inf
+    order = dist.argsort(axis=1, kind="stable")[:, :3]
+    assert {(r["test_id"], r["rank"]): (r["train_id"], r["dist"]) for r in got.collect()} == {
+        (i, n + 1): (int(order[i, n]), dist[i, order[i, n]]) for i in range(600) for n in range(3)}
+    assert [t.count() for t in tables["visits"]] == [600, 600]
+
+
 def test_no_majority_no_row(spark):
     train = spark.createDataFrame([(1, "a", [0.0]), (2, "b", [1.0]), (3, "c", [2.0]), (4, "c", [2.5])], "id long, label string, vec array<double>")
     test = spark.createDataFrame([(10, [0.9]), (11, [2.2])], "id long, vec array<double>")
