@@ -166,23 +166,20 @@ def train(gram_counts: DataFrame, depth: int) -> DataFrame:
 
     A node is context << 8 | place in the byte's binary tree. Upwards, counts and the logarithms of what the
     children are worth are summed per parent; downwards, a node hands on what it has mixed so far and the
-    share that is left to its children. Each level is one grouping and one join.
+    share that is left to its children. Each level is one grouping and one join. The nodes of a gram have one
+    context: grams are dealt by it before they are split into nodes, and meet the nodes of a context as one map.
     """
-    bits = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("j")
-
-    def split(rows: DataFrame, *more: str) -> DataFrame:
-        byte = F.col("key").bitwiseAND(255)
-        at = rows.select("key", *more, byte.alias("byte"), bits)
-        place = F.expr("shiftleft(1L, j) | shiftright(byte, 8 - j)")
-        return at.select(
-            "key", *more, F.col("key").bitwiseAND(F.lit(-256)).bitwiseOR(place).alias("node"), F.expr("shiftright(byte, 7 - j) & 1").alias("bit")
-        )
-
-    leaves = split(gram_counts, "n").groupBy("node").agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("zeros"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("ones")
+    place = [F.expr(f"shiftleft(1L, {j}) | shiftright(byte, {8 - j})") for j in range(8)]
+    bit = [F.expr(f"shiftright(byte, {7 - j}) & 1") for j in range(8)]
+    context, byte = F.shiftright("key", 8).alias("context"), F.col("key").bitwiseAND(255).alias("byte")
+    dealt = gram_counts.select(context, byte, "n").repartition("context")
+    at = dealt.select("context", "n", F.explode(F.array(*[F.struct(p.alias("place"), b.alias("bit")) for p, b in zip(place, bit)])).alias("s"))
+    leaves = at.groupBy("context", F.col("s.place").alias("place")).agg(
+        F.sum(F.when(F.col("s.bit") == 0, F.col("n")).otherwise(0)).alias("zeros"), F.sum(F.when(F.col("s.bit") == 1, F.col("n")).otherwise(0)).alias("ones")
     )
+    # What follows from the counts is worked out again where it is needed: whole numbers take less room.
     kt = _kt(F.col("zeros"), F.col("ones"))
-    levels = {depth: stored(leaves.withColumn("kt", kt).withColumn("worth", F.col("kt")), "ctw")}
+    levels = {depth: stored(leaves.select(F.shiftleft("context", 8).bitwiseOR(F.col("place")).alias("node"), "zeros", "ones"), "ctw")}
 
     def parent(d: int) -> Column:
         """The node one byte of context up from depth ``d``: without its oldest byte."""
@@ -190,25 +187,27 @@ def train(gram_counts: DataFrame, depth: int) -> DataFrame:
 
     for d in range(depth, 0, -1):
         up = levels[d].groupBy(parent(d).alias("node")).agg(
-            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("worth").alias("below")
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum(kt if d == depth else "worth").alias("below")
         )
-        up = up.withColumn("kt", kt)
-        high, low = F.greatest("kt", "below"), F.least("kt", "below")
-        levels[d - 1] = stored(up.withColumn("worth", high + F.log1p(F.exp(low - high)) - LN2).drop("below"), "ctw")
+        high, low = F.greatest(kt, "below"), F.least(kt, "below")
+        levels[d - 1] = stored(up.select("node", "zeros", "ones", (high + F.log1p(F.exp(low - high)) - LN2).alias("worth")), "ctw")
 
     one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
-    share = F.exp(F.col("kt") - F.col("worth") - LN2)
+    share = F.exp(kt - F.col("worth") - LN2)
     down = levels[0].select("node", (share * one).alias("mixed"), (1 - share).alias("left"))
     for d in range(1, depth + 1):
-        own = levels[d].select(
-            "node", parent(d).alias("up"), one.alias("one"), (share if d < depth else F.lit(1.0)).alias("share")
-        )
         above = down.select(F.col("node").alias("up"), F.col("mixed").alias("m"), F.col("left").alias("l"))
-        down = own.join(above, "up").select(
-            "node", (F.col("m") + F.col("l") * F.col("share") * F.col("one")).alias("mixed"), (F.col("l") * (1 - F.col("share"))).alias("left")
+        own = share if d < depth else F.lit(1.0)
+        down = levels[d].join(above, parent(d) == F.col("up")).select(
+            "node", (F.col("m") + F.col("l") * own * one).alias("mixed"), (F.col("l") * (1 - own)).alias("left")
         )
-    step = F.log10(F.when(F.col("bit") == 1, F.col("mixed")).otherwise(1 - F.col("mixed")))
-    return split(gram_counts).join(down.select("node", "mixed"), "node").groupBy("key").agg(F.sum(step).alias("lp"))
+    # 255 nodes at most.
+    nodes = down.groupBy(F.shiftright("node", 8).alias("context")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("node").bitwiseAND(255).cast("int"), "mixed"))).alias("nodes")
+    )
+    steps = [F.element_at("nodes", p.cast("int")) for p in place]
+    lp = sum((F.log10(F.when(b == 1, m).otherwise(1 - m)) for b, m in zip(bit, steps)), F.lit(0.0))
+    return gram_counts.select("key", context, byte).join(nodes, "context").select("key", lp.alias("lp"))
 
 
 def score(docs: DataFrame, depth: int = DEPTH, doc_id: str = "doc_id", text: str = "text", folds: int = 10, fold: int = 0) -> DataFrame:

@@ -79,6 +79,27 @@ def weighted(docs, depth):
     return found
 
 
+def test_ctw_deals_grams_and_stores_counts(spark, monkeypatch):
+    """Grams are split into nodes behind the shuffle, not before, and what follows from counts is not stored."""
+    stored, tables = ctw.stored, []
+
+    def kept(df, name):
+        if name == "ctw":
+            tables.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(ctw, "stored", kept)
+    grams = spark.createDataFrame([(97 << 8 | 98, 3), (97 << 8 | 99, 1), (98 << 8 | 97, 0)], "key long, n long")
+    out = ctw.train(grams, 1)
+    lines = tables[0][1].split("\n")
+    where = [i for i, line in enumerate(lines) if "Generate" in line]
+    assert where and not any("Exchange" in line for line in lines[: where[0]])
+    assert tables[0][0] == ["node", "zeros", "ones"] and "kt" not in tables[1][0]
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    lp = {r["key"]: r["lp"] for r in out.collect()}
+    assert lp[97 << 8 | 98] > lp[97 << 8 | 99] and len(lp) == 3
+
+
 def test_ctw_is_the_weighted_mixture(spark):
     docs = [(i, f"The cat sat on mat {i % 3} and the dog ran {'far ' * (i % 4)}") for i in range(30)] + [(99, None), (100, "unseen words ÄÖ")]
     out = {r["doc_id"]: r for r in ctw.score(spark.createDataFrame(docs, "doc_id long, text string"), depth=2).collect()}
