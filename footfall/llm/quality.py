@@ -20,8 +20,9 @@ from footfall.llm.common import stored, total_bytes
 
 #: Numbers of a word's vector; signed ones in its index vector; neighbours on either side, in words.
 DIM, ONES, WINDOW = 32, 4, 2
-#: A chunk of texts ends at so many characters or so many different words; texts that travel along take half.
+#: A chunk of texts ends at so many characters or so many different words; where texts travel along it is a quarter.
 CHUNK, VOCABULARY = 64 << 20, 1 << 20
+CARRIED = CHUNK // 4
 #: Bytes of text for each part of the hash space.
 PART = 32 << 20
 #: More tasks than these do not help a shuffle.
@@ -362,5 +363,5 @@ def _passes(threshold: float, score: float) -> bool:
 def of_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that are predicted of good quality, with all their columns."""
     x = free_name(docs, "_x")
-    rows = pooled(docs, text, x, chunk=CHUNK // 2)
+    rows = pooled(docs, text, x, chunk=CARRIED)
     return kept(rows, fit(rows, labels, doc_id, x=x).scorer, partial(_passes, threshold), x).drop(x)

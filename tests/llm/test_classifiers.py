@@ -153,3 +153,17 @@ def test_toxic_recall_and_clean_flagged(spark, labels):
     hit = [r["predicted"] for r in rows if r["toxic"] == 1]
     wrong = [r["predicted"] for r in rows if r["toxic"] == 0]
     assert sum(hit) >= 0.75 * len(hit) and sum(wrong) <= 0.01 * len(wrong)
+
+
+def test_texts_that_travel_along_are_cut_into_small_chunks(spark, monkeypatch):
+    pooled, chunks = quality.pooled, []
+
+    def seen(docs, *args, chunk=quality.CHUNK, **options):
+        chunks.append(chunk)
+        return pooled(docs, *args, chunk=chunk, **options)
+
+    monkeypatch.setattr(quality, "pooled", seen)
+    docs = spark.createDataFrame([(i, "one two three") for i in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    quality.of_quality(docs, labels)
+    assert len(chunks) == 1 and chunks[0] <= quality.CHUNK // 4
