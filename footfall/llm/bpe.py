@@ -6,13 +6,12 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.common import text_rows
+from footfall.llm.common import remembered, text_rows
 
 #: Bounds of what a worker remembers; beyond them it forgets what is old, which changes speed only.
 STATES = 400_000
@@ -248,10 +247,9 @@ class Codec:
             yield b"".join(map(token, ids[lo : lo + STEP]))
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
-    """One codec per worker process."""
-    return Codec(path, pattern)
+    """One codec per worker process, while it encodes."""
+    return remembered((Codec, path, pattern), lambda: Codec(path, pattern))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

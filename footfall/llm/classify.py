@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.common import held_out, text_rows
+from footfall.llm.common import forget, held_out, text_rows
 
 FOLDS, FOLD = 4, 2
 #: A cut leaves its rows in one partition; work on them spreads over so many.
@@ -68,6 +68,7 @@ def scored(docs: DataFrame, score: Callable[[], Callable[[str], float]], thresho
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own = score()
         for batch in batches:
             found = np.array([own(t) for _, t in text_rows(batch, "_text")], np.float64)
@@ -83,6 +84,7 @@ def kept(docs: DataFrame, score: Callable[[], Callable[[str], float]], keep: Cal
     """The rows of ``docs``, all columns as they are, whose score passes ``keep``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own = score()
         for batch in batches:
             yield batch.filter(pa.array([keep(own(t)) for _, t in text_rows(batch, text)], pa.bool_()))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -14,6 +15,24 @@ from footfall.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: What a Python worker remembers from task to task.
+_remembered: dict[Hashable, Any] = {}
+
+
+def remembered(what: Hashable, make: Callable[[], Any]) -> Any:
+    """The same object in every task of a worker process; of several only the one asked for last is kept."""
+    if what not in _remembered:
+        forget()
+        _remembered[what] = make()
+    return _remembered[what]
+
+
+def forget() -> None:
+    """Drop it. Spark hands a worker from stage to stage, and what one has learned is room another lacks."""
+    _remembered.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -25,6 +44,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the stored tables that ``df`` reads, once nothing reads it or them any more."""
+    spark = df.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "any")).getParent().toUri().getPath().rstrip("/")
+    for name in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+        if folder.toUri().getPath().startswith(root + "/"):
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def words(text: str | None) -> list[bytes]:
     """Words of a text with A-Z in lower case."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from footfall.llm.bpe import CHUNKS, LONGEST_CHUNK, chunks
-from footfall.llm.common import stored, total_bytes
+from footfall.llm.common import forget, remembered, stored, total_bytes
 
 #: Ids after which a block is closed, at the end of a document, and ids between two checkpoints in it.
 BLOCK_IDS = 1 << 16
@@ -187,9 +186,9 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    """One encoder per worker process, while it encodes."""
+    return remembered((Encoder, path), lambda: Encoder(path))
 
 
 def _encode_ranges(path: str, end: int, name: str):

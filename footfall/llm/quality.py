@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 from itertools import count
 
@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from footfall.llm.classify import Adam, kept, sample, scored, sigmoid
-from footfall.llm.common import stored, total_bytes
+from footfall.llm.common import forget, stored, total_bytes
 
 #: Numbers of a word's vector; signed ones in its index vector; neighbours on either side, in words.
 DIM, ONES, WINDOW = 32, 4, 2
@@ -153,18 +153,17 @@ def steps(hashes: np.ndarray) -> bytes:
     return squeeze(np.diff(hashes, prepend=np.uint64(0)))
 
 
-def summed(words: list[np.ndarray], sums: list[np.ndarray]) -> list[np.ndarray]:
-    """For each list of words the sums of its words over all lists."""
-    same, place = np.unique(np.concatenate(words), return_inverse=True)
-    order, rows = np.argsort(place, kind="stable"), np.concatenate(sums)
-    first = np.searchsorted(place[order], np.arange(len(same) + 1))
-    blocks = []
-    for lo in range(0, len(same), BLOCK):
-        hi = min(lo + BLOCK, len(same))
-        total = np.add.reduceat(rows[order[first[lo] : first[hi]]], first[lo:hi] - first[lo], axis=0, dtype=np.int64)
-        blocks.append(total.astype(np.int32) if np.abs(total).max() < 2**31 else total)
-    whole = np.concatenate(blocks)
-    return [whole[b] for b in np.split(place, np.cumsum([len(w) for w in words])[:-1])]
+def summed(words: list[np.ndarray], sums: Iterable[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each list of words, which has a word once, the sums of its words over all lists.
+
+    Only the totals are held: lists are added and given back one at a time.
+    """
+    same = np.unique(np.concatenate(words))
+    total = np.zeros((len(same), DIM), np.int64)
+    for own, rows in zip(words, sums, strict=True):
+        total[np.searchsorted(same, own)] += rows
+    for own in words:
+        yield total[np.searchsorted(same, own)]
 
 
 def directions(sums: np.ndarray) -> np.ndarray:
@@ -224,6 +223,7 @@ def pooled(
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2 * (pieces + parts), TASKS))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         words, rows, digest = Words(), [], xxhash.xxh64(seed=TaskContext.get().partitionId())
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -261,8 +261,9 @@ def pooled(
     def add(key: tuple, rows: pa.Table) -> pa.Table:
         if not key[0].as_py() & 1:
             return rows.select(["key", "to", "b"]).slice(0, 0)
-        words = [np.cumsum(expand(a, "<u8")[0], dtype=np.uint64) for a in rows.column("a").to_pylist()]
-        totals = summed(words, [unpacked(b) for b in rows.column("b").to_pylist()])
+        forget()
+        words = [np.cumsum(expand(a.as_py(), "<u8")[0], dtype=np.uint64) for a in rows.column("a")]
+        totals = summed(words, (unpacked(b.as_py()) for b in rows.column("b")))
         return pa.table({"key": rows.column("key"), "to": rows.column("to"), "b": pa.array(map(packed, totals), pa.binary())})
 
     def meet(key: tuple, rows: pa.Table, totals: pa.Table) -> pa.Table:
@@ -270,11 +271,18 @@ def pooled(
             return empty
         if rows.num_rows != 1:
             raise RuntimeError("a recomputed task saw other rows than before")
+        forget()
         body = rows.column("b")[0].as_py()
         seq, lengths = unranked(body[16 + int.from_bytes(body[8:16], "little") :]), expand(body, "<i4")[0]
         order = np.argsort(totals.column("key").to_numpy())
-        vectors = np.concatenate([np.zeros((0, DIM), np.float32), *(directions(unpacked(totals.column("b")[i].as_py())) for i in order.tolist())])
-        if len(seq) and seq.max() >= len(vectors):
+        vectors, filled = np.empty((seq.max(initial=-1) + 1, DIM), np.float32), 0
+        for i in order.tolist():
+            own = directions(unpacked(totals.column("b")[i].as_py()))
+            if filled + len(own) > len(vectors):
+                raise RuntimeError("a recomputed task saw other rows than before")
+            vectors[filled : filled + len(own)] = own
+            filled += len(own)
+        if filled < len(vectors):
             raise RuntimeError("a recomputed task saw other rows than before")
         found = [pool(u, vectors) for u in np.split(seq, np.cumsum(lengths)[:-1])]
         own = pa.ipc.open_stream(rows.column("a")[0].as_py()).read_all()

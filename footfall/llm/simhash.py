@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.common import stored, text_rows, words
+from footfall.llm.common import forget, stored, text_rows, words
 from footfall.llm.components import components
 
 #: Shingles whose bits are unpacked at once.
@@ -44,6 +44,7 @@ def fingerprints(docs: DataFrame, shingle: int, seed: int, doc_id: str = "doc_id
     """(doc_id, fp): the fingerprint of every whole text as a signed 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = [fingerprint(words(t), shingle, seed) for _, t in text_rows(batch, "_text")]
             fps = pa.array(np.array(found, np.uint64).view(np.int64))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.llm.classify import FOLD, FOLDS, Adam, kept, pick, sample, scored, sigmoid
-from footfall.llm.common import held_out, text_rows, words
+from footfall.llm.common import forget, held_out, text_rows, words
 
 #: Hashed feature space; beginnings of words that are features beside the word itself.
 SPACE = 1 << 20
@@ -36,6 +36,7 @@ def features(word: bytes) -> list[int]:
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         found = [[f for w in set(words(t)) for f in features(w)] for _, t in text_rows(batch, "_text")]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["f"])

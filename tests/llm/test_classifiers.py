@@ -1,16 +1,20 @@
 """Classifiers by held-out accuracy, the pipeline by what its stages may keep."""
 
+import gc
 import math
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from footfall.llm import quality, toxicity
+from footfall.llm import bpe, quality, toxicity
 from footfall.llm.common import stored
 
 SF = "/root/testdata/sf0.1"
@@ -167,3 +171,33 @@ def test_texts_that_travel_along_are_cut_into_small_chunks(spark, monkeypatch):
     labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
     quality.of_quality(docs, labels)
     assert len(chunks) == 1 and chunks[0] <= quality.CHUNK // 4
+
+
+def test_workers_let_go_of_what_other_stages_learned():
+    """A worker that encoded has no codec left when it prepares texts for a classifier."""
+    own = weakref.ref(bpe.codec(corpus_pipeline.RANKS, public_tokenizers.PATTERN))
+    assert bpe.codec(corpus_pipeline.RANKS, public_tokenizers.PATTERN) is own()
+    batch = pa.RecordBatch.from_pydict({"_text": ["one two"]})
+    assert sum(b.num_rows for b in toxicity._vectors(iter([batch]))) == 1
+    gc.collect()
+    assert own() is None
+
+
+def test_sums_are_held_one_list_at_a_time():
+    """Lists of sums are read one by one, and totals given back one by one."""
+    words, alive, most = [np.array([1, 5], np.uint64)] * 9, [], []
+
+    class Rows(np.ndarray):
+        pass
+
+    def lists():
+        for i in range(9):
+            rows = np.full((2, 32), i).view(Rows)
+            alive.append(weakref.ref(rows))
+            most.append(sum(r() is not None for r in alive))
+            yield rows
+            del rows
+
+    totals = quality.summed(words, lists())
+    assert [t[:, 0].tolist() for t in totals] == [[36, 36]] * 9
+    assert max(most) <= 2
