@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.llm.common import held_out, stored, total_bytes, words
+from footfall.llm.common import discard, forget, held_out, stored, total_bytes, words
 
 #: Bytes of context; context and byte fit into a positive 64-bit number up to 6.
 DEPTH = 5
@@ -57,14 +57,17 @@ def word_keys(tokens: list[bytes]) -> np.ndarray:
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and how often each occurs, or the sum of its counts."""
+    """Distinct keys in order, and how often each occurs, or the sum of its counts; empties the lists."""
     key = np.concatenate([*keys, np.zeros(0, np.int64)])
+    keys.clear()
     if counts is None:
         key.sort()
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         return key[first], np.diff(np.append(first, len(key)))
+    n = np.concatenate([*counts, np.zeros(0, np.int64)])
+    counts.clear()
     order = np.argsort(key)
-    key, n = key[order], np.concatenate([*counts, np.zeros(0, np.int64)])[order]
+    key, n = key[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     return key[first], np.add.reduceat(n, first) if len(key) else n
 
@@ -73,29 +76,32 @@ class Lookup:
     """Values by key for keys that are all there: open addressing, in numpy."""
 
     def __init__(self, key: np.ndarray, value: np.ndarray) -> None:
-        bits = max(4, (4 * len(key)).bit_length())
+        bits = max(4, (2 * len(key)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.key, self.value = np.zeros(1 << bits, np.int64), np.zeros(1 << bits)
-        taken = np.zeros(1 << bits, bool)
-        todo, at = np.arange(len(key)), self._slot(key)
-        while len(todo):
-            # The last of those that want a free slot gets it; the others go one on.
-            free = ~taken[at]
-            self.key[at[free]], self.value[at[free]] = key[todo[free]], value[todo[free]]
-            taken[at] = True
-            left = self.key[at] != key[todo]
-            todo, at = todo[left], (at[left] + 1) & self.mask
+        # A slot holds a place in the arrays, which stay as they are; a free one the last place, as good as any.
+        self.key, self.value, self.place = key, value, np.full(1 << bits, -1, np.int32)
+        for lo in range(0, len(key), BLOCK):
+            todo = np.arange(lo, min(lo + BLOCK, len(key)), dtype=np.int32)
+            at = self._slot(key[todo])
+            while len(todo):
+                # One of those that want a free slot gets it; the others go one on.
+                free = self.place[at] < 0
+                self.place[at[free]] = todo[free]
+                left = self.place[at] != todo
+                todo, at = todo[left], (at[left] + 1) & self.mask
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def __call__(self, key: np.ndarray) -> np.ndarray:
         at = self._slot(key)
-        far = np.flatnonzero(self.key[at] != key)
+        place = self.place[at]
+        far = np.flatnonzero(self.key[place] != key)
         while len(far):
             at[far] = (at[far] + 1) & self.mask
-            far = far[self.key[at[far]] != key[far]]
-        return self.value[at]
+            place[far] = self.place[at[far]]
+            far = far[self.key[place[far]] != key[far]]
+        return self.value[place]
 
 
 def _log_gamma(x: Column) -> Column:
@@ -123,6 +129,7 @@ def counts(docs: DataFrame, depth: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         keys, sums, size = [], [], 0
         open_: dict[bool, list] = {False: [], True: []}
         pending = {False: 0, True: 0}
@@ -137,8 +144,6 @@ def counts(docs: DataFrame, depth: int) -> DataFrame:
             for held in (False, True):
                 fold(held)
             key, n = _summed(keys, sums)
-            keys.clear()
-            sums.clear()
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
 
         for batch in batches:
@@ -232,10 +237,13 @@ def score(docs: DataFrame, depth: int = DEPTH, doc_id: str = "doc_id", text: str
     answers = stored(
         lps.select("key", F.col("lp").alias("value")).unionByName(found.where(is_word).select("key", F.col("n").cast("double").alias("value"))), "model"
     )
+    # The answers are all that is read from here on.
+    discard(lps)
     parts = max(chunks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(parts, "chunk")
 
     def ask(table: pa.Table) -> pa.Table:
+        forget()
         parts, some, size = [], [], 0
         for t in table.column("text"):
             tokens = words(t.as_py())
@@ -246,11 +254,12 @@ def score(docs: DataFrame, depth: int = DEPTH, doc_id: str = "doc_id", text: str
             if size >= BLOCK:
                 parts.append(_summed(some)[0])
                 some, size = [], 0
-        key = _summed([*parts, *some])[0]
+        key = _summed(parts + some)[0]
         chunk = table.column("chunk")[0].as_py()
         return pa.table({"chunk": pa.array(np.full(len(key), chunk, np.int32)), "key": pa.array(key)})
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        forget()
         if not left.num_rows:
             return out_schema.empty_table()
         told = Lookup(right.column("key").to_numpy(), right.column("value").to_numpy())

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -308,3 +309,34 @@ def test_mix_of_unequal_odds(docs, edge):
         got[r["source"]] += r["taken"]
         want[r["source"]] = r["target"]
     assert all(abs(got[s] - want[s]) <= max(r["size"] for r in out if r["source"] == s) / 2 + 1e-6 for s in want)
+
+
+def test_lookup_takes_little_room_beside_its_keys():
+    """Keys and values are not copied into slots; crowded slots and equal slots are still told apart."""
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 3, 1000, 300_000):
+        key = rng.permutation(np.unique(np.concatenate([rng.integers(-(1 << 63), 1 << 63, n), np.arange(n) << 50, [0] * (n > 0)])))
+        value = rng.random(len(key))
+        told = ctw.Lookup(key, value)
+        some = rng.integers(0, max(1, len(key)), 1000 if len(key) else 0)
+        assert (told(key[some]) == value[some]).all() and (told(key) == value).all()
+        own = sum(a.nbytes for a in vars(told).values() if isinstance(a, np.ndarray) and a is not key and a is not value)
+        assert own <= max(64, 16 * len(key))
+
+
+def test_scratch_tables_go_when_nothing_reads_them(spark, docs, tmp_path):
+    """Of a scoring the model is left, not what it was made from; tables outside the scratch folder are left alone."""
+    from footfall.llm.common import discard, stored
+
+    kept = str(tmp_path / "kept")
+    spark.range(5).write.parquet(kept)
+    own = stored(spark.range(5), "own")
+    discard(own.unionByName(spark.read.parquet(kept)))
+    assert spark.read.parquet(kept).count() == 5
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        own.collect()
+    root = scratch_path(spark, "x").rpartition("/")[0].removeprefix("file:")
+    before = set(os.listdir(root))
+    out = ctw.score(docs)
+    assert {name.rpartition("-")[0] for name in set(os.listdir(root)) - before if "-" in name} == {"model"}
+    assert out.count() == docs.count()
