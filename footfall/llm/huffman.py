@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
-from itertools import chain
+import json
+from codecs import charmap_decode
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from footfall.llm.bpe import CHUNKS, LONGEST_CHUNK, chunks
-from footfall.llm.common import forget, remembered, stored, total_bytes
+from footfall.llm.common import remembered, stored, total_bytes
+from footfall.llm.pieces import SLICE, Cutter, Memory, blobs, slices
 
 #: Ids after which a block is closed, at the end of a document, and ids between two checkpoints in it.
 BLOCK_IDS = 1 << 16
@@ -21,8 +22,8 @@ LIMIT = 18
 WIDEST = 24
 #: Bytes of text per range of documents.
 RANGE_BYTES = 16 << 20
-#: Chunks the library encodes as one text.
-TOGETHER = 1000
+#: Ids that are read at once, or one block.
+TOGETHER = 1 << 21
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -100,34 +101,43 @@ def table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 def unpack(blocks: list[tuple[bytes, np.ndarray, int]], symbol: np.ndarray, size: np.ndarray, width: int) -> list[np.ndarray]:
     """Ids of each block (bits, checkpoints, number of ids); all lanes of all blocks step together."""
-    base, joined, lanes, left = 0, [], [], []
-    for bits, marks, n in blocks:
+    base, joined, lanes = 0, [], []
+    for bits, marks, _ in blocks:
         lanes.append(marks.astype(np.int64) + base * 8)
-        left.append(np.minimum(LANE, n - np.arange(len(marks)) * LANE))
         joined.append(bits)
         base += len(bits)
-    data = np.frombuffer(b"".join(joined) + b"\0" * 8, np.uint8).astype(np.uint64)
-    window = (data[:-3] << np.uint64(24)) | (data[1:-2] << np.uint64(16)) | (data[2:-1] << np.uint64(8)) | data[3:]
+    data = np.frombuffer(b"".join(joined) + b"\0" * 8, np.uint8)
+    window = data[:-3].astype(np.uint32)
+    for i in (1, 2, 3):
+        window <<= 8
+        window |= data[i : len(data) - 3 + i]
     at = np.concatenate(lanes) if lanes else np.zeros(0, np.int64)
-    out = np.zeros((len(at), LANE), np.uint32)
-    mask, down = np.uint64(0xFFFFFFFF), np.uint64(32 - width)
-    last = len(window) - 1
+    # Id and length in one number: one look-up a step.
+    kind = np.uint32 if int(symbol.max(initial=0)) < 1 << 27 else np.uint64
+    entry = symbol.astype(kind) << kind(5) | size.astype(kind)
+    out = np.zeros((LANE, len(at)), kind)
+    down = np.uint32(32 - width)
     for step in range(LANE if len(at) else 0):
-        value = ((window[np.minimum(at >> 3, last)] << (at & 7).astype(np.uint64)) & mask) >> down
-        out[:, step] = symbol[value]
-        at = at + size[value]
-    found, lane = [], 0
-    for (_, marks, n), _ in zip(blocks, left):
-        found.append(out[lane : lane + len(marks)].reshape(-1)[:n])
+        value = window.take(at >> 3, mode="clip")
+        value <<= (at & 7).astype(np.uint32)
+        value >>= down
+        found = entry.take(value)
+        out[step] = found
+        at += (found & kind(31)).astype(np.int64)
+    out >>= kind(5)
+    whole = np.ascontiguousarray(out.T, np.uint32)
+    parts, lane = [], 0
+    for _, marks, n in blocks:
+        parts.append(whole[lane : lane + len(marks)].reshape(-1)[:n])
         lane += len(marks)
-    return found
+    return parts
 
 
 class Encoder:
-    """The tokenizers library with a bounded memory for frequent chunks of text.
+    """The tokenizers library, asked once for each different piece of text that a worker remembers.
 
-    Chunks without white space, each after its space, are encoded together: no match of the pattern crosses a
-    space, so a token that begins with one begins a chunk.
+    A byte-level BPE tokenizer cuts texts into pieces by one pattern and merges within them; its own pre-tokenizer
+    and model are used. Any other tokenizer encodes whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -138,52 +148,39 @@ class Encoder:
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
-        # A space is spelled with this letter in the vocabulary.
-        self.opens = np.zeros(self.lib.get_vocab_size(), bool)
-        self.opens[[i for token, i in self.lib.get_vocab().items() if token.startswith("Ġ")]] = True
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
-
-    def _many(self, found: list[str]) -> list[list[int]]:
-        """Ids of each chunk after a space."""
-        ids: list[int] = []
-        for lo in range(0, len(found), TOGETHER):
-            ids += self.lib.encode(" " + " ".join(found[lo : lo + TOGETHER]), add_special_tokens=False).ids
-        cuts = np.flatnonzero(self.opens[ids]).tolist() if ids else []
-        if len(cuts) != len(found):
-            raise ValueError("a chunk does not begin with a space of its own")
-        return [ids[a:b] for a, b in zip(cuts, [*cuts[1:], len(ids)])]
+        self.memory = None
+        with open(path, encoding="utf-8") as spec:
+            if self._byte_level(json.load(spec)):
+                self.memory = Memory(Cutter(self.lib.pre_tokenizer.pre_tokenize_str), self._piece(self.lib.model.tokenize))
+
+    @staticmethod
+    def _byte_level(spec: dict) -> bool:
+        cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        return (
+            (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex", True)) == ("ByteLevel", False, True)
+            and (model.get("type"), model.get("dropout")) == ("BPE", None)
+            and not any(spec.get(k) for k in ("normalizer", "truncation", "padding"))
+            and all(t["special"] for t in spec.get("added_tokens") or [])
+        )
+
+    @staticmethod
+    def _piece(tokenize: Callable[[str], list]) -> Callable[[bytes], list[int]]:
+        """Encoder of one piece; the vocabulary spells bytes that are no visible Latin-1 as letters from U+0100 on."""
+        seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        odd = [b for b in range(256) if b not in seen]
+        letters = "".join(chr(b if b in seen else 0x100 + odd.index(b)) for b in range(256))
+        return lambda piece: [t.id for t in tokenize(charmap_decode(piece, "strict", letters)[0])]
+
+    def flat(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, ``end`` after each, and how many are each text's."""
+        if self.memory is not None:
+            return self.memory.encode(texts, [end])
+        found = [[*e.ids, end] for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        if len(self.known) >= CHUNKS:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        heads, tails, plain, odd = [], [], {}, {}
-        for text in texts:
-            first, *rest = chunks(text)
-            heads.append(first)
-            tails.append(rest)
-            for c in rest:
-                if c not in known and c not in plain:
-                    ids = older.get(c)
-                    if ids is not None:
-                        known[c] = ids
-                    else:
-                        (plain if c.split() == [c] else odd)[c] = None
-        spaced = [e.ids for e in self.lib.encode_batch([" " + c for c in odd], add_special_tokens=False)] if odd else []
-        fresh = chain(zip(odd, spaced), zip(plain, self._many(list(plain))))
-        rare = {}
-        for c, ids in fresh:
-            (known if len(c) <= LONGEST_CHUNK else rare)[c] = ids
-        out = []
-        for first, rest, e in zip(heads, tails, self.lib.encode_batch(heads, add_special_tokens=False)):
-            whole = list(e.ids)
-            for c in rest:
-                ids = known.get(c)
-                whole += rare[c] if ids is None else ids
-            whole.append(end)
-            out.append(np.array(whole, np.uint32))
-        return out
+        ids, sizes = self.flat(texts, end)
+        return np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
 
 
 def encoder(path: str) -> Encoder:
@@ -191,32 +188,44 @@ def encoder(path: str) -> Encoder:
     return remembered((Encoder, path), lambda: Encoder(path))
 
 
-def _encode_ranges(path: str, end: int, name: str):
+def _encode_ranges(path: str, end: int):
+    """Rows of one range with their ids, and one row more that has only ``seen``: how often each id occurs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, start = encoder(path), 0
+        own, start, total = encoder(path), 0, np.zeros(0, np.int64)
+        names = ["part", "local", "doc_id", "n_tokens", "ids", "seen"]
+        kind = None
         for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                part = batch.slice(lo, 200)
-                found = own.encode([t or "" for t in part.column(2).to_pylist()], end)
-                sizes = np.array([len(x) for x in found], np.int64)
+            kind = batch.schema.field(1).type
+            length = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+            for lo, hi in slices(length, SLICE):
+                part = batch.slice(lo, hi - lo)
+                ids, sizes = own.flat([t or "" for t in part.column(2).to_pylist()], end)
+                total = added(total, np.bincount(ids))
                 starts = start + np.cumsum(sizes) - sizes
                 start += int(sizes.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(starts), part.column(1), pa.array(sizes), pa.array([x.astype("<u4").tobytes() for x in found], pa.binary())],
-                    ["part", "local", "doc_id", "n_tokens", "ids"],
-                )
+                rows = [part.column(0), pa.array(starts), part.column(1), pa.array(sizes), blobs(ids, sizes), pa.nulls(len(sizes), pa.binary())]
+                yield pa.RecordBatch.from_arrays(rows, names)
+        if kind is not None:
+            nulls = [pa.nulls(1, t) for t in (pa.int32(), pa.int64(), kind, pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*nulls, pa.array([total.astype("<i8").tobytes()], pa.binary())], names)
 
     return run
 
 
+def added(total: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Sum of two arrays of counts, of which one may be shorter."""
+    if len(seen) > len(total):
+        seen, total = total, seen.astype(np.int64)
+    total[: len(seen)] += seen
+    return total
+
+
 def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
         for blob in batch.column(0):
-            seen = np.bincount(np.frombuffer(blob.as_py(), "<u4"))
-            if len(seen) > len(total):
-                seen, total = total, seen
-            total[: len(seen)] += seen
+            total = added(total, np.frombuffer(blob.as_py(), "<i8"))
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
@@ -242,11 +251,13 @@ def write_ids(
         .select(F.spark_partition_id().alias("part"), "doc_id", "_text")
     )
     kind = dict(slim.dtypes)["doc_id"]
-    rows = stored(
-        ranged.mapInArrow(_encode_ranges(tokenizer, end, "_text"), f"part int, local long, doc_id {kind}, n_tokens long, ids binary"), "ids"
+    encoded = stored(
+        ranged.mapInArrow(_encode_ranges(tokenizer, end), f"part int, local long, doc_id {kind}, n_tokens long, ids binary, seen binary"), "ids"
     )
+    rows = encoded.where(F.col("seen").isNull()).drop("seen")
+    seen = encoded.select("seen").where(F.col("seen").isNotNull())
     # At most one row per id of the vocabulary.
-    counted = rows.select("ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counted = seen.mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in counted), default=0) + 1, np.int64)
     for r in counted:
         counts[r["id"]] = r["n"]
@@ -296,21 +307,22 @@ def read_ids(spark: SparkSession, path: str, kind: str = "bigint") -> DataFrame:
     for r in found:
         lengths[r["id"]] = r["length"]
     book = spark.sparkContext.broadcast(lengths)
-    field = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbol, size, width = table(book.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 16):
-                starts, docs, sizes, marks, bits = (batch.column(i).slice(lo, 16).to_pylist() for i in range(5))
-                blocks = [(b, np.frombuffer(m, "<u8"), sum(s)) for b, m, s in zip(bits, marks, sizes)]
-                for start, doc, n, ids in zip(starts, docs, sizes, unpack(blocks, symbol, size, width)):
-                    ends = np.cumsum(n)
-                    begins = ends - np.array(n, np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc, field), pa.array(begins + start), pa.array(n, pa.int64()), pa.array([ids[a:b].astype("<u4").tobytes() for a, b in zip(begins, ends)], pa.binary())],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))])
+            held = np.diff(np.concatenate([[0], np.cumsum(batch.column(2).flatten().to_numpy())])[ends])
+            for lo, hi in slices(held, TOGETHER):
+                some = batch.slice(lo, hi - lo)
+                sizes = some.column(2).flatten().to_numpy()
+                blocks = [(b.as_py(), np.frombuffer(m.as_py(), "<u8"), int(n)) for m, b, n in zip(some.column(3), some.column(4), held[lo:hi])]
+                ids = np.concatenate(unpack(blocks, symbol, size, width))
+                first = np.cumsum(held[lo:hi]) - held[lo:hi]
+                begins = np.cumsum(sizes) - sizes + np.repeat(some.column(0).to_numpy() - first, np.diff(ends[lo : hi + 1]))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(1).flatten(), pa.array(begins), pa.array(sizes), blobs(ids, sizes)], ["doc_id", "start", "n_tokens", "ids"]
+                )
 
     schema = f"part int, start long, doc_ids array<{kind}>, sizes array<long>, marks binary, bits binary"
     blocks = spark.read.schema(schema).parquet(f"{path}/blocks").select("start", "doc_ids", "sizes", "marks", "bits")
