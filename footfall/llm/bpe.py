@@ -4,20 +4,20 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.common import remembered, text_rows
+from footfall.llm.common import remembered
+from footfall.llm.pieces import BYTE_LEVEL, SLICE, Cutter, Memory, by_pattern, slices
 
 #: Bounds of what a worker remembers; beyond them it forgets what is old, which changes speed only.
 STATES = 400_000
 PAIRS = 1_000_000
-CHUNKS = 400_000
-LONGEST_CHUNK = 64
 #: Bytes of one match after which tokens that are settled are emitted.
 LOOKAHEAD = 256
 #: Ids that go through the decoder at once.
@@ -192,54 +192,24 @@ class Utf8Decoder:
             return text
 
 
-#: Neighbouring white space: such a text may only be cut where single spaces stand between words.
-WIDE = re.compile(r" \s|\s ")
-SINGLE = re.compile(r"(?<=\S) (?=\S)")
-
-
-def chunks(text: str) -> list[str]:
-    """Cut a text before single spaces between visible characters; no match of the pattern crosses these.
-
-    Every chunk but the first lacks the space it begins with.
-    """
-    return SINGLE.split(text) if WIDE.search(text) else text.split(" ")
-
-
 class Codec:
-    """Encoder and decoder of one vocabulary, with a bounded memory for frequent chunks."""
+    """Encoder and decoder of one vocabulary, with a bounded memory for the pieces the pattern cuts."""
 
     def __init__(self, path: str, pattern: str) -> None:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fst = Transducer(ranks)
-        self.find = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
-
-    def _plain(self, text: str) -> list[int]:
-        encode = self.fst.encode
-        return [i for piece in self.find(text) for i in encode(piece.encode("utf-8"))]
-
-    def _met(self, chunk: str) -> list[int]:
-        """Ids of a chunk that is not among those lately met."""
-        ids = self.older.get(chunk)
-        if ids is None:
-            ids = self._plain(" " + chunk)
-        if len(chunk) <= LONGEST_CHUNK:
-            if len(self.known) >= CHUNKS:
-                self.older, self.known = self.known, {}
-            self.known[chunk] = ids
-        return ids
+        self.digits = {i: str(i) for i in self.fst.bytes_of}
+        find = regex.compile(pattern).findall
+        self.memory = Memory(Cutter(find) if pattern == BYTE_LEVEL else by_pattern(find), self.fst.encode)
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        ids, sizes = self.memory.encode(texts, [])
+        ends = np.cumsum(sizes).tolist()
+        return (ids[a:b].tolist() for a, b in zip([0, *ends], ends))
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        first, *rest = chunks(text)
-        out = self._plain(first)
-        for chunk in rest:
-            ids = self.known.get(chunk)
-            out += self._met(chunk) if ids is None else ids
-        return out
+        return next(self.encode_all([text]))
 
     def decode(self, ids: list[int]) -> Iterator[bytes]:
         token = self.fst.bytes_of.__getitem__
@@ -263,17 +233,19 @@ def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
+        digits = own.digits.__getitem__
         for batch in batches:
             found = []
-            for _, body in text_rows(batch, "_text"):
-                ids = own.encode(body)
-                whole, machine, chars = hashlib.sha256(), Utf8Decoder(), 0
-                for data in own.decode(ids):
-                    whole.update(data)
-                    chars += len(machine.feed(data))
-                chars += len(machine.feed(b"", last=True))
-                listed = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
-                found.append((len(ids), listed, whole.hexdigest(), chars, machine.wrong))
+            length = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            for lo, hi in slices(length, SLICE):
+                for ids in own.encode_all([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]):
+                    whole, machine, chars = hashlib.sha256(), Utf8Decoder(), 0
+                    for data in own.decode(ids):
+                        whole.update(data)
+                        chars += len(machine.feed(data))
+                    chars += len(machine.feed(b"", last=True))
+                    listed = hashlib.sha256(" ".join(map(digits, ids)).encode()).hexdigest()
+                    found.append((len(ids), listed, whole.hexdigest(), chars, machine.wrong))
             cols = list(zip(*found)) if found else [[]] * 5
             kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(

@@ -14,7 +14,7 @@ BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PIECES = 600_000
 LONGEST = 64
 #: Bytes of text that are encoded together; a longer text is encoded by itself.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 UNKNOWN, SPACE, LETTER, NUMBER, OTHER, EDGE = range(6)
 #: Stands after each text; no byte of UTF-8.

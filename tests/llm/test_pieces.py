@@ -6,10 +6,12 @@ import numpy as np
 import public_tokenizers
 import pytest
 import regex
+import tiktoken
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from footfall.llm import huffman, pieces
+from footfall.llm import bpe, huffman, pieces
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 LETTERS = "aabzstmdrevlLE'''' '  \n\t\r\x00\x0b\x1c\x85  　 11٣²%%-&éß߀日本🙂́​࢏꟎"
 
@@ -41,6 +43,24 @@ def test_library_is_asked_once_for_a_piece():
     assert len(asked) == len(set(asked)) and asked.count(b" word") == 1
 
 
+@pytest.mark.parametrize("pattern", [public_tokenizers.PATTERN, r"\p{L}{1,3}|\s+|[^\p{L}\s]+"])
+def test_transducer_reads_a_piece_once(pattern):
+    """Also where punctuation sets words apart; another pattern than that of ``Cutter`` is followed too.
+
+    Without the two letters of Unicode 17, which the library's tables lack.
+    """
+    own, read = bpe.Codec(RANKS, pattern), []
+    fresh = own.memory.fresh
+    own.memory.fresh = lambda piece: read.append(piece) or fresh(piece)
+    lib = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=own.fst.ranks, special_tokens={})
+    old = str.maketrans("", "", "\u088f\ua7ce")
+    for text in ["a word, a word. A word%%% word!!\nword\n word", "", *(t.translate(old) for t in texts(300, seed=5))]:
+        assert own.encode(text) == lib.encode_ordinary(text)
+    assert len(read) == len(set(read))
+    some = [t.translate(old) for t in texts(50, seed=6)]
+    assert list(own.encode_all(some)) == [lib.encode_ordinary(t) for t in some]
+
+
 def test_what_is_forgotten_is_encoded_again(monkeypatch):
     monkeypatch.setattr(pieces, "PIECES", 40)
     monkeypatch.setattr(pieces, "LONGEST", 5)
