@@ -13,11 +13,14 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.llm.common import remembered
-from footfall.llm.pieces import BYTE_LEVEL, SLICE, Cutter, Memory, by_pattern, slices
+from footfall.llm.pieces import BYTE_LEVEL, Cutter, Memory, by_pattern, slices
 
 #: Bounds of what a worker remembers; beyond them it forgets what is old, which changes speed only.
-STATES = 400_000
-PAIRS = 1_000_000
+STATES = 50_000
+PAIRS = 200_000
+PIECES = 300_000
+#: Bytes of text that are encoded together, or one text.
+SLICE = 1 << 20
 #: Bytes of one match after which tokens that are settled are emitted.
 LOOKAHEAD = 256
 #: Ids that go through the decoder at once.
@@ -63,7 +66,7 @@ class Transducer:
     def _forget(self) -> None:
         self.ids: dict[tuple[int, ...], int] = {}
         self.states: list[tuple[int, ...]] = []
-        self.steps: dict[int, tuple[int, int]] = {}
+        self.steps: dict[int, int] = {}
         self.start = self._state((0,))
 
     def _state(self, readings: tuple[int, ...]) -> int:
@@ -101,7 +104,8 @@ class Transducer:
             known = self.pairs[key] = (left < 0 or joined not in self.ranks) and self.merged(joined) == tokens
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, int]:
+    def _step(self, state: int, byte: int) -> int:
+        """The next state << 32 | the token put out."""
         readings, done = [], -1
         for reading in self.states[state]:
             node = reading & 0xFFFFFFFF
@@ -116,7 +120,7 @@ class Transducer:
         if done < 0:
             raise ValueError("the vocabulary lacks a single byte")
         readings.append(done + 1 << 32)
-        return self._state(tuple(readings)), done
+        return self._state(tuple(readings)) << 32 | done
 
     def _path(self, lasts: list[int], end: int) -> list[int]:
         """Encoding of the first ``end`` bytes, from the last token of each prefix."""
@@ -155,8 +159,8 @@ class Transducer:
                 step = steps.get(key)
                 if step is None:
                     step = steps[key] = self._step(state, byte)
-                state, last = step
-                lasts.append(last)
+                state = step >> 32
+                lasts.append(step & 0xFFFFFFFF)
         return out + self._path(lasts, len(lasts))
 
 
@@ -201,7 +205,7 @@ class Codec:
         self.fst = Transducer(ranks)
         self.digits = {i: str(i) for i in self.fst.bytes_of}
         find = regex.compile(pattern).findall
-        self.memory = Memory(Cutter(find) if pattern == BYTE_LEVEL else by_pattern(find), self.fst.encode)
+        self.memory = Memory(Cutter(find) if pattern == BYTE_LEVEL else by_pattern(find), self.fst.encode, PIECES)
 
     def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
         ids, sizes = self.memory.encode(texts, [])

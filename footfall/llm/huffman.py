@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from footfall.llm.common import remembered, stored, total_bytes
-from footfall.llm.pieces import SLICE, Cutter, Memory, blobs, slices
+from footfall.llm.pieces import Cutter, Memory, blobs, slices
 
 #: Ids after which a block is closed, at the end of a document, and ids between two checkpoints in it.
 BLOCK_IDS = 1 << 16
@@ -22,6 +22,9 @@ LIMIT = 18
 WIDEST = 24
 #: Bytes of text per range of documents.
 RANGE_BYTES = 16 << 20
+#: Pieces a worker remembers, and bytes of text that are encoded together, or one text.
+PIECES = 600_000
+SLICE = 4 << 20
 #: Ids that are read at once, or one block.
 TOGETHER = 1 << 21
 
@@ -151,7 +154,7 @@ class Encoder:
         self.memory = None
         with open(path, encoding="utf-8") as spec:
             if self._byte_level(json.load(spec)):
-                self.memory = Memory(Cutter(self.lib.pre_tokenizer.pre_tokenize_str), self._piece(self.lib.model.tokenize))
+                self.memory = Memory(Cutter(self.lib.pre_tokenizer.pre_tokenize_str), self._piece(self.lib.model.tokenize), PIECES)
 
     @staticmethod
     def _byte_level(spec: dict) -> bool:

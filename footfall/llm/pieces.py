@@ -10,11 +10,8 @@ import pyarrow as pa
 
 #: The pattern that ``Cutter`` follows.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Bounds of what a worker remembers; beyond them it forgets what is rare, which changes speed only.
-PIECES = 600_000
+#: Bytes of the longest piece that is remembered.
 LONGEST = 64
-#: Bytes of text that are encoded together; a longer text is encoded by itself.
-SLICE = 2 << 20
 
 UNKNOWN, SPACE, LETTER, NUMBER, OTHER, EDGE = range(6)
 #: Stands after each text; no byte of UTF-8.
@@ -121,13 +118,14 @@ def by_pattern(find: Callable[[str], list[str]]) -> Callable[[list[str]], pa.Arr
 
 
 class Memory:
-    """Encodes texts by the ids of their pieces; of pieces met before the ids are at hand, within a bound.
+    """Encodes texts by the ids of their pieces; of pieces met before the ids are at hand.
 
-    ``cut`` gives the pieces of texts, ``END`` after each text; ``encode`` the ids of one piece.
+    ``cut`` gives the pieces of texts, ``END`` after each text; ``encode`` the ids of one piece. Beyond ``most``
+    pieces the rare ones are forgotten, which changes speed only.
     """
 
-    def __init__(self, cut: Callable[[list[str]], pa.Array], encode: Callable[[bytes], list[int]]) -> None:
-        self.cut, self.fresh = cut, encode
+    def __init__(self, cut: Callable[[list[str]], pa.Array], encode: Callable[[bytes], list[int]], most: int) -> None:
+        self.cut, self.fresh, self.most = cut, encode, most
         self.at: dict[bytes, int] = {}
         self.ids, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
         #: Slices a piece was met in.
@@ -166,8 +164,8 @@ class Memory:
     def _forget(self) -> None:
         """Pieces met more than once stay, at most half as many as the bound allows."""
         keep = np.flatnonzero(self.met > 1)
-        if len(keep) > PIECES // 2:
-            keep = np.sort(keep[np.argsort(-self.met[keep], kind="stable")[: PIECES // 2]])
+        if len(keep) > self.most // 2:
+            keep = np.sort(keep[np.argsort(-self.met[keep], kind="stable")[: self.most // 2]])
         names = list(self.at)
         self.at = {names[i]: n for n, i in enumerate(keep.tolist())}
         self.ids, ends = self._spread(keep)
@@ -194,6 +192,6 @@ class Memory:
         ids, ends = self._spread(at[index])
         known.update(zip([pieces[i] for i in short], range(n, n + len(short))))
         self._keep(len(known))
-        if len(known) > PIECES:
+        if len(known) > self.most:
             self._forget()
         return ids, np.diff(ends[index == edge], prepend=0)

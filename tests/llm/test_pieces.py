@@ -62,7 +62,7 @@ def test_transducer_reads_a_piece_once(pattern):
 
 
 def test_what_is_forgotten_is_encoded_again(monkeypatch):
-    monkeypatch.setattr(pieces, "PIECES", 40)
+    monkeypatch.setattr(huffman, "PIECES", 40)
     monkeypatch.setattr(pieces, "LONGEST", 5)
     files, some = huffman.Encoder(TOKENIZER), texts(400, seed=2)
     want = [[*e.ids, 7] for e in files.lib.encode_batch(some, add_special_tokens=False)]
