@@ -120,6 +120,43 @@ def test_cosine_edges(odd):
     assert cosine.near_duplicates(odd.limit(0), 0.93).count() == 0
 
 
+def test_cosine_tiles(spark, monkeypatch):
+    """Labels of many tiles: links between tiles and across their borders, crowds, copies, ids with several vectors."""
+    monkeypatch.setattr(cosine, "TILE", 40)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(4, 16))
+    some = np.concatenate([rng.normal(size=(200, 16)), centres[rng.integers(0, 4, 300)] + rng.normal(size=(300, 16)) * 0.25])
+    rows = [(int(i), [float(np.float32(x)) for x in v], int(at % 3 > 0)) for at, (i, v) in enumerate(zip(rng.permutation(1000), some))]
+    rows += [(1000 + i, rows[i][1], rows[i][2]) for i in range(0, 500, 7)]
+    links, root = cosines(rows, 0.8)
+    assert max(links.values()) > 40 and 0 in links.values()
+    out = cosine.near_duplicates(spark.createDataFrame(rows + rows[:50], "vec_id long, embedding array<float>, label int"), 0.8).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in out} == {i: (links[i], root[i], root[i] == i) for i in links}
+    assert len(out) == len(links)
+    # A second vector of an id counts with its own links.
+    twice = spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [0.0, 1.0], 1), (3, [1.0, 0.01], 1)], "vec_id long, embedding array<double>, label int")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in cosine.near_duplicates(twice, 0.93).collect())
+    assert got == [(1, 1, 1), (1, 2, 1), (2, 2, 1), (3, 1, 1)]
+
+
+def test_cosine_disk(spark):
+    """What is shuffled and stored grows with the vectors, not with their pairs."""
+    n, d = 12_000, 64
+    rows = spark.range(n).select(
+        F.col("id").alias("vec_id"), F.transform(F.sequence(F.lit(1), F.lit(d)), lambda k: (F.pmod(F.xxhash64("id", k), F.lit(2001)) - 1000).cast("float")).alias("embedding"),
+        F.lit(1).alias("label"),
+    )
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def used():
+        files = folders.getAllFiles()
+        return {files.apply(i).getPath(): files.apply(i).length() for i in range(files.size())}
+
+    before = used()
+    assert cosine.near_duplicates(rows, 0.93).count() == n
+    assert sum(size for path, size in used().items() if path not in before) < 4 * n * d * 4
+
+
 def fingerprint(text, shingle=4):
     words = [w.decode() for w in WORD.findall((text or "").encode().lower())]
     if not words:
