@@ -20,7 +20,7 @@ from footfall.session import scratch_path
 #: Rows and bytes of vectors of a tile; leading coordinates that sort rows; those a tile's box bounds.
 TILE, TILE_BYTES, LEADING, BOX = 16_384, 1 << 22, 2, 8
 #: Leading coordinates after which a block of products is bounded; rows and columns of a block.
-STEPS, BLOCK = (24, 40), (256, 2048)
+STEPS, BLOCK = (28, 44), (256, 2048)
 #: Share of a block's pairs above which the next bound is worth more than measuring them one by one.
 CROWDED = 1 / 256
 #: Rounding of coordinates; parts of tiles that are the first side of a join; fewest rows worth a part.
@@ -35,9 +35,9 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt(np.square(v).sum(1, keepdims=True))
 
 
-def _slack(d: int) -> float:
-    """Rounding that a product of ``d`` single-precision numbers of unit vectors may carry."""
-    return (d + 8) * 2.0**-23
+def _slack(d: int, turned: bool = False) -> float:
+    """Rounding that a product of ``d`` single-precision numbers of unit vectors may carry; of rotated ones as well."""
+    return (d + 8) * 2.0**-23 * (1 + 2 * math.sqrt(d) if turned else 1)
 
 
 def principal_axes(rows: DataFrame, d: int) -> np.ndarray:
@@ -59,14 +59,14 @@ def principal_axes(rows: DataFrame, d: int) -> np.ndarray:
 
 
 class Tile:
-    """Vectors as they are, and rotated unit vectors in single precision with what bounds their products."""
+    """Vectors as they are, unit vectors in single precision, and what bounds the products of these."""
 
     def __init__(self, v: np.ndarray, axes: np.ndarray):
-        x = _unit(v.astype(np.float64)) @ axes
-        d = x.shape[1]
-        self.v, self.x = v, np.ascontiguousarray(x, np.float32)
+        d = v.shape[1]
+        self.v, self.x = v, _unit(v.astype(np.float64)).astype(np.float32)
+        turned = self.x @ axes.astype(np.float32)
         # Leading coordinates and the norm of the rest: their product is no less than the whole one.
-        self.bounds = [np.hstack([x[:, :k], np.sqrt(np.square(x[:, k:]).sum(1, keepdims=True))]).astype(np.float32) for k in STEPS if k < d]
+        self.bounds = [np.hstack([turned[:, :k], np.sqrt(np.einsum("nd,nd->n", turned[:, k:], turned[:, k:]))[:, None]]) for k in STEPS if k < d]
 
     def __len__(self) -> int:
         return len(self.v)
@@ -87,9 +87,10 @@ def _reach(a: Tile, b: Tile, i: np.ndarray, j: np.ndarray, threshold: float) ->
     return ok
 
 
-def _linked(a: Tile, b: Tile, i: np.ndarray, j: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def _linked(a: Tile, b: Tile, few: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Those of a few pairs (i, j) that link."""
     slack = _slack(a.x.shape[1])
+    i, j = (np.concatenate(x) for x in zip(*few))
     product = np.concatenate([np.zeros(0, np.float32), *(np.einsum("nd,nd->n", a.x[i[lo : lo + HELD]], b.x[j[lo : lo + HELD]]) for lo in range(0, len(i), HELD))])
     ok = product >= threshold + slack
     near = np.flatnonzero(~ok & (product >= threshold - slack))
@@ -97,6 +98,12 @@ def _linked(a: Tile, b: Tile, i: np.ndarray, j: np.ndarray, threshold: float) ->
     return i[ok], j[ok]
 
 
+def _places(mask: np.ndarray, lo: int, left: int) -> tuple[np.ndarray, np.ndarray]:
+    # Much faster than nonzero of a table.
+    i, j = np.divmod(np.flatnonzero(mask), mask.shape[1])
+    return i + lo, j + left
+
+
 def tile_links(a: Tile, b: Tile, threshold: float, same: bool) -> Iterator[tuple[int, int, np.ndarray | None, np.ndarray, np.ndarray]]:
     """Links of two tiles, block by block: (first row, first column, mask, rows, columns).
 
@@ -104,48 +111,49 @@ def tile_links(a: Tile, b: Tile, threshold: float, same: bool) -> Iterator[tuple
     itself each pair is told once, the smaller row first. Pairs that the product of leading coordinates and the norms
     of the rest keep below the threshold are not measured; close calls are decided on the original numbers.
     """
-    slack = _slack(a.x.shape[1])
+    d = a.x.shape[1]
+    slack = _slack(d)
     rows, columns = BLOCK
-    steps = list(zip([*a.bounds, a.x], [*b.bounds, b.x]))
-    level = 0
+    steps = [(x, y, threshold - _slack(d, True)) for x, y in zip(a.bounds, b.bounds)] + [(a.x, b.x, threshold - slack)]
+    few: list[tuple[np.ndarray, np.ndarray]] = []
+    room = np.empty(rows * columns, np.float32)
     for lo in range(0, len(a), rows):
-        hi = min(lo + rows, len(a))
+        hi, level = min(lo + rows, len(a)), 0
         for left in range(lo // columns * columns if same else 0, len(b), columns):
             right = min(left + columns, len(b))
             while True:
-                bound = steps[level][0][lo:hi] @ steps[level][1][left:right].T
-                if bound.max() < threshold - slack:
-                    few, crowded = (), False
+                x, y, low = steps[level]
+                bound = np.matmul(x[lo:hi], y[left:right].T, out=room[: (hi - lo) * (right - left)].reshape(hi - lo, -1))
+                if bound.max() < low:
+                    some = crowded = False
                     break
-                at = bound >= threshold - slack
-                crowded = np.count_nonzero(at) > CROWDED * at.size
-                if not crowded:
-                    few = np.flatnonzero(at)
+                at = bound >= low
+                some, crowded = True, np.count_nonzero(at) > CROWDED * at.size
                 if not crowded or level == len(steps) - 1:
                     break
                 # So it will be for the neighbours.
                 level += 1
             if not crowded:
-                if len(few):
-                    i, j = few // (right - left) + lo, few % (right - left) + left
-                    if same:
-                        i, j = i[i < j], j[i < j]
-                    i, j = _linked(a, b, i, j, threshold)
-                    if len(i):
-                        yield lo, left, None, i, j
+                if some:
+                    i, j = _places(at, lo, left)
+                    few.append((i[i < j], j[i < j]) if same else (i, j))
+                    if sum(len(x) for x, _ in few) > HELD:
+                        yield 0, 0, None, *_linked(a, b, few, threshold)
+                        few = []
                 continue
             mask = bound >= threshold + slack
-            i, j = np.nonzero(at & ~mask)
+            i, j = _places(at > mask, lo, left)
             if len(i):
-                mask[i, j] = _reach(a, b, i + lo, j + left, threshold)
+                mask[i - lo, j - left] = _reach(a, b, i, j, threshold)
             if same:
                 mask &= np.arange(lo, hi)[:, None] < np.arange(left, right)
             n = np.count_nonzero(mask)
             if n > CROWDED * mask.size:
                 yield lo, left, mask, i[:0], j[:0]
             elif n:
-                i, j = np.nonzero(mask)
-                yield lo, left, None, i + lo, j + left
+                yield lo, left, None, *_places(mask, lo, left)
+    if few:
+        yield 0, 0, None, *_linked(a, b, few, threshold)
 
 
 def _smallest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -177,6 +185,8 @@ def pair_found(a: Tile, b: Tile, ids: np.ndarray, copies: np.ndarray, threshold:
     hits, root = np.zeros(n), np.arange(n)
     held: list[tuple[np.ndarray, np.ndarray]] = []
     count = copies.astype(np.float64)
+    # Single precision adds up whole numbers exactly as far as this.
+    counted = count.astype(np.float32) if count.sum() < 1 << 24 else count
 
     def meet() -> None:
         nonlocal root
@@ -186,7 +196,6 @@ def pair_found(a: Tile, b: Tile, ids: np.ndarray, copies: np.ndarray, threshold:
         if apart.any():
             root = _smallest(n, x[apart], y[apart])[root]
 
-    waiting = 0
     for lo, left, mask, i, j in tile_links(a, b, threshold, same):
         if mask is None:
             j = j + shift
@@ -194,18 +203,25 @@ def pair_found(a: Tile, b: Tile, ids: np.ndarray, copies: np.ndarray, threshold:
             np.add.at(hits, j, count[i])
         else:
             up, across = slice(lo, lo + mask.shape[0]), slice(left + shift, left + shift + mask.shape[1])
-            many = mask.astype(np.float64)
-            hits[up] += many @ count[across]
-            hits[across] += count[up] @ many
-            # Links between what is joined already say nothing new.
-            i, j = np.nonzero(mask & (root[rank[up]][:, None] != root[rank[across]]))
-            i, j = i + lo, j + left + shift
+            many = mask.astype(counted.dtype)
+            hits[up] += many @ counted[across]
+            hits[across] += counted[up] @ many
+            # Of links between what is not joined yet, one for each row and each column, until none is left.
+            while True:
+                x, y = root[rank[up]], root[rank[across]]
+                if min(x.min(), y.min()) == max(x.max(), y.max()):
+                    break
+                apart = mask & (x[:, None] != y)
+                i, j = np.flatnonzero(apart.any(1)), np.flatnonzero(apart.any(0))
+                if not len(i):
+                    break
+                held.append((np.concatenate([i, apart[:, j].argmax(0)]) + up.start, np.concatenate([apart[i].argmax(1), j]) + across.start))
+                meet()
+            continue
         if len(i):
             held.append((i, j))
-            waiting += len(i)
-            if mask is not None or waiting > HELD:
+            if sum(len(x) for x, _ in held) > HELD:
                 meet()
-                waiting = 0
     if held:
         meet()
     used = np.flatnonzero(hits)
@@ -223,7 +239,7 @@ def _merged(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.
 
 
 def _rotate(axes, kind: type, lead: int, ids: bool):
-    """Rows with a digest that stands for the vector and the cells of its leading coordinates; with their id, or with the vector.
+    """Rows with a digest that stands for label and vector and the cells of its leading coordinates; with their id, or with the vector.
 
     Numbers of a row depend on that row alone, so equal vectors come out equal wherever they are.
     """
@@ -235,7 +251,7 @@ def _rotate(axes, kind: type, lead: int, ids: bool):
                 continue
             v = matrix(batch.column(0)) + 0.0  # no negative zeros
             raw = [row.tobytes() for row in v.astype(kind)]
-            digest = [blake2b(row, digest_size=16).digest() for row in raw]
+            digest = [blake2b(row + repr(of).encode(), digest_size=16).digest() for row, of in zip(raw, batch.column(1).to_pylist())]
             x = _unit(v)
             cells = [pa.array(np.floor((x * axes.value[:, m]).sum(1) / step).astype(np.int64)) for m in range(lead)]
             names = ["label", "digest", *[f"c{m}" for m in range(lead)]]
@@ -245,8 +261,8 @@ def _rotate(axes, kind: type, lead: int, ids: bool):
                 continue
             # Most copies of a vector go here; the others where their rows meet.
             new = []
-            for at, (label, mark) in enumerate(zip(batch.column(1).to_pylist(), digest)):
-                if (key := (repr(label), mark)) not in seen:
+            for at, key in enumerate(digest):
+                if key not in seen:
                     new.append(at)
                     seen.add(key)
             if len(seen) > HELD:
@@ -257,28 +273,33 @@ def _rotate(axes, kind: type, lead: int, ids: bool):
 
 
 def _tiles(axes, kind: type, d: int, size: int):
-    """Tiles of at most ``size`` vectors of a label, from rows in order: of equal keys the one with node and copies, then those with the vector."""
+    """Tiles of at most ``size`` vectors of a label, from rows in order: of equal keys the one with node and copies, then those with the vector.
+
+    A tile that may not be its label's only one is an ``edge``: one that is full, comes after one, or is the first or last of its part.
+    """
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         part, made = TaskContext.get().partitionId(), 0
-        label, have, held = None, 0, []
+        label, have, held, before_it = None, 0, [], True
         out: list[tuple] = []
 
-        def close() -> None:
-            nonlocal have, made
+        def close(after_it: bool) -> None:
+            nonlocal have, made, before_it
             if have:
                 node, copies, v = (np.concatenate(x) for x in zip(*held))
                 x = _unit(v.astype(np.float64)) @ axes.value[:, :BOX]
                 out.append(
-                    (label, part, (part << 32) + made, have, node.tobytes(), copies.tobytes(), v.tobytes(), (x.min(0) - SLACK).tolist(), (x.max(0) + SLACK).tolist())
+                    (label, part, (part << 32) + made, have, node.tobytes(), copies.tobytes(), v.tobytes(), (x.min(0) - SLACK).tolist(), (x.max(0) + SLACK).tolist(),
+                     before_it or after_it)
                 )
                 made += 1
+            before_it = after_it
             have = 0
             held.clear()
 
         def rows() -> pa.RecordBatch:
-            kinds = [before.column("label").type, pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+            kinds = [before.column("label").type, pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.bool_()]
             batch = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], TILE_COLUMNS)
             out.clear()
             return batch
@@ -299,14 +320,13 @@ def _tiles(axes, kind: type, d: int, size: int):
             at = np.flatnonzero(known[:-1])
             if not len(at):
                 continue
-            node = table.column("node").to_numpy()[at].astype(np.int64)
-            copies = table.column("copies").to_numpy()[at].astype(np.int64)
-            v = np.frombuffer(b"".join(table.column("v").take(pa.array(at + 1)).to_pylist()), kind).reshape(-1, d)
-            of = table.column("label").combine_chunks().take(pa.array(at))
+            of, node, copies = (table.column(c).combine_chunks().take(pa.array(at)) for c in ("label", "node", "copies"))
+            node, copies = node.to_numpy(), copies.to_numpy()
+            v = np.frombuffer(b"".join(table.column("v").combine_chunks().take(pa.array(at + 1)).to_pylist()), kind).reshape(-1, d)
             cuts = np.flatnonzero(pc.not_equal(of.slice(1), of.slice(0, len(of) - 1)).to_numpy(zero_copy_only=False)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(at)]):
                 if (mine := of[int(lo)].as_py()) != label:
-                    close()
+                    close(label is None)
                     label = mine
                 while lo < hi:
                     end = min(hi, lo + size - have)
@@ -314,19 +334,19 @@ def _tiles(axes, kind: type, d: int, size: int):
                     have += end - lo
                     lo = end
                     if have == size:
-                        close()
+                        close(True)
             if len(out) >= 1024 or sum(len(x[6]) for x in out) >= TILE_BYTES:
                 yield rows()
         if before is not None and before.column("node")[0].is_valid:
             raise RuntimeError("rows of the table changed while it was read")
-        close()
+        close(True)
         if out:
             yield rows()
 
     return tiles
 
 
-TILE_COLUMNS = ["label", "part", "tile", "n", "ids", "copies", "v", "low", "high"]
+TILE_COLUMNS = ["label", "part", "tile", "n", "ids", "copies", "v", "low", "high", "edge"]
 BODY = ["tile", "ids", "copies", "v"]
 
 
@@ -345,7 +365,7 @@ def _compare(axes, kind: type, d: int, threshold: float):
         def tile(name: int, blob: pa.Buffer) -> Tile:
             # A task meets the same few tiles again and again.
             if name not in ready:
-                while len(ready) >= 6:
+                while len(ready) >= 5:
                     ready.pop(next(iter(ready)))
                 ready[name] = Tile(np.frombuffer(bytes(blob), kind).reshape(-1, d), axes.value)
             return ready[name]
@@ -433,16 +453,16 @@ def _linked_rows(spark, valid: DataFrame, d: int, threshold: float) -> DataFrame
     sorted_rows = both.repartitionByRange(parts, *order).sortWithinPartitions(*order, F.col("node").asc_nulls_last()).select("label", "digest", "node", "copies", "v")
     made = sorted_rows.mapInArrow(
         _tiles(axes, kind, d, size),
-        f"label {types['label']}, part int, tile long, n long, ids binary, copies binary, v binary, low array<double>, high array<double>",
+        f"label {types['label']}, part int, tile long, n long, ids binary, copies binary, v binary, low array<double>, high array<double>, edge boolean",
     )
     path = scratch_path(spark, "tiles")
     made.write.option("parquet.enable.dictionary", "false").partitionBy("part").parquet(path)
     tiles = spark.read.schema(made.schema).parquet(path)
 
     # Labels of several tiles, by the parts they lie in: as many as there are parts and full tiles at most.
-    shared = stored(tiles.groupBy("label").agg(F.min("part").alias("first"), F.max("part").alias("last"), F.count(F.lit(1)).alias("tiles")).where("tiles > 1"), "shared")
-    spans = [(r["first"], r["last"]) for r in shared.select("first", "last").distinct().collect()]
-    several = tiles.join(F.broadcast(shared.select("label")), "label", "left_semi")
+    several = tiles.where("edge")
+    spans = several.groupBy("label").agg(F.min("part").alias("first"), F.max("part").alias("last"), F.count(F.lit(1)).alias("tiles"))
+    spans = [(r["first"], r["last"]) for r in spans.where("tiles > 1").select("first", "last").distinct().collect()]
     side = lambda df, s: df.select("label", *[F.col(c).alias(f"{s}_{c}") for c in [*BODY, "low", "high"]])
     pairs = tiles.select(*[F.col(c).alias(f"a_{c}") for c in BODY], *[F.lit(None).cast(dict(tiles.dtypes)[c]).alias(f"b_{c}") for c in BODY])
     stripe = max(STRIPE, math.ceil(parts / 64))

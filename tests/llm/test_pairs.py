@@ -126,13 +126,16 @@ def test_cosine_tiles(spark, monkeypatch):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(4, 16))
     some = np.concatenate([rng.normal(size=(200, 16)), centres[rng.integers(0, 4, 300)] + rng.normal(size=(300, 16)) * 0.25])
-    rows = [(int(i), [float(np.float32(x)) for x in v], int(at % 3 > 0)) for at, (i, v) in enumerate(zip(rng.permutation(1000), some))]
-    rows += [(1000 + i, rows[i][1], rows[i][2]) for i in range(0, 500, 7)]
+    rows = [(int(i) + (1 << 60), [float(np.float32(x)) for x in v], int(at % 3 > 0)) for at, (i, v) in enumerate(zip(rng.permutation(1000), some))]
+    rows += [((1 << 60) + 1000 + i, rows[i][1], rows[i][2]) for i in range(0, 500, 7)]
     links, root = cosines(rows, 0.8)
     assert max(links.values()) > 40 and 0 in links.values()
     out = cosine.near_duplicates(spark.createDataFrame(rows + rows[:50], "vec_id long, embedding array<float>, label int"), 0.8).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in out} == {i: (links[i], root[i], root[i] == i) for i in links}
     assert len(out) == len(links)
+    # One vector in several labels, each its label's only one.
+    alone = spark.createDataFrame([(i, [1.0, 2.0], f"label {i}") for i in range(40)], "vec_id long, embedding array<float>, label string")
+    assert {tuple(r) for r in cosine.near_duplicates(alone, 0.93).collect()} == {(i, 0, i, True) for i in range(40)}
     # A second vector of an id counts with its own links.
     twice = spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [0.0, 1.0], 1), (3, [1.0, 0.01], 1)], "vec_id long, embedding array<double>, label int")
     got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in cosine.near_duplicates(twice, 0.93).collect())
