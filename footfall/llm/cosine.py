@@ -238,13 +238,13 @@ def _merged(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.
     return every[used], total[used], every[_smallest(len(every), x, y)[used]]
 
 
-def _rotate(axes, kind: type, lead: int, ids: bool):
+def _rotate(axes, kind: type, lead: int, step: float, ids: bool):
     """Rows with a digest that stands for label and vector and the cells of its leading coordinates; with their id, or with the vector.
 
     Numbers of a row depend on that row alone, so equal vectors come out equal wherever they are.
     """
 
-    def rotate(batches: Iterator[pa.RecordBatch], step: float) -> Iterator[pa.RecordBatch]:
+    def rotate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
             if not batch.num_rows:
@@ -289,17 +289,16 @@ def _tiles(axes, kind: type, d: int, size: int):
             if have:
                 node, copies, v = (np.concatenate(x) for x in zip(*held))
                 x = _unit(v.astype(np.float64)) @ axes.value[:, :BOX]
-                out.append(
-                    (label, part, (part << 32) + made, have, node.tobytes(), copies.tobytes(), v.tobytes(), (x.min(0) - SLACK).tolist(), (x.max(0) + SLACK).tolist(),
-                     before_it or after_it)
-                )
+                low, high = (x.min(0) - SLACK).tolist(), (x.max(0) + SLACK).tolist()
+                out.append((label, part, (part << 32) + made, node.tobytes(), copies.tobytes(), v.tobytes(), low, high, before_it or after_it))
                 made += 1
             before_it = after_it
             have = 0
             held.clear()
 
         def rows() -> pa.RecordBatch:
-            kinds = [before.column("label").type, pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.bool_()]
+            box = pa.list_(pa.float64())
+            kinds = [before.column("label").type, pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), box, box, pa.bool_()]
             batch = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], TILE_COLUMNS)
             out.clear()
             return batch
@@ -335,7 +334,7 @@ def _tiles(axes, kind: type, d: int, size: int):
                     lo = end
                     if have == size:
                         close(True)
-            if len(out) >= 1024 or sum(len(x[6]) for x in out) >= TILE_BYTES:
+            if len(out) >= 1024 or sum(len(x[5]) for x in out) >= TILE_BYTES:
                 yield rows()
         if before is not None and before.column("node")[0].is_valid:
             raise RuntimeError("rows of the table changed while it was read")
@@ -346,7 +345,8 @@ def _tiles(axes, kind: type, d: int, size: int):
     return tiles
 
 
-TILE_COLUMNS = ["label", "part", "tile", "n", "ids", "copies", "v", "low", "high", "edge"]
+#: What the table of tiles holds, and what of it travels to the tasks that compare.
+TILE_COLUMNS = ["label", "part", "tile", "ids", "copies", "v", "low", "high", "edge"]
 BODY = ["tile", "ids", "copies", "v"]
 
 
@@ -365,7 +365,7 @@ def _compare(axes, kind: type, d: int, threshold: float):
         def tile(name: int, blob: pa.Buffer) -> Tile:
             # A task meets the same few tiles again and again.
             if name not in ready:
-                while len(ready) >= 5:
+                while len(ready) >= 4:
                     ready.pop(next(iter(ready)))
                 ready[name] = Tile(np.frombuffer(bytes(blob), kind).reshape(-1, d), axes.value)
             return ready[name]
@@ -436,9 +436,8 @@ def _linked_rows(spark, valid: DataFrame, d: int, threshold: float) -> DataFrame
     key = f"label {types['label']}, digest binary, {', '.join(f'{c} long' for c in cells)}"
 
     def turned(ids: bool) -> DataFrame:
-        made = _rotate(axes, kind, lead, ids)
         out = f"{key}, id {types['id']}" if ids else f"{key}, v binary"
-        return valid.select("vector", "label", *(["id"] if ids else [])).mapInArrow(lambda batches: made(batches, step), out)
+        return valid.select("vector", "label", *(["id"] if ids else [])).mapInArrow(_rotate(axes, kind, lead, step, ids), out)
 
     ids = stored(turned(True).distinct(), "ids")
     nodes = stored(ids.groupBy("label", "digest", *cells).agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")), "nodes")
@@ -453,7 +452,7 @@ def _linked_rows(spark, valid: DataFrame, d: int, threshold: float) -> DataFrame
     sorted_rows = both.repartitionByRange(parts, *order).sortWithinPartitions(*order, F.col("node").asc_nulls_last()).select("label", "digest", "node", "copies", "v")
     made = sorted_rows.mapInArrow(
         _tiles(axes, kind, d, size),
-        f"label {types['label']}, part int, tile long, n long, ids binary, copies binary, v binary, low array<double>, high array<double>, edge boolean",
+        f"label {types['label']}, part int, tile long, ids binary, copies binary, v binary, low array<double>, high array<double>, edge boolean",
     )
     path = scratch_path(spark, "tiles")
     made.write.option("parquet.enable.dictionary", "false").partitionBy("part").parquet(path)
